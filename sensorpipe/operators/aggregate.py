@@ -53,6 +53,8 @@ def median_of_hot_groups(df: DataFrame, keys: Sequence[str], value: str, rows_pe
     """Exact median per key for groups too large for one task: values are counted, sliced and ranked across tasks."""
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     parts = split_hot(counted, keys, value, rows_per_task)
+    if PART not in parts.columns:
+        parts = parts.withColumn(PART, F.lit(None).cast("bigint"))
     totals = parts.groupBy(*keys, PART).agg(F.sum("_n").alias("_size"))
     whole = Window.partitionBy(*keys)
     earlier = whole.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -92,11 +94,11 @@ def _grouped(df: DataFrame, keys: Sequence[str], specs: Sequence[Spec], rows_per
     """Conditional aggregates per key: one shuffle however many metrics there are."""
     value = F.col("value").cast("double")
     exact = sorted({s.metric for s in specs if s.method == "median"})
-    if not exact:
+    ranked = F.col("metric").isin(exact) & F.col("value").isNotNull()
+    hot = hot_groups(df.filter(ranked), [*keys, "metric"], rows_per_task) if exact else None
+    if hot is None:
         columns = [_aggregate(s.method, _when_metric(s.metric, value), accuracy).alias(s.output) for s in specs]
         return df.groupBy(*keys).agg(*columns)
-    ranked = F.col("metric").isin(exact) & F.col("value").isNotNull()
-    hot = hot_groups(df.filter(ranked), [*keys, "metric"], rows_per_task)
     rows = lookup(df, hot, [*keys, "metric"], ["_tasks"])
     small = F.when(F.col("_tasks").isNull(), value)
     columns = [

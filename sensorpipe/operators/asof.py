@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorpipe.operators.skew import PART, ROWS_PER_TASK, carry, split_hot
+from sensorpipe.operators.skew import ROWS_PER_TASK, carry, split_hot
 
 
 def last_per_time(
@@ -29,12 +29,14 @@ def last_per_time(
     return row.select(*keys, ts, *[F.col(f"_row.{v}").alias(v) for v in values])
 
 
-def match_backward(df: DataFrame, keys: Sequence[str], ts: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def match_backward(
+    df: DataFrame, keys: Sequence[str], ts: str, rows_per_task: int = ROWS_PER_TASK, counted: DataFrame | None = None
+) -> DataFrame:
     """``df`` holds both sides: ``side`` 0 with a ``match`` struct, and side 1 without. Keeps side 1, matched.
 
-    ``_part`` stays in the result for further windows over the same series.
+    ``_part``, if any series is hot, stays in the result for further windows over the same series.
     """
-    parts = split_hot(df, keys, ts, rows_per_task)
+    parts = split_hot(df, keys, ts, rows_per_task, counted)
     matched = carry(parts, keys, {"match": F.col("match")}, [ts, "side"])
     return matched.filter(F.col("side") == 1).drop("side")
 
@@ -63,7 +65,8 @@ def asof_backward(
     both = observations.select(*by, on, F.lit(0).alias("side"), match.alias("match")).unionByName(
         left.select(*by, on, F.lit(1).alias("side"), row.alias("row")), allowMissingColumns=True
     )
-    out = match_backward(both, by, on, rows_per_task)
+    counted = left.select(*by).unionByName(usable.select(*by)).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    out = match_backward(both, by, on, rows_per_task, counted)
     return out.select(
         *[F.col(c) if c in (*by, on) else F.col(f"row.{c}").alias(c) for c in left.columns],
         *[F.col(f"match.{v}").alias(v) for v in (matched_on, *values)],

@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sensorpipe.operators.skew import PART, ROWS_PER_TASK, carry, edges, lookup, series_window, split_hot, with_order
+from sensorpipe.operators.skew import (
+    PART,
+    ROWS_PER_TASK,
+    carry,
+    group_keys,
+    lookup,
+    series_window,
+    split_hot,
+    with_edges,
+    with_order,
+)
 
 
 def previous(
@@ -25,9 +35,8 @@ def previous(
     df, order = with_order(df, ts, tie)
     parts = split_hot(df, keys, ts, rows_per_task)
     row = F.struct(*columns)
-    seeds = edges(parts, keys, {"_seed": row}, order)
-    out = parts.withColumn("_prev", F.lag(row).over(series_window(keys, order)))
-    out = lookup(out, seeds, [*keys, PART], ["_seed"])
+    out = parts.withColumn("_prev", F.lag(row).over(series_window(parts, keys, order)))
+    out = with_edges(out, parts, keys, {"_seed": row}, order)
     before = F.coalesce(F.col("_prev"), F.col("_seed"))
     out = out.withColumns({f"{prefix}{c}": before.getField(c) for c in columns})
     return out.drop("_prev", "_seed", "_tie", PART)
@@ -86,12 +95,11 @@ def fill_both_ways(
 def _first_of_series(df: DataFrame, columns: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Replace nulls that only occur at the head of a series with the first non-null value that follows."""
     place = F.struct(*order)
-    later = edges(df, keys, {f"_next_{c}": F.col(c) for c in columns}, order, forward=False)
-    whole = Window.partitionBy(*keys, PART)
+    whole = Window.partitionBy(*group_keys(df, keys))
     out = df.withColumns(
         {f"_head_{c}": F.min(F.when(F.col(c).isNotNull(), F.struct(place, F.col(c).alias("v")))).over(whole) for c in columns}
     )
-    out = lookup(out, later, [*keys, PART], [f"_next_{c}" for c in columns])
+    out = with_edges(out, df, keys, {f"_next_{c}": F.col(c) for c in columns}, order, forward=False)
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_head_{c}.v"), F.col(f"_next_{c}")) for c in columns})
     return out.drop(*[f"_head_{c}" for c in columns], *[f"_next_{c}" for c in columns])
 
@@ -123,11 +131,13 @@ def interpolate(
     """Linear interpolation of nulls by row position within the series."""
     df, order = with_order(df, ts, tie)
     parts = split_hot(df, keys, ts, rows_per_task)
-    sizes = parts.filter(F.col(PART).isNotNull()).groupBy(*keys, PART).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, PART, F.sum("_n").over(earlier).alias("_offset"))
-    out = parts.withColumn("_position", F.row_number().over(series_window(keys, order)).cast("bigint"))
-    out = lookup(out, offsets, [*keys, PART], ["_offset"])
-    out = out.withColumn("_position", F.col("_position") + F.coalesce(F.col("_offset"), F.lit(0).cast("bigint")))
-    out = linear_between(out.drop("_offset"), column, "_position", keys, order)
+    out = parts.withColumn("_position", F.row_number().over(series_window(parts, keys, order)).cast("bigint"))
+    if PART in parts.columns:
+        sizes = parts.filter(F.col(PART).isNotNull()).groupBy(*keys, PART).agg(F.count(F.lit(1)).alias("_n"))
+        earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select(*keys, PART, F.sum("_n").over(earlier).alias("_offset"))
+        out = lookup(out, offsets, [*keys, PART], ["_offset"])
+        out = out.withColumn("_position", F.col("_position") + F.coalesce(F.col("_offset"), F.lit(0).cast("bigint")))
+        out = out.drop("_offset")
+    out = linear_between(out, column, "_position", keys, order)
     return out.drop("_position", "_tie", PART)

@@ -14,7 +14,7 @@ from sensorpipe.constants import INTERPOLATED, MISSING, RESAMPLED
 from sensorpipe.functions.times import Duration, micros, plus_micros, time_bucket, whole_seconds_between
 from sensorpipe.operators.asof import last_per_time, match_backward
 from sensorpipe.operators.fill import linear_between
-from sensorpipe.operators.skew import PART, ROWS_PER_TASK, carry, edges, lookup
+from sensorpipe.operators.skew import ROWS_PER_TASK, carry, group_keys, with_edges
 
 log = logging.getLogger(__name__)
 
@@ -27,7 +27,9 @@ def series_bounds(df: DataFrame, keys: Sequence[str], ts: str, by_day: bool, day
     scope = [*keys, "_day"] if by_day else list(keys)
     rows = df.withColumn("_day", F.to_date(ts)) if by_day else df
     unit = F.max("unit") if "unit" in df.columns else F.lit("")
-    spans = rows.groupBy(*scope, "metric").agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), unit.alias("_unit"))
+    spans = rows.groupBy(*scope, "metric").agg(
+        F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), unit.alias("_unit"), F.count(F.lit(1)).alias("_n")
+    )
     # From here on the frame has one row per series and day, so these windows are small.
     over_metrics = Window.partitionBy(*scope)
     lo = F.min("_lo").over(over_metrics)
@@ -39,6 +41,7 @@ def series_bounds(df: DataFrame, keys: Sequence[str], ts: str, by_day: bool, day
         F.max("_unit").over(Window.partitionBy(*keys, "metric")).alias("unit"),
         lo.alias("lo"),
         F.max("_hi").over(over_metrics).alias("hi"),
+        F.col("_n").alias("observations"),
     )
 
 
@@ -49,6 +52,7 @@ def grid(bounds: DataFrame, keys: Sequence[str], ts: str, freq: str | Duration,
     holds more than one block.
     """
     step = Duration.of(freq)
+    bounds = bounds.drop("observations")
     lo, hi = F.col("lo"), F.col("hi")
     if step.micros is None:
         per_step = F.make_ym_interval(F.lit(0), F.lit(step.months))
@@ -108,9 +112,13 @@ def resample(
         F.lit(0).alias("side"),
         F.struct(F.col(ts).alias("obs_ts"), F.col("value").cast("double").alias("value"), "quality_flag").alias("match"),
     )
-    cells = grid(series_bounds(timed, keys, ts, by_day, day_anchor), [*keys, *day, "metric"], ts, freq, block_cells)
+    bounds = series_bounds(timed, keys, ts, by_day, day_anchor)
+    cells = grid(bounds, series, ts, freq, block_cells)
     both = observed.unionByName(cells.select(*series, ts, "cell", "unit", F.lit(1).alias("side")), allowMissingColumns=True)
-    out = match_backward(both, series, ts, rows_per_task)
+    step = Duration.of(freq).micros or Duration.of("4w").micros
+    cell_count = (micros(F.col("hi")) - micros(F.col("lo"))) / step
+    counted = bounds.select(*series, (F.col("observations") + cell_count).alias("_n"))
+    out = match_backward(both, series, ts, rows_per_task, counted)
 
     if by_day:
         out = _take_first_match(out, series, ts)
@@ -143,9 +151,8 @@ def _take_first_match(df: DataFrame, series: Sequence[str], ts: str) -> DataFram
     """Cells with no match take the match of the first cell of their day that has one."""
     match = F.col("match")
     first = F.min(F.when(match.isNotNull(), F.struct(F.col(ts).alias("t"), match.alias("match"))))
-    later = edges(df, series, {"_later": match}, [ts], forward=False)
-    out = df.withColumn("_first", first.over(Window.partitionBy(*series, PART)))
-    out = lookup(out, later, [*series, PART], ["_later"])
+    out = df.withColumn("_first", first.over(Window.partitionBy(*group_keys(df, series))))
+    out = with_edges(out, df, series, {"_later": match}, [ts], forward=False)
     return out.withColumn("match", F.coalesce(match, F.col("_first.match"), F.col("_later"))).drop("_first", "_later")
 
 

@@ -1,9 +1,9 @@
 """Joins and ordered windows that stay balanced when one key holds a large share of the rows.
 
-A group with more than ``rows_per_task`` rows is *hot*. There can be at most (all rows / rows_per_task) hot
-groups and twice that many slices of them, so the small frames made here are the only ones that are broadcast.
-With no hot group, the adaptive planner finds those frames empty and drops every branch that depends on them:
-what remains is one count by key.
+A group with more than ``rows_per_task`` rows is *hot*. An operator first counts rows by key, one job over the key
+columns. Mostly nothing is hot and the plan is a plain join or window. Otherwise hot groups are sliced: there are at
+most (all rows / rows_per_task) of them and twice that many slices, so the frames that describe them are the only ones
+that are broadcast.
 
 All choices depend on row values only, so a task that runs again makes the same choice again.
 """
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sensorpipe.functions.times import micros
+from sensorpipe.session import checkpointed
 
 ROWS_PER_TASK = 4_000_000
 PART = "_part"
@@ -40,10 +41,12 @@ def lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], values: Sequenc
     return df.join(right, _match(keys), how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows and the number of tasks to spread each over (``_tasks``)."""
+def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
+    """Keys with more than ``rows_per_task`` rows and the number of tasks to spread each over (``_tasks``), or None."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
-    return counts.select(*keys, F.ceil(F.col("_n") / rows_per_task).alias("_tasks"))
+    if counts.isEmpty():
+        return None
+    return checkpointed(counts.select(*keys, F.ceil(F.col("_n") / rows_per_task).alias("_tasks")))
 
 
 def attach(
@@ -56,18 +59,19 @@ def attach(
 ) -> DataFrame:
     """Join a frame with one row per key, of any size; rows of a hot key are spread by their content.
 
-    ``how`` is ``left`` (adds ``values``), ``left_semi`` or ``left_anti``.
+    ``how`` is ``left`` (adds ``values``), ``left_semi`` or ``left_anti``; null keys match null keys.
     """
     hot = hot_groups(df, keys, rows_per_task)
+    right_keys = [f"_r_{k}" for k in keys]
+    if hot is None:
+        return df.join(_right(per_key, keys, values), _match(keys), how).drop(*right_keys)
     content = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, T.MapType)]
     tasks = F.coalesce(F.col("_tasks"), F.lit(1).cast("bigint"))
     spread = F.pmod(F.xxhash64(*content), tasks) if content else F.lit(0).cast("bigint")
     left = lookup(df, hot, keys, ["_tasks"]).withColumn("_salt", spread).drop("_tasks")
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), tasks - 1)).alias("_r__salt")
-    right = _right(lookup(per_key, hot, keys, ["_tasks"]), keys, [*values, "_tasks"]).select(
-        *[f"_r_{k}" for k in keys], *values, copies
-    )
-    return left.join(right, _match([*keys, "_salt"]), how).drop("_salt", "_r__salt", *[f"_r_{k}" for k in keys])
+    right = _right(lookup(per_key, hot, keys, ["_tasks"]), keys, [*values, "_tasks"]).select(*right_keys, *values, copies)
+    return left.join(right, _match([*keys, "_salt"]), how).drop("_salt", "_r__salt", *right_keys)
 
 
 def _position(df: DataFrame, axis: str) -> Column:
@@ -84,30 +88,39 @@ def _slice_number(position: Column, low: str, high: str, tasks: str) -> Column:
     return F.greatest(F.lit(0), F.least(F.coalesce(number, F.lit(0)), F.col(tasks) - 1))
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], axis: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Add ``_part``: null in groups that fit one task, else the number of the row's slice along ``axis``.
+def split_hot(
+    df: DataFrame,
+    keys: Sequence[str],
+    axis: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Where groups are hot, add ``_part``: null in groups that fit one task, else the row's slice along ``axis``.
 
     A hot group is cut into equal slices of its span; a slice that is still too large is cut once more.
     ``_part`` grows with ``axis``, so a window over keys and part, plus what the earlier parts pass on (``edges``),
-    gives the same rows as a window over the keys alone.
+    gives the same rows as a window over the keys alone. With no hot group the frame is returned as it is.
+
+    ``counted`` (keys and ``_n``) can stand in for counting ``df`` where that is cheaper.
     """
+    if counted is None:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if counted.filter(F.col("_n") > rows_per_task).isEmpty():
+        return df
     position = _position(df, axis)
+    finite = F.when(~F.isnan(position) & (F.abs(position) < float("inf")), position)
 
     def spans(rows: DataFrame, by: Sequence[str], level: int) -> DataFrame:
-        finite = F.when(~F.isnan(position) & (F.abs(position) < float("inf")), position)
-        return (
-            rows.groupBy(*by)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min(finite).alias(f"_low{level}"), F.max(finite).alias(f"_high{level}"))
-            .filter(F.col("_n") > rows_per_task)
-            .withColumn(f"_tasks{level}", F.ceil(F.col("_n") / rows_per_task))
-            .drop("_n")
+        counts = rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(finite).alias(f"_low{level}"), F.max(finite).alias(f"_high{level}")
         )
+        hot = counts.filter(F.col("_n") > rows_per_task)
+        return checkpointed(hot.withColumn(f"_tasks{level}", F.ceil(F.col("_n") / rows_per_task)).drop("_n"))
 
     names = ["_low1", "_high1", "_tasks1"]
     coarse = spans(df, keys, 1)
     number = F.when(F.col("_tasks1").isNotNull(), _slice_number(position, *names))
-    in_hot = lookup(df, coarse, keys, names, "inner").withColumn("_slice1", number)
-    fine = spans(in_hot, [*keys, "_slice1"], 2)
+    fine = spans(lookup(df, coarse, keys, names, "inner").withColumn("_slice1", number), [*keys, "_slice1"], 2)
     sliced = lookup(df, coarse, keys, names).withColumn("_slice1", number)
     sliced = lookup(sliced, fine, [*keys, "_slice1"], ["_low2", "_high2", "_tasks2"])
     inner = F.when(F.col("_tasks2").isNotNull(), _slice_number(position, "_low2", "_high2", "_tasks2"))
@@ -136,9 +149,29 @@ def edges(
     return ends.select(*keys, PART, *[F.last(name, True).over(earlier).alias(name) for name in payloads])
 
 
-def series_window(keys: Sequence[str], order: Sequence[str], forward: bool = True) -> Window:
+def with_edges(
+    df: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    payloads: Mapping[str, Column],
+    order: Sequence[str],
+    forward: bool = True,
+) -> DataFrame:
+    """Add the edges of ``source`` to ``df``; null where no group is hot."""
+    if PART in source.columns:
+        return lookup(df, edges(source, keys, payloads, order, forward), [*keys, PART], list(payloads))
+    kinds = source.select(*[p.alias(n) for n, p in payloads.items()]).schema
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in kinds.fields})
+
+
+def group_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    return [*keys, PART] if PART in df.columns else list(keys)
+
+
+def series_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], forward: bool = True) -> Window:
+    # Descending order puts nulls last, which mirrors the ascending order.
     columns = [F.col(c) if forward else F.col(c).desc() for c in order]
-    return Window.partitionBy(*keys, PART).orderBy(*columns)
+    return Window.partitionBy(*group_keys(df, keys)).orderBy(*columns)
 
 
 def carry(
@@ -149,14 +182,13 @@ def carry(
     ``df`` has been through ``split_hot``. The backward direction sorts in reverse: a frame that ends at the last
     row would be scanned anew for every row.
     """
-    seeds = edges(df, keys, {f"_seed_{n}": p for n, p in payloads.items()}, order, forward)
-    # Descending order puts nulls last, which mirrors the ascending order.
-    window = series_window(keys, order, forward).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    window = series_window(df, keys, order, forward).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = df.withColumns({n: F.last(p, True).over(window) for n, p in payloads.items()})
-    filled = lookup(filled, seeds, [*keys, PART], [f"_seed_{n}" for n in payloads])
-    return filled.withColumns({n: F.coalesce(F.col(n), F.col(f"_seed_{n}")) for n in payloads}).drop(
-        *[f"_seed_{n}" for n in payloads]
-    )
+    if PART not in df.columns:
+        return filled
+    seeds = {f"_seed_{n}": p for n, p in payloads.items()}
+    filled = with_edges(filled, df, keys, seeds, order, forward)
+    return filled.withColumns({n: F.coalesce(F.col(n), F.col(f"_seed_{n}")) for n in payloads}).drop(*seeds)
 
 
 def content_hash(df: DataFrame, skip: Sequence[str] = ()) -> Column:

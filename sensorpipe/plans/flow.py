@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorpipe.functions.rounding import float_columns, round_by_metric, round_columns
+from sensorpipe.functions.rounding import round_by_metric, round_columns
 from sensorpipe.functions.times import parse_bound, parse_time
 from sensorpipe.functions.transforms import derive, gaussianise
 from sensorpipe.operators import select as sel
@@ -28,7 +28,7 @@ from sensorpipe.operators.resample import resample_by_domain
 from sensorpipe.operators.reshape import readings_to_long, to_canonical, to_sink_long, to_variable_long
 from sensorpipe.sinks.export import export_csv, rewrite_lines
 from sensorpipe.sinks.report import source_report
-from sensorpipe.sinks.tables import cast_value, map_columns, write_dataset, write_table
+from sensorpipe.sinks.tables import cast_value, map_columns, staged, write_dataset, write_table
 from sensorpipe.sources import files
 from sensorpipe.sources.keyvalue import discover_metrics, parse_lines, project_metrics, rewrite_line_times
 from sensorpipe.streaming.incremental import select_new
@@ -270,9 +270,17 @@ class Flow:
             raise ValueError(f"{path}: 'items' must list objects with 'run' and 'with'")
         return cls([Step.of(i["run"], _read_json(spark, i["with"])) for i in items], **bounds)
 
-    def chain(self, df: DataFrame) -> DataFrame:
-        """All steps as one lazy frame."""
-        return reduce(lambda rows, step: STEPS[step.name](rows, step.config), self.steps, df)
+    def chain(self, df: DataFrame, stage: bool = True) -> DataFrame:
+        """The steps one after the other on a frame.
+
+        A step may read its input several times, so each result but the last is written once to the shared folder;
+        ``stage=False`` leaves everything to one lazy plan, for short chains.
+        """
+        for number, step in enumerate(self.steps):
+            df = STEPS[step.name](df, step.config)
+            if stage and number + 1 < len(self.steps):
+                df = staged(df)
+        return df
 
     def run(self, spark: SparkSession) -> dict[str, DataFrame]:
         """Read, compute and write each step in turn; returns rows before and after per step as frames."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings worth having on any cluster that runs this library.
 RECOMMENDED = {
@@ -25,15 +25,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder path below the folder named in ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it gets a temporary folder.
-    """
+def _shared_base(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``; only a local session may go without and gets a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="sensorpipe-")
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder path that all executors share."""
+    return f"{_shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small frame."""
+    _shared_base(df.sparkSession)
+    return df.checkpoint()

@@ -147,42 +147,48 @@ def write_table(
     exists = table_exists(spark, path)
     if not exists and not (autocreate or destroy):
         raise ValueError(f"there is no table at {path}")
-    if destroy or not exists or policy == "replace_all":
-        staged = _stage(rows, compression)
-        write_dataset(staged, path, partition_by=["day"], clear=True, compression=compression)
-        return
-    table = spark.read.option("mergeSchema", "true").parquet(path)
-    if policy == "append":
+    if exists and policy == "append" and not destroy:
+        table = spark.read.option("mergeSchema", "true").parquet(path)
         write_dataset(align_columns(rows, table.schema), path, partition_by=["day"], compression=compression)
         return
-    batch = _stage(rows, compression)
+    # The batch is computed once; it may be read from the table itself.
+    batch_path = shared_dir(spark, "batch")
+    batch = staged(rows, compression, batch_path)
+    if destroy or not exists or policy == "replace_all":
+        write_dataset(batch, path, partition_by=["day"], clear=True, compression=compression)
+    else:
+        _replace_days(batch, path, ts, start, end, scope, compression)
+    _delete(spark, batch_path)
+
+
+def _replace_days(batch, path, ts, start, end, scope, compression) -> None:
+    spark = batch.sparkSession
     span = batch.agg(F.min(ts), F.max(ts)).first()
-    lo = parse_bound(start) or span[0]
-    hi = parse_bound(end, end=True) or span[1]
+    lo, hi = parse_bound(start) or span[0], parse_bound(end, end=True) or span[1]
     if lo is None or hi is None:
         return
-    touched = table.filter(F.col("day").between(F.lit(lo.date()), F.lit(hi.date())))
-    batch_days = batch.select("day").distinct()
-    # The calendar bounds the number of days.
-    other_days = table.join(F.broadcast(batch_days), "day", "left_semi").filter(
-        ~F.col("day").between(F.lit(lo.date()), F.lit(hi.date()))
-    )
-    before = touched.unionByName(other_days)
-    kept = rows_outside(before, batch, ts, start if start else None, end if end else None, scope)
-    content = _stage(evolve(kept, batch), compression)
-    emptied = touched.select("day").distinct().join(F.broadcast(content.select("day").distinct()), "day", "left_anti")
-    emptied = [r[0] for r in emptied.collect()]
+    table = spark.read.option("mergeSchema", "true").parquet(path)
+    in_range = F.col("day").between(F.lit(lo.date()), F.lit(hi.date()))
+    touched = table.filter(in_range)
+    # The calendar bounds the number of distinct days.
+    batch_days = F.broadcast(batch.select("day").distinct())
+    other_days = table.filter(~in_range).join(batch_days, "day", "left_semi")
+    kept = rows_outside(touched.unionByName(other_days), batch, ts, start, end, scope)
+    content_path = shared_dir(spark, "content")
+    content = staged(evolve(kept, batch), compression, content_path)
+    left = F.broadcast(content.select("day").distinct())
+    emptied = [r[0] for r in touched.select("day").distinct().join(left, "day", "left_anti").collect()]
     overwrite_partitions(content, path, ["day"], compression)
     for day in emptied:
         _delete(spark, f"{path.rstrip('/')}/day={day}")
+    _delete(spark, content_path)
 
 
-def _stage(df: DataFrame, compression: str) -> DataFrame:
-    """Write the rows once to the shared folder and read them back."""
-    spark = df.sparkSession
-    path = shared_dir(spark, "stage")
+def staged(df: DataFrame, compression: str = "snappy", path: str | None = None) -> DataFrame:
+    """Write the rows once, by default to a fresh shared folder, and read them back."""
+    path = path or shared_dir(df.sparkSession, "stage")
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def value_type_of(value: Column) -> Column:

@@ -80,7 +80,7 @@ def read_csv(
     null_text: str | None = CSV_NULL,
 ) -> DataFrame:
     """Comma-separated files with a header. Without a schema the types are inferred, which reads the files twice."""
-    reader = _reader(spark, pattern, recursive).option("header", "true")
+    reader = _reader(spark, pattern, recursive).option("header", "true").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]['Z']")
     if null_text is not None:
         reader = reader.option("nullValue", null_text).option("nanValue", null_text)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
