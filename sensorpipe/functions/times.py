@@ -94,11 +94,10 @@ def parse_time(text: Column, zone: str = "convert") -> Column:
     # A bare cast would read '12:30' and 'today' as the current date, so only full dates get there.
     full_date = trimmed.rlike(r"^\d{4}-\d{1,2}-\d{1,2}")
     kind = "timestamp" if zone == "convert" else "timestamp_ntz"
-    compact = F.try_to_timestamp(trimmed, F.lit("yyyyMMdd"))
-    parsed = F.when(full_date, trimmed.try_cast(kind).cast("timestamp_ntz")).when(
-        trimmed.rlike(r"^\d{8}$"), compact.cast("timestamp_ntz")
+    parsed = F.when(full_date, trimmed.try_cast(kind).cast("timestamp")).when(
+        trimmed.rlike(r"^\d{8}$"), F.try_to_timestamp(trimmed, F.lit("yyyyMMdd"))
     )
-    return truncate_seconds(parsed)
+    return F.date_trunc("second", parsed).cast("timestamp_ntz")
 
 
 def format_time(ts: Column) -> Column:

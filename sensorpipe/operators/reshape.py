@@ -85,7 +85,9 @@ def to_raw_long(
 
 def readings_to_long(df: DataFrame, *, time_column: str = "Time", keep: Sequence[str] = ("device_id",)) -> DataFrame:
     """Parsed lines (a ``readings`` map per row) straight to ``Time, device_id, sensor, value``, without a wide frame."""
-    return df.select(F.col(time_column).alias("Time"), *keep, F.explode("readings").alias("sensor", "value"))
+    # The outer form keeps the planner from testing the map for entries first, which would parse every line twice.
+    long = df.select(F.col(time_column).alias("Time"), *keep, F.explode_outer("readings").alias("sensor", "value"))
+    return long.filter(F.col("sensor").isNotNull())
 
 
 def to_variable_long(df: DataFrame, *, time_column: str = "Time", drop: Sequence[str] = ()) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from sensorpipe.constants import CSV_NULL
 from sensorpipe.functions import naming
 from sensorpipe.functions.times import parse_bound, parse_time
-from sensorpipe.operators.reshape import to_raw_long
+from sensorpipe.operators.reshape import readings_to_long, to_raw_long
 from sensorpipe.operators.select import filter_range, resolve_time_column
 from sensorpipe.sources.keyvalue import parse_lines_lenient
 
@@ -152,14 +152,16 @@ def read_raw_long(
 
 def raw_lines_to_long(lines: DataFrame, zone: str = "convert", exclude_columns: Sequence[str] = ()) -> DataFrame:
     """Raw text lines with ``source_file``, batch or stream, to ``Time, device_id, sensor, value, day, source_file``."""
-    parsed = identify(parse_lines_lenient(lines))
-    long = parsed.select(
+    parsed = identify(parse_lines_lenient(lines, drop_empty=False))
+    named = parsed.select(
         parse_time(F.col("time_text"), zone).alias("Time"),
         F.coalesce("device_id", F.lit("")).alias("device_id"),
-        F.explode("readings").alias("sensor", "value"),
+        "readings",
         "day",
         "source_file",
     )
+    long = readings_to_long(named, keep=["device_id", "day", "source_file"])
+    long = long.select("Time", "device_id", "sensor", "value", "day", "source_file")
     return long.filter(~F.col("sensor").isin(list(exclude_columns))) if exclude_columns else long
 
 

@@ -15,33 +15,31 @@ from sensorpipe.functions.times import format_time, parse_time
 
 _TYPES = {"int": "bigint", "long": "bigint", "float": "double", "double": "double", "string": "string"}
 _BLANKS = " \t\r\n"
-
-
-def _last_wins(entries: Column) -> Column:
-    """Entries ``{k, v}`` to a map; of entries with one key the last is kept."""
-    keys = F.transform(entries, lambda e: e["k"])
-    # The quadratic search for later duplicates runs only on lines that have some.
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["k"] == e["k"]),
+# One part of a line: a key, a colon and a value that may hold more colons.
+_PAIR = r";([^;:]*):([^;]*)"
+_SPACED_PAIR = r";\s*([^;:]*?)\s*:\s*([^;]*?)\s*(?=;|$)"
+
+
+def _pairs(line: Column, pattern: str) -> list[Column]:
+    """The time text, the keys and the values of a line: two scans of the text, no per-part expression."""
+    text = F.btrim(line, F.lit(_BLANKS))
+    keys, values = (F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) for group in (1, 2))
+    return [F.substring_index(text, ";", 1).alias("time_text"), keys.alias("_keys"), values.alias("_values")]
+
+
+def _with_readings(df: DataFrame, keys: Column, values: Column) -> DataFrame:
+    """Key and value arrays to one map; of entries with the same key the last is kept."""
+    others = [c for c in df.columns if not c.startswith("_")]
+    # Separate projections, so that neither arrays nor reversed arrays are computed once per use.
+    pairs = df.select(*others, keys.alias("_keys"), values.alias("_values"))
+    turned = pairs.select("*", F.reverse("_keys").alias("_last_keys"), F.reverse("_values").alias("_last_values"))
+    unique = F.array_distinct("_last_keys")
+    last = F.transform(
+        unique, lambda k: F.element_at(F.col("_last_values"), F.array_position(F.col("_last_keys"), k).cast("int"))
     )
-    unique = F.size(F.array_distinct(keys)) == F.size(keys)
-    return F.map_from_entries(F.when(unique, entries).otherwise(last))
-
-
-def _parts(line: Column) -> tuple[Column, Column]:
-    """The time text and the parts that hold a colon."""
-    parts = F.split(F.btrim(line, F.lit(_BLANKS)), ";")
-    rest = F.slice(parts, F.lit(2), F.size(parts))
-    return F.get(parts, F.lit(0)), F.filter(rest, lambda p: F.contains(p, F.lit(":")))
-
-
-def _key(part: Column) -> Column:
-    return F.substring_index(part, ":", 1)
-
-
-def _value(part: Column) -> Column:
-    return F.substring(part, F.instr(part, ":") + 1, F.length(part))
+    plain = F.map_from_arrays("_keys", "_values")
+    readings = F.when(F.size(unique) == F.size("_keys"), plain).otherwise(F.map_from_arrays(unique, last))
+    return turned.select(*others, readings.alias("readings"))
 
 
 def parse_lines(df: DataFrame, line: str = "value") -> DataFrame:
@@ -49,33 +47,34 @@ def parse_lines(df: DataFrame, line: str = "value") -> DataFrame:
 
     A part is split at its first colon; parts without one are ignored.
     """
-    time, pairs = _parts(F.col(line))
-    entries = F.transform(pairs, lambda p: F.struct(_key(p).alias("k"), _value(p).alias("v")))
     others = [c for c in df.columns if c != line]
     kept = df.filter(F.btrim(F.col(line), F.lit(_BLANKS)) != "")
-    return kept.select(*others, time.alias("time_text"), _last_wins(entries).alias("readings"))
+    return _with_readings(kept.select(*others, *_pairs(F.col(line), _PAIR)), F.col("_keys"), F.col("_values"))
 
 
-def parse_lines_lenient(df: DataFrame, line: str = "value") -> DataFrame:
+def parse_lines_lenient(df: DataFrame, line: str = "value", drop_empty: bool = True) -> DataFrame:
     """As ``parse_lines``, with keys and values stripped and all values numbers.
 
-    Values that are no number are ignored; lines without a time or without any valid pair are dropped.
+    Values that are no number are ignored; lines without a time or, unless told otherwise, without any valid pair are
+    dropped.
     """
-    time, pairs = _parts(F.col(line))
-    number = lambda p: F.nullif(_value(p).try_cast("double"), F.lit(float("nan")))
-    entries = F.filter(
-        F.transform(pairs, lambda p: F.struct(F.btrim(_key(p), F.lit(_BLANKS)).alias("k"), number(p).alias("v"))),
-        lambda e: (e["k"] != "") & e["v"].isNotNull(),
-    )
     others = [c for c in df.columns if c != line]
-    out = df.select(*others, F.btrim(time, F.lit(_BLANKS)).alias("time_text"), entries.alias("_entries"))
-    out = out.filter((F.col("time_text") != "") & (F.size("_entries") > 0))
-    return out.select(*others, "time_text", _last_wins(F.col("_entries")).alias("readings"))
+    scanned = df.select(*others, *_pairs(F.col(line), _SPACED_PAIR))
+    numbers = F.transform("_values", lambda v: F.nullif(v.try_cast("double"), F.lit(float("nan"))))
+    zipped = F.arrays_zip(F.col("_keys").alias("k"), numbers.alias("v"))
+    valid = F.filter(zipped, lambda e: (e["k"] != "") & e["v"].isNotNull())
+    time = F.btrim("time_text", F.lit(_BLANKS))
+    out = scanned.select(*others, time.alias("time_text"), valid.alias("_valid"))
+    out = out.filter(F.col("time_text") != "")
+    if drop_empty:
+        out = out.filter(F.size("_valid") > 0)
+    return _with_readings(out, F.col("_valid.k"), F.col("_valid.v"))
 
 
 def discover_metrics(df: DataFrame) -> DataFrame:
     """The keys that occur, how often, and the narrowest type that holds all their values."""
-    pairs = df.select(F.explode("readings").alias("metric", "text")).withColumn("text", F.col("text").cast("string"))
+    pairs = df.select(F.explode_outer("readings").alias("metric", "text")).filter(F.col("metric").isNotNull())
+    pairs = pairs.withColumn("text", F.col("text").cast("string"))
     is_nan = F.lower(F.trim("text")) == "nan"
     whole = F.bool_and(is_nan | (~F.contains("text", F.lit(".")) & F.col("text").try_cast("bigint").isNotNull()))
     number = F.bool_and(is_nan | F.col("text").try_cast("double").isNotNull())
