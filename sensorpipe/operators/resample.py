@@ -14,7 +14,8 @@ from sensorpipe.constants import INTERPOLATED, MISSING, RESAMPLED
 from sensorpipe.functions.times import Duration, micros, plus_micros, time_bucket, whole_seconds_between
 from sensorpipe.operators.asof import last_per_time, match_backward
 from sensorpipe.operators.fill import linear_between
-from sensorpipe.operators.skew import ROWS_PER_TASK, carry, group_keys, with_edges
+from sensorpipe.operators.skew import PART, ROWS_PER_TASK, carry, group_keys, with_edges
+from sensorpipe.session import staged
 
 log = logging.getLogger(__name__)
 
@@ -120,6 +121,8 @@ def resample(
     counted = bounds.select(*series, (F.col("observations") + cell_count).alias("_n"))
     out = match_backward(both, series, ts, rows_per_task, counted)
 
+    if PART in out.columns and (by_day or interpolation not in (None, "forward")):
+        out = staged(out)
     if by_day:
         out = _take_first_match(out, series, ts)
     obs_ts = F.col("match.obs_ts")

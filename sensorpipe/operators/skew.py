@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sensorpipe.functions.times import micros
-from sensorpipe.session import checkpointed
+from sensorpipe.session import checkpointed, staged
 
 ROWS_PER_TASK = 4_000_000
 PART = "_part"
@@ -101,6 +101,8 @@ def split_hot(
     ``_part`` grows with ``axis``, so a window over keys and part, plus what the earlier parts pass on (``edges``),
     gives the same rows as a window over the keys alone. With no hot group the frame is returned as it is.
 
+    Sliced rows are written to the shared folder, since windows over them need two reads.
+
     ``counted`` (keys and ``_n``) can stand in for counting ``df`` where that is cheaper.
     """
     if counted is None:
@@ -124,9 +126,9 @@ def split_hot(
     sliced = lookup(df, coarse, keys, names).withColumn("_slice1", number)
     sliced = lookup(sliced, fine, [*keys, "_slice1"], ["_low2", "_high2", "_tasks2"])
     inner = F.when(F.col("_tasks2").isNotNull(), _slice_number(position, "_low2", "_high2", "_tasks2"))
-    return sliced.withColumn(PART, F.col("_slice1") * _LEVEL + F.coalesce(inner, F.lit(0).cast("bigint"))).drop(
-        *names, "_slice1", "_low2", "_high2", "_tasks2"
-    )
+    sliced = sliced.withColumn(PART, F.col("_slice1") * _LEVEL + F.coalesce(inner, F.lit(0).cast("bigint")))
+    # The rows are read twice from here, for the edges and for the window: they are written once instead of computed twice.
+    return staged(sliced.drop(*names, "_slice1", "_low2", "_high2", "_tasks2"))
 
 
 def edges(

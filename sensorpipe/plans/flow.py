@@ -26,9 +26,10 @@ from sensorpipe.operators.clean import clean, rules_fill_drop
 from sensorpipe.operators.dedup import dedup, limit_rows
 from sensorpipe.operators.resample import resample_by_domain
 from sensorpipe.operators.reshape import readings_to_long, to_canonical, to_sink_long, to_variable_long
+from sensorpipe.session import staged
 from sensorpipe.sinks.export import export_csv, rewrite_lines
 from sensorpipe.sinks.report import source_report
-from sensorpipe.sinks.tables import cast_value, map_columns, staged, write_dataset, write_table
+from sensorpipe.sinks.tables import cast_value, map_columns, write_dataset, write_table
 from sensorpipe.sources import files
 from sensorpipe.sources.keyvalue import discover_metrics, parse_lines, project_metrics, rewrite_line_times
 from sensorpipe.streaming.incremental import select_new

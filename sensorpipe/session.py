@@ -46,3 +46,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small frame."""
     _shared_base(df.sparkSession)
     return df.checkpoint()
+
+
+def staged(df: DataFrame, compression: str = "snappy", path: str | None = None) -> DataFrame:
+    """Write the rows once, by default to a fresh shared folder, and read them back: a cut in the lineage."""
+    path = path or shared_dir(df.sparkSession, "stage")
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

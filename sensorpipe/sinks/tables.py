@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sensorpipe.functions.times import parse_bound, time_literal
 from sensorpipe.operators.skew import ROWS_PER_TASK, attach
-from sensorpipe.session import shared_dir
+from sensorpipe.session import shared_dir, staged
 
 POLICIES = ("append", "replace", "replace_all")
 
@@ -184,13 +184,6 @@ def _replace_days(batch, path, ts, start, end, scope, compression) -> None:
     _delete(spark, content_path)
 
 
-def staged(df: DataFrame, compression: str = "snappy", path: str | None = None) -> DataFrame:
-    """Write the rows once, by default to a fresh shared folder, and read them back."""
-    path = path or shared_dir(df.sparkSession, "stage")
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def value_type_of(value: Column) -> Column:
     """Aggregate: ``int`` when all values are whole within 1e-9, else ``numeric``; also ``numeric`` without values."""
     off = F.max(F.abs(value - F.signum(value) * F.floor(F.abs(value))))
