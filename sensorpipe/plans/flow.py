@@ -29,7 +29,7 @@ from sensorpipe.operators.reshape import readings_to_long, to_canonical, to_sink
 from sensorpipe.session import staged
 from sensorpipe.sinks.export import export_csv, rewrite_lines
 from sensorpipe.sinks.report import source_report
-from sensorpipe.sinks.tables import cast_value, map_columns, write_dataset, write_table
+from sensorpipe.sinks.tables import cast_value, map_columns, overwrite_partitions, table_exists, write_dataset, write_table
 from sensorpipe.sources import files
 from sensorpipe.sources.keyvalue import discover_metrics, parse_lines, project_metrics, rewrite_line_times
 from sensorpipe.streaming.incremental import select_new
@@ -233,7 +233,7 @@ STEPS = {
     "convert_timestamps": lambda df, config: rewrite_line_times(df),
 }
 _TEXT = {"parser", "preprocess", "convert_timestamps"}
-_LONG_SINKS = {"import_postgres": "ts", "import_raw_postgres": "Time"}
+_SINK_TIME = {"import_postgres": "ts", "import_raw_postgres": "Time"}
 
 
 def step_name(run: str) -> str:
@@ -283,15 +283,18 @@ class Flow:
                 df = staged(df)
         return df
 
-    def run(self, spark: SparkSession) -> dict[str, DataFrame]:
-        """Read, compute and write each step in turn; returns rows before and after per step as frames."""
-        reports = {}
-        for number, step in enumerate(self.steps):
+    def run(self, spark: SparkSession) -> list[tuple[str, DataFrame | None]]:
+        """Read, compute and write each step in turn.
+
+        Returns per step its name and the rows per source file before and after, where both sides know the file.
+        """
+        reports = []
+        for step in self.steps:
             before = read_step(spark, step)
             after = STEPS[step.name](before, step.config)
-            write_step(spark, step, after)
-            by = [c for c in ("source_file",) if c in before.columns and c in after.columns]
-            reports[f"{number}:{step.name}"] = source_report(before, after, by) if by else None
+            write_step(step, after)
+            known = "source_file" in before.columns and "source_file" in after.columns
+            reports.append((step.name, source_report(before, after) if known else None))
         return reports
 
 
@@ -305,64 +308,79 @@ def read_step(spark: SparkSession, step: Step) -> DataFrame:
     recursive = str(settings.get("search_in_subdirectory", "no")).lower() == "yes"
     exclude = settings.get("except") or None
     if step.name in _TEXT:
-        return files.read_text(spark, path, pattern=settings.get("file_pattern", "*.csv"), recursive=recursive, exclude=exclude)
-    pattern = settings.get("file_pattern", "*.parquet")
+        pattern = settings.get("file_pattern", "*.csv")
+        return files.read_text(spark, path, pattern=pattern, recursive=recursive, exclude=exclude)
     if step.name == "import_raw_postgres":
-        return files.read_raw_long(
-            spark, path, pattern=pattern, recursive=recursive, exclude=exclude, time_column=settings.get("timestamp_column", "Time")
+        raw = files.read_raw_long(
+            spark,
+            path,
+            pattern=settings.get("file_pattern", "*.csv"),
+            recursive=recursive,
+            exclude=exclude,
+            time_column=settings.get("timestamp_column", "Time"),
         )
+        return _not_loaded(raw, step)
+    pattern = settings.get("file_pattern", "*.parquet")
     reader = files.read_parquet if pattern.endswith("parquet") else files.read_csv
-    # Folders written as key=value are partitions: they are searched without asking and give columns.
-    df = reader(spark, path, pattern=pattern, exclude=exclude)
-    df = files.with_domain(df).drop("source_path")
-    return df.drop("source_file") if step.name != "parser" else df
+    # Folders named key=value are searched without asking and give columns. Identity is in columns from here on, so
+    # the names of the files between steps say nothing.
+    df = files.with_domain(reader(spark, path, pattern=pattern, exclude=exclude))
+    return df.drop("source_path", "source_file")
 
 
-def write_step(spark: SparkSession, step: Step, df: DataFrame) -> None:
+def write_step(step: Step, df: DataFrame) -> None:
     out = _output(step.config)
-    if step.name in _LONG_SINKS:
-        _write_sink(step, df, _LONG_SINKS[step.name])
+    if step.name in _SINK_TIME:
+        _write_sink(step, df)
     elif step.name == "parquet_to_csv":
         export_csv(df, out["output_directory"], decimals=out.get("decimal_places"), ts=_time_in(step.config, "ts"))
     elif step.name == "convert_timestamps":
         rewrite_lines(df, out["output_directory"])
     else:
-        time = next((f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))), None)
-        if "day" not in df.columns and time:
-            df = df.withColumn("day", F.to_date(time))
-        partitions = [c for c in ("domain", "day") if c in df.columns]
-        write_dataset(
-            df,
-            out["output_directory"],
-            partition_by=partitions,
-            clear=bool(out.get("clear")),
-            compression=out.get("compression") or "snappy",
-        )
+        times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))]
+        # The source file has done its work once rows carry device and day.
+        rows = df.drop("source_file")
+        if "day" not in rows.columns and times:
+            rows = rows.withColumn("day", F.to_date(times[0]))
+        partitions = [c for c in ("domain", "day") if c in rows.columns]
+        bounds = _input(step.config)
+        ranged = parse_bound(bounds.get("from")) or parse_bound(bounds.get("to"), end=True)
+        codec = out.get("compression") or "snappy"
+        if out.get("clear") and ranged and partitions:
+            # A run over a range replaces what it computed and leaves the other days alone.
+            overwrite_partitions(rows, out["output_directory"], partitions, codec)
+        else:
+            clear = bool(out.get("clear"))
+            write_dataset(rows, out["output_directory"], partition_by=partitions, clear=clear, compression=codec)
+
+
+def _database(step: Step) -> tuple[Mapping, dict[str, str], str]:
+    """Sink settings, physical column names, and the physical time column."""
+    db, ts = _output(step.config)["database"], _SINK_TIME[step.name]
+    schema = db.get("schema") or {}
+    logical = {"timestamp_column": ts, **{f"{c}_column": c for c in ("device_id", "domain", "sensor", "value")}}
+    names = {column: schema[key] for key, column in logical.items() if key in schema}
+    return db, names, names.get(ts, ts)
+
+
+def _not_loaded(df: DataFrame, step: Step) -> DataFrame:
+    """What the sink lacks: by high-water mark (``max_ts``) or by missing days (``true`` or ``missing_days``)."""
+    db, _, time = _database(step)
+    mode = {True: "missing_days", False: "none", None: "none"}.get(db.get("auto_mode"), db.get("auto_mode"))
+    if mode == "none" or not table_exists(df.sparkSession, db["path"]):
+        return df
+    return select_new(df, df.sparkSession.read.parquet(db["path"]), mode, ts="Time", sink_ts=time)
 
 
-def _write_sink(step: Step, df: DataFrame, ts: str) -> None:
-    db, settings = _output(step.config)["database"], _input(step.config)
-    path = db["path"]
+def _write_sink(step: Step, df: DataFrame) -> None:
+    db, names, time = _database(step)
     raw = step.name == "import_raw_postgres"
-    spark = df.sparkSession
-    mode = {True: "missing_days", False: "none"}.get(db.get("auto_mode", False), db.get("auto_mode"))
-    names = {f"{logical.lower()}": physical for logical, physical in ((k.removesuffix("_column"), v) for k, v in (db.get("schema") or {}).items())}
-    logical = {"timestamp": ts, "device_id": "device_id", "domain": "domain", "sensor": "sensor", "value": "value"}
-    physical = {logical[k]: v for k, v in names.items() if k in logical}
-    time = physical.get(ts, ts)
-    if mode != "none":
-        from sensorpipe.sinks.tables import table_exists
-
-        if table_exists(spark, path):
-            sink = spark.read.parquet(path)
-            dated = df.withColumns({"day": F.to_date(ts), "source_file": F.lit("")})
-            df = select_new(dated, sink, mode, ts=ts, sink_ts=time).select(*df.columns)
-    scale = int(db.get("value_scale", 2 if raw else 6))
+    settings = _input(step.config)
     kind = db.get("value_type") or ("numeric" if raw else None)
-    rows = map_columns(cast_value(df, kind, int(db.get("value_precision", 18)), scale), physical)
+    rows = cast_value(df, kind, int(db.get("value_precision", 18)), int(db.get("value_scale", 2 if raw else 6)))
     write_table(
-        rows,
-        path,
+        map_columns(rows, names),
+        db["path"],
         policy=db.get("policy", "replace"),
         ts=time,
         start=settings.get("from") if raw else None,

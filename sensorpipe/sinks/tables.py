@@ -138,7 +138,8 @@ def write_table(
     """Publish rows to a Parquet table partitioned by ``day`` of ``ts``.
 
     ``replace`` rewrites only the days it touches: the days of the batch and those that meet the range. Their new
-    content is first written to a staging folder, since a table cannot be overwritten while it is read.
+    content is first written to a staging folder, since a table cannot be overwritten while it is read. A batch without
+    rows changes nothing, whatever the range.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
@@ -154,7 +155,9 @@ def write_table(
     # The batch is computed once; it may be read from the table itself.
     batch_path = shared_dir(spark, "batch")
     batch = staged(rows, compression, batch_path)
-    if destroy or not exists or policy == "replace_all":
+    if exists and not destroy and batch.isEmpty():
+        pass
+    elif destroy or not exists or policy == "replace_all":
         write_dataset(batch, path, partition_by=["day"], clear=True, compression=compression)
     else:
         _replace_days(batch, path, ts, start, end, scope, compression)
@@ -165,8 +168,6 @@ def _replace_days(batch, path, ts, start, end, scope, compression) -> None:
     spark = batch.sparkSession
     span = batch.agg(F.min(ts), F.max(ts)).first()
     lo, hi = parse_bound(start) or span[0], parse_bound(end, end=True) or span[1]
-    if lo is None or hi is None:
-        return
     table = spark.read.option("mergeSchema", "true").parquet(path)
     in_range = F.col("day").between(F.lit(lo.date()), F.lit(hi.date()))
     touched = table.filter(in_range)

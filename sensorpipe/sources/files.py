@@ -139,8 +139,10 @@ def read_raw_long(
     wide = reader(spark, path, pattern=pattern, recursive=recursive, exclude=exclude)
     time = resolve_time_column([c for c in wide.columns if c not in names], time_column)
     wide = identify(wide)
-    if isinstance(wide.schema[time].dataType, T.StringType):
-        wide = wide.withColumn(time, parse_time(F.col(time), zone))
+    # Raw times are kept at whole seconds, whatever the format.
+    whole = F.date_trunc("second", F.col(time).cast("timestamp")).cast("timestamp_ntz")
+    text = isinstance(wide.schema[time].dataType, T.StringType)
+    wide = wide.withColumn(time, parse_time(F.col(time), zone) if text else whole)
     identity = wide.withColumn("device_id", F.coalesce("device_id", F.lit("")))
     # The identity columns ride along in the device column's struct, so the melt stays one expand.
     packed = identity.withColumn("device_id", F.struct("device_id", "day", "source_file"))

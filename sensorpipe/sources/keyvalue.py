@@ -20,6 +20,14 @@ _PAIR = r";([^;:]*):([^;]*)"
 _SPACED_PAIR = r";\s*([^;:]*?)\s*:\s*([^;]*?)\s*(?=;|$)"
 
 
+def _number(text: Column) -> Column:
+    """The text as a double; null where it is no number or NaN.
+
+    Text that cannot be a number is told by its first characters: a failed cast costs far more than this test.
+    """
+    return F.when(text.rlike(r"^\s*[-+]?[.0-9iI]"), text.try_cast("double"))
+
+
 def _pairs(line: Column, pattern: str) -> list[Column]:
     """The time text, the keys and the values of a line: two scans of the text, no per-part expression."""
     text = F.btrim(line, F.lit(_BLANKS))
@@ -60,7 +68,7 @@ def parse_lines_lenient(df: DataFrame, line: str = "value", drop_empty: bool = T
     """
     others = [c for c in df.columns if c != line]
     scanned = df.select(*others, *_pairs(F.col(line), _SPACED_PAIR))
-    numbers = F.transform("_values", lambda v: F.nullif(v.try_cast("double"), F.lit(float("nan"))))
+    numbers = F.transform("_values", _number)
     zipped = F.arrays_zip(F.col("_keys").alias("k"), numbers.alias("v"))
     valid = F.filter(zipped, lambda e: (e["k"] != "") & e["v"].isNotNull())
     time = F.btrim("time_text", F.lit(_BLANKS))
@@ -77,7 +85,7 @@ def discover_metrics(df: DataFrame) -> DataFrame:
     pairs = pairs.withColumn("text", F.col("text").cast("string"))
     is_nan = F.lower(F.trim("text")) == "nan"
     whole = F.bool_and(is_nan | (~F.contains("text", F.lit(".")) & F.col("text").try_cast("bigint").isNotNull()))
-    number = F.bool_and(is_nan | F.col("text").try_cast("double").isNotNull())
+    number = F.bool_and(is_nan | _number(F.col("text")).isNotNull())
     kind = F.when(whole, "long").when(number, "double").otherwise("string")
     return pairs.groupBy("metric").agg(F.count(F.lit(1)).alias("readings"), kind.alias("type"))
 
@@ -85,8 +93,7 @@ def discover_metrics(df: DataFrame) -> DataFrame:
 def reading(metric: str, kind: str, readings: str = "readings") -> Column:
     """One typed value out of the map; absent, not castable and NaN are null."""
     text = F.try_element_at(F.col(readings), F.lit(metric))
-    value = text.try_cast(_TYPES[kind])
-    return F.nullif(value, F.lit(float("nan"))) if _TYPES[kind] == "double" else value
+    return _number(text) if _TYPES[kind] == "double" else text.try_cast(_TYPES[kind])
 
 
 def project_metrics(df: DataFrame, metrics: Mapping[str, str] | Sequence[str], *, keep: Sequence[str] | None = None) -> DataFrame:
