@@ -1,7 +1,8 @@
 """Backward as-of join.
 
 Both sides go into one frame ordered by time; each left row takes the last right row before it. That is one shuffle
-by series, and a series that outgrows a task is sliced along time with the last row carried into each slice.
+by series. Where a series outgrows a task, its observations are first reduced to one per time, so that copies collapse
+before they meet, and the series is sliced along time with the last match carried into each slice.
 """
 
 from __future__ import annotations
@@ -11,16 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorpipe.operators.skew import ROWS_PER_TASK, carry, split_hot
+from sensorpipe.operators.skew import ROWS_PER_TASK, any_hot, carry, count_by, split_hot
 
 
 def last_per_time(
     df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str], tie: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per key and time: the last by ``tie``, or the greatest values when there is no tie-break.
-
-    Copies of a row collapse before the shuffle.
-    """
+    """One row per key and time: the last by ``tie``, or the greatest values when there is no tie-break."""
     groups = df.groupBy(*keys, ts)
     if tie:
         place = F.col(tie[0]) if len(tie) == 1 else F.struct(*tie)
@@ -30,15 +28,34 @@ def last_per_time(
 
 
 def match_backward(
-    df: DataFrame, keys: Sequence[str], ts: str, rows_per_task: int = ROWS_PER_TASK, counted: DataFrame | None = None
+    observations: DataFrame,
+    left: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    values: Sequence[str],
+    counted: DataFrame,
+    *,
+    tie: Sequence[str] | None = None,
+    matched_on: str = "obs_ts",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """``df`` holds both sides: ``side`` 0 with a ``match`` struct, and side 1 without. Keeps side 1, matched.
+    """The left rows with ``match``: a struct of the time and values of their last observation, null without one.
 
-    ``_part``, if any series is hot, stays in the result for further windows over the same series.
+    ``counted`` holds the rows of both sides per key (``_n``). ``_part``, if any series is hot, stays in the result for
+    further windows over the same series.
     """
-    parts = split_hot(df, keys, ts, rows_per_task, counted)
-    matched = carry(parts, keys, {"match": F.col("match")}, [ts, "side"])
-    return matched.filter(F.col("side") == 1).drop("side")
+    hot = any_hot(counted, rows_per_task)
+    if hot:
+        observations = last_per_time(observations, keys, ts, values, tie)
+    match = F.struct(F.col(ts).alias(matched_on), *values).alias("match")
+    # Equal times are ordered by the tie-break, then by value; once reduced, there are none.
+    ties = [F.struct(*tie).alias("_tie")] if tie and not hot else []
+    right = observations.select(*keys, ts, F.lit(0).alias("side"), *ties, match)
+    both = right.unionByName(left.withColumn("side", F.lit(1)), allowMissingColumns=True)
+    order = [ts, "side"] if hot else [ts, "side", *(["_tie"] if ties else []), "match"]
+    parts = split_hot(both, keys, ts, rows_per_task) if hot else both
+    matched = carry(parts, keys, {"_matched": F.col("match")}, order)
+    return matched.filter(F.col("side") == 1).drop("side", "match", "_tie").withColumnRenamed("_matched", "match")
 
 
 def asof_backward(
@@ -57,16 +74,14 @@ def asof_backward(
     Equal times match, there is no tolerance, and a null value is still a match. All left rows are kept.
     """
     usable = right.dropna(subset=[*by, on])
-    observations = last_per_time(usable, by, on, values, tie)
     payload = [c for c in left.columns if c not in (*by, on)]
-    match = F.struct(F.col(on).alias(matched_on), *values)
     # An empty struct has no place in a shuffle row, so a left side without other columns carries a constant.
     row = F.struct(*payload) if payload else F.struct(F.lit(0).alias("_"))
-    both = observations.select(*by, on, F.lit(0).alias("side"), match.alias("match")).unionByName(
-        left.select(*by, on, F.lit(1).alias("side"), row.alias("row")), allowMissingColumns=True
+    packed = left.select(*by, on, row.alias("row"))
+    counted = count_by(left.select(*by).unionByName(usable.select(*by)), by)
+    out = match_backward(
+        usable, packed, by, on, values, counted, tie=tie, matched_on=matched_on, rows_per_task=rows_per_task
     )
-    counted = left.select(*by).unionByName(usable.select(*by)).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    out = match_backward(both, by, on, rows_per_task, counted)
     return out.select(
         *[F.col(c) if c in (*by, on) else F.col(f"row.{c}").alias(c) for c in left.columns],
         *[F.col(f"match.{v}").alias(v) for v in (matched_on, *values)],

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from sensorpipe.constants import INTERPOLATED, MISSING, RESAMPLED
 from sensorpipe.functions.times import Duration, micros, plus_micros, time_bucket, whole_seconds_between
-from sensorpipe.operators.asof import last_per_time, match_backward
+from sensorpipe.operators.asof import match_backward
 from sensorpipe.operators.fill import linear_between
 from sensorpipe.operators.skew import PART, ROWS_PER_TASK, carry, group_keys, with_edges
 from sensorpipe.session import staged
@@ -27,9 +27,14 @@ def series_bounds(df: DataFrame, keys: Sequence[str], ts: str, by_day: bool, day
     """One row per series (and day): grid start ``lo`` and end ``hi`` over all metrics of the keys, and its unit."""
     scope = [*keys, "_day"] if by_day else list(keys)
     rows = df.withColumn("_day", F.to_date(ts)) if by_day else df
-    unit = F.max("unit") if "unit" in df.columns else F.lit("")
-    spans = rows.groupBy(*scope, "metric").agg(
-        F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), unit.alias("_unit"), F.count(F.lit(1)).alias("_n")
+    units = ["unit"] if "unit" in df.columns else []
+    # A text maximum would sort all rows before the first aggregation; as one more key it does not.
+    per_unit = rows.groupBy(*scope, "metric", *units).agg(
+        F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.count(F.lit(1)).alias("_n")
+    )
+    unit = F.max("unit") if units else F.lit("")
+    spans = per_unit.groupBy(*scope, "metric").agg(
+        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("_n").alias("_n"), unit.alias("_unit")
     )
     # From here on the frame has one row per series and day, so these windows are small.
     over_metrics = Window.partitionBy(*scope)
@@ -104,22 +109,17 @@ def resample(
     day = ["_day"] if by_day else []
     series = [*keys, "metric", *day]
 
-    observed = last_per_time(timed, [*keys, "metric"], ts, ["value", "quality_flag"], tie)
+    observed = timed.withColumn("value", F.col("value").cast("double"))
     if by_day:
         observed = observed.withColumn("_day", F.to_date(ts))
-    observed = observed.select(
-        *series,
-        ts,
-        F.lit(0).alias("side"),
-        F.struct(F.col(ts).alias("obs_ts"), F.col("value").cast("double").alias("value"), "quality_flag").alias("match"),
-    )
     bounds = series_bounds(timed, keys, ts, by_day, day_anchor)
-    cells = grid(bounds, series, ts, freq, block_cells)
-    both = observed.unionByName(cells.select(*series, ts, "cell", "unit", F.lit(1).alias("side")), allowMissingColumns=True)
+    cells = grid(bounds, series, ts, freq, block_cells).select(*series, ts, "cell", "unit")
     step = Duration.of(freq).micros or Duration.of("4w").micros
     cell_count = (micros(F.col("hi")) - micros(F.col("lo"))) / step
     counted = bounds.select(*series, (F.col("observations") + cell_count).alias("_n"))
-    out = match_backward(both, series, ts, rows_per_task, counted)
+    out = match_backward(
+        observed, cells, series, ts, ["value", "quality_flag"], counted, tie=tie, rows_per_task=rows_per_task
+    )
 
     if PART in out.columns and (by_day or interpolation not in (None, "forward")):
         out = staged(out)

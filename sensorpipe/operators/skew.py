@@ -43,7 +43,7 @@ def lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], values: Sequenc
 
 def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
     """Keys with more than ``rows_per_task`` rows and the number of tasks to spread each over (``_tasks``), or None."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    counts = count_by(df, keys).filter(F.col("_n") > rows_per_task)
     if counts.isEmpty():
         return None
     return checkpointed(counts.select(*keys, F.ceil(F.col("_n") / rows_per_task).alias("_tasks")))
@@ -88,6 +88,14 @@ def _slice_number(position: Column, low: str, high: str, tasks: str) -> Column:
     return F.greatest(F.lit(0), F.least(F.coalesce(number, F.lit(0)), F.col(tasks) - 1))
 
 
+def count_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def any_hot(counted: DataFrame, rows_per_task: int) -> bool:
+    return not counted.filter(F.col("_n") > rows_per_task).isEmpty()
+
+
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],
@@ -105,9 +113,7 @@ def split_hot(
 
     ``counted`` (keys and ``_n``) can stand in for counting ``df`` where that is cheaper.
     """
-    if counted is None:
-        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    if counted.filter(F.col("_n") > rows_per_task).isEmpty():
+    if not any_hot(count_by(df, keys) if counted is None else counted, rows_per_task):
         return df
     position = _position(df, axis)
     finite = F.when(~F.isnan(position) & (F.abs(position) < float("inf")), position)

@@ -43,8 +43,9 @@ def missing_days(
     present = distinct_days(sink, sink_ts or ts).select(F.col("day").alias("_present"))
     # The calendar bounds the number of distinct days.
     absent = dated.join(F.broadcast(present), F.col("_day") == F.col("_present"), "left_anti")
-    known = dated.select(F.count("_day")).scalar()
-    return absent.filter(F.col("_day").isNotNull() | (known == 0)).select(*columns)
+    # Each test stops at the first row it finds.
+    known = not named.isEmpty() or not new.filter(F.col(day).isNull() & F.col(ts).isNotNull()).isEmpty()
+    return (absent.filter(F.col("_day").isNotNull()) if known else absent).select(*columns)
 
 
 def select_new(new: DataFrame, sink: DataFrame, mode: str = "none", **options) -> DataFrame:
