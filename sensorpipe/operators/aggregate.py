@@ -99,14 +99,14 @@ def _grouped(df: DataFrame, keys: Sequence[str], specs: Sequence[Spec], rows_per
     if hot is None:
         columns = [_aggregate(s.method, _when_metric(s.metric, value), accuracy).alias(s.output) for s in specs]
         return df.groupBy(*keys).agg(*columns)
-    rows = lookup(df, hot, [*keys, "metric"], ["_tasks"])
-    small = F.when(F.col("_tasks").isNull(), value)
+    rows = lookup(df, hot, [*keys, "metric"], ["_hot"])
+    small = F.when(F.col("_hot").isNull(), value)
     columns = [
         _aggregate(s.method, _when_metric(s.metric, small if s.method == "median" else value), accuracy).alias(s.output)
         for s in specs
     ]
     out = rows.groupBy(*keys).agg(*columns)
-    large = lookup(df.filter(ranked), hot, [*keys, "metric"], ["_tasks"], "inner").drop("_tasks")
+    large = lookup(df.filter(ranked), hot, [*keys, "metric"], ["_hot"], "inner").drop("_hot")
     medians = median_of_hot_groups(large, [*keys, "metric"], "value", rows_per_task)
     names = {s.output: f"_hot_{i}" for i, s in enumerate(specs) if s.method == "median"}
     wide = medians.groupBy(*keys).agg(

@@ -37,16 +37,23 @@ def _right(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFra
 
 def lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], values: Sequence[str], how: str = "left") -> DataFrame:
     """Add ``values`` from a frame of bounded size by broadcast; null keys match null keys."""
-    right = F.broadcast(_right(small, keys, values))
-    return df.join(right, _match(keys), how).drop(*[f"_r_{k}" for k in keys])
+    return _join(df, F.broadcast(_right(small, keys, values)), keys, how)
+
+
+def count_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def any_hot(counted: DataFrame, rows_per_task: int) -> bool:
+    return not counted.filter(F.col("_n") > rows_per_task).isEmpty()
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
-    """Keys with more than ``rows_per_task`` rows and the number of tasks to spread each over (``_tasks``), or None."""
-    counts = count_by(df, keys).filter(F.col("_n") > rows_per_task)
-    if counts.isEmpty():
+    """Keys with more than ``rows_per_task`` rows, or None if there are none."""
+    counted = count_by(df, keys)
+    if not any_hot(counted, rows_per_task):
         return None
-    return checkpointed(counts.select(*keys, F.ceil(F.col("_n") / rows_per_task).alias("_tasks")))
+    return checkpointed(counted.filter(F.col("_n") > rows_per_task).select(*keys, F.lit(True).alias("_hot")))
 
 
 def attach(
@@ -57,21 +64,21 @@ def attach(
     how: str = "left",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join a frame with one row per key, of any size; rows of a hot key are spread by their content.
+    """Join a frame with one row per key, of any size.
 
+    Rows of hot keys are joined where they are, to the broadcast rows of those keys; only the others are shuffled.
     ``how`` is ``left`` (adds ``values``), ``left_semi`` or ``left_anti``; null keys match null keys.
     """
     hot = hot_groups(df, keys, rows_per_task)
-    right_keys = [f"_r_{k}" for k in keys]
     if hot is None:
-        return df.join(_right(per_key, keys, values), _match(keys), how).drop(*right_keys)
-    content = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, T.MapType)]
-    tasks = F.coalesce(F.col("_tasks"), F.lit(1).cast("bigint"))
-    spread = F.pmod(F.xxhash64(*content), tasks) if content else F.lit(0).cast("bigint")
-    left = lookup(df, hot, keys, ["_tasks"]).withColumn("_salt", spread).drop("_tasks")
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), tasks - 1)).alias("_r__salt")
-    right = _right(lookup(per_key, hot, keys, ["_tasks"]), keys, [*values, "_tasks"]).select(*right_keys, *values, copies)
-    return left.join(right, _match([*keys, "_salt"]), how).drop("_salt", "_r__salt", *right_keys)
+        return _join(df, _right(per_key, keys, values), keys, how)
+    of_hot = lambda rows, side: lookup(rows, hot, keys, [], side)
+    spread = lookup(of_hot(df, "left_semi"), of_hot(per_key, "left_semi"), keys, values, how)
+    return spread.unionByName(_join(of_hot(df, "left_anti"), _right(per_key, keys, values), keys, how))
+
+
+def _join(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    return df.join(right, _match(keys), how).drop(*[f"_r_{k}" for k in keys])
 
 
 def _position(df: DataFrame, axis: str) -> Column:
@@ -88,14 +95,6 @@ def _slice_number(position: Column, low: str, high: str, tasks: str) -> Column:
     return F.greatest(F.lit(0), F.least(F.coalesce(number, F.lit(0)), F.col(tasks) - 1))
 
 
-def count_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-
-
-def any_hot(counted: DataFrame, rows_per_task: int) -> bool:
-    return not counted.filter(F.col("_n") > rows_per_task).isEmpty()
-
-
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],

@@ -137,6 +137,11 @@ SELECT {SECOND} AS ts, device_id, metric, round(value, CASE WHEN metric = 'click
        nullif(unit, '') AS unit, domain, quality_flag
 FROM ({OBSERVED})"""
 
+SQL["time_column"] = "SELECT event_id, ts, value FROM events"
+SQL["raw_format_found"] = """
+SELECT l_shipdate AS "Time", 'l_quantity' AS sensor, l_quantity AS value FROM lineitem
+UNION ALL SELECT l_shipdate, 'l_tax', nullif(l_tax, 0) FROM lineitem"""
+
 # --- cleaning
 
 
@@ -480,6 +485,18 @@ SQL["stream_agg_60s"] = AGG_60S
 
 # --- the whole chain
 
+_FILLED = """coalesce(last_value({0} IGNORE NULLS) OVER (PARTITION BY device_id, CAST(ts AS DATE) ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                 first_value({0} IGNORE NULLS) OVER (PARTITION BY device_id, CAST(ts AS DATE) ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {0}"""
+SQL["legacy_chain"] = f"""
+WITH a AS (
+  SELECT ts, device_id, CASE WHEN metric = 'click' AND value BETWEEN 5 AND 200 THEN value END AS click,
+         CASE WHEN metric = 'error' AND value <= 150 THEN value END AS error
+  FROM ({READINGS})),
+b AS (SELECT date_trunc('second', ts) AS ts, {_FILLED.format('click')}, {_FILLED.format('error')} FROM a),
+c AS (SELECT * FROM b WHERE click IS NOT NULL AND error IS NOT NULL)
+SELECT ts AS timestamp, 'click' AS variable, round(CASE WHEN click > 0 THEN sqrt(1.0::DOUBLE / click) ELSE click END, 9) AS value FROM c
+UNION ALL SELECT ts, 'error', round(CASE WHEN error > 0 THEN sqrt(1.0::DOUBLE / error) ELSE error END, 9) FROM c"""
+
 _PARSED = f"SELECT {SECOND} AS ts, device_id, metric, round(value, 3) AS value FROM ({READINGS})"
 # Every row belongs to both domains, and always lacks some metric of each: flag 1 throughout.
 _BIO = f"""

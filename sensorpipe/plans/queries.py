@@ -255,6 +255,23 @@ def csv_round_trip(spark, sf):
     return files.read_csv(spark, path, pattern="*.csv", schema=schema, source=False)
 
 
+@query
+def time_column(spark, sf):
+    """The time column found without case and outer blanks, then renamed."""
+    rows = table(spark, sf, "events").select("event_id", F.col("ts").alias(" TIME "), "value")
+    found = sel.resolve_time_column(rows.columns, "time")
+    return sel.rename_time(rows, found, "ts")
+
+
+@query
+def raw_format_found(spark, sf):
+    """Wide readings written as comma-separated files; the format is found by looking at the first line."""
+    path = shared_dir(spark, "raw-csv")
+    wide = table(spark, sf, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("Time"), "l_quantity", F.nullif("l_tax", F.lit(0.0)).alias("l_tax"))
+    wide.write.option("header", "true").option("nullValue", "NaN").csv(path)
+    return files.read_raw_long(spark, path, time_column="TIME").select("Time", "sensor", "value")
+
+
 # --- cleaning --------------------------------------------------------------------------------------------------
 
 EVENT_RULES = {"value": {"type": "float", "min": 5, "max": 150, "max_diff": 60}}
@@ -737,6 +754,15 @@ CHAIN = [
 ]
 
 
+@query
+def legacy_chain(spark, sf):
+    """Raw text lines to rules, fills, gaussianised values, long without nulls."""
+    rules = {"click": {"type": "float", "min": 5, "max": 200}, "error": {"type": "float", "max": 150}}
+    lines = raw_lines(spark, sf)
+    out = Flow([{"run": "preprocess", "with": {"rules_and_filters": rules}}]).chain(lines)
+    return out.withColumn("value", F.round("value", 9))
+
+
 @query
 def end_to_end(spark, sf):
     """Raw text lines through all seven steps as one lazy chain."""

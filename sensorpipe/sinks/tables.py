@@ -104,7 +104,9 @@ def rows_outside(existing, new, ts, start, end, scope=(), rows_per_task=ROWS_PER
     bound = lambda given, agg: given if given is not None else new.select(agg).scalar()
     low = bound(lo and time_literal(lo, ltz), F.min(ts))
     high = bound(hi and time_literal(hi, ltz), F.max(ts))
-    return existing.filter(F.coalesce(~F.col(ts).between(low, high), F.lit(True)))
+    time = F.col(ts)
+    # An empty batch has no bounds and deletes nothing; rows without a time are in no range.
+    return existing.filter((time < low) | (time > high) | time.isNull() | low.isNull() | high.isNull())
 
 
 def _path(spark: SparkSession, path: str):
