@@ -6,12 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sensorpipe.operators.skew import (
     PART,
     ROWS_PER_TASK,
+    any_hot,
     carry,
+    count_by,
     group_keys,
     lookup,
     series_window,
@@ -21,6 +24,38 @@ from sensorpipe.operators.skew import (
 )
 
 
+# Rows that stand for more copies than this are spread over tasks in blocks before they are unrolled.
+COPIES_PER_BLOCK = 8192
+
+
+def _prepared(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] | None, rows_per_task: int):
+    """The frame with its hot series sliced, and its order columns.
+
+    Where a series is hot, identical rows become one row with their number (``_copies``), since no slice can part them.
+    """
+    df, order = with_order(df, ts, tie)
+    counted = count_by(df, keys)
+    if not any_hot(counted, rows_per_task):
+        return df, order
+    if not any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):
+        df = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return split_hot(df, keys, ts, rows_per_task), order
+
+
+def _unrolled(df: DataFrame) -> DataFrame:
+    """Each row as often as it occurred, numbered from 0 in ``_copy``."""
+    if "_copies" not in df.columns:
+        return df.withColumn("_copy", F.lit(0).cast("bigint"))
+    zero, n = F.lit(0).cast("bigint"), F.col("_copies")
+    spread = not df.filter(n > COPIES_PER_BLOCK).isEmpty()
+    blocks = df.withColumn("_block", F.explode(F.sequence(zero, F.floor((n - 1) / COPIES_PER_BLOCK))))
+    if spread:
+        blocks = blocks.repartition(F.xxhash64(*df.columns), "_block")
+    first = F.col("_block") * COPIES_PER_BLOCK
+    rows = blocks.withColumn("_copy", F.explode(F.sequence(first, F.least(first + (COPIES_PER_BLOCK - 1), n - 1))))
+    return rows.drop("_copies", "_block")
+
+
 def previous(
     df: DataFrame,
     columns: Sequence[str],
@@ -32,20 +67,20 @@ def previous(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add each column's value in the previous row of its series."""
-    df, order = with_order(df, ts, tie)
-    parts = split_hot(df, keys, ts, rows_per_task)
+    parts, order = _prepared(df, keys, ts, tie, rows_per_task)
     row = F.struct(*columns)
     out = parts.withColumn("_prev", F.lag(row).over(series_window(parts, keys, order)))
     out = with_edges(out, parts, keys, {"_seed": row}, order)
-    before = F.coalesce(F.col("_prev"), F.col("_seed"))
-    out = out.withColumns({f"{prefix}{c}": before.getField(c) for c in columns})
-    return out.drop("_prev", "_seed", "_tie", PART)
+    # The row before a repeated row is its own copy.
+    before = F.when(F.col("_copy") > 0, row).otherwise(F.coalesce(F.col("_prev"), F.col("_seed")))
+    out = _unrolled(out).withColumns({f"{prefix}{c}": before.getField(c) for c in columns})
+    return out.drop("_prev", "_seed", "_tie", "_copy", PART)
 
 
 def _fill(df, columns, keys, ts, tie, rows_per_task, forward):
-    df, order = with_order(df, ts, tie)
-    parts = split_hot(df, keys, ts, rows_per_task)
-    return carry(parts, keys, {c: F.col(c) for c in columns}, order, forward).drop("_tie", PART)
+    parts, order = _prepared(df, keys, ts, tie, rows_per_task)
+    filled = carry(parts, keys, {c: F.col(c) for c in columns}, order, forward)
+    return _unrolled(filled).drop("_tie", "_copy", PART)
 
 
 def forward_fill(
@@ -84,12 +119,10 @@ def fill_both_ways(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Forward fill; the nulls left at the head of a series take its first value."""
-    df, order = with_order(df, ts, tie)
-    parts = split_hot(df, keys, ts, rows_per_task)
-    value = {c: F.col(c) for c in columns}
-    filled = carry(parts, keys, value, order)
+    parts, order = _prepared(df, keys, ts, tie, rows_per_task)
+    filled = carry(parts, keys, {c: F.col(c) for c in columns}, order)
     # After a forward fill only leading nulls are left, so the first value of the series is the next value.
-    return _first_of_series(filled, columns, keys, order).drop("_tie", PART)
+    return _unrolled(_first_of_series(filled, columns, keys, order)).drop("_tie", "_copy", PART)
 
 
 def _first_of_series(df: DataFrame, columns: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -128,7 +161,10 @@ def interpolate(
     tie: Sequence[str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Linear interpolation of nulls by row position within the series."""
+    """Linear interpolation of nulls by row position within the series.
+
+    Every row has its own position, so copies are not merged: drop duplicates first where one time has very many.
+    """
     df, order = with_order(df, ts, tie)
     parts = split_hot(df, keys, ts, rows_per_task)
     out = parts.withColumn("_position", F.row_number().over(series_window(parts, keys, order)).cast("bigint"))

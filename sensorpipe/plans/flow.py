@@ -237,7 +237,7 @@ _SINK_TIME = {"import_postgres": "ts", "import_raw_postgres": "Time"}
 
 
 def step_name(run: str) -> str:
-    """``30_clean.py`` and ``clean`` name the same step."""
+    """A number in front and a file ending do not matter: ``07_clean.py`` is ``clean``."""
     name = re.sub(r"\.py$", "", re.sub(r"^\d+_", "", run.rsplit("/", 1)[-1]))
     if name not in STEPS:
         raise ValueError(f"unknown step {run!r}")

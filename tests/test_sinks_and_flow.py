@@ -145,29 +145,29 @@ def project(tmp_path):
     io = lambda a, b, **o: {"input": {"input_directory": folder(a), "from": "yyyy-mm-ddTh:m:sZ"}, "output": {"output_directory": folder(b), "clear": True, **o}}
     domains = {"bio_signal": ["m0", "m1"], "environment": ["outdoor_temp"]}
     steps = [
-        ("10_parser.py", {**io("raw", "10", decimal_places={"default": 1}), "metrics": None}),
-        ("20_split.py", {**io("10", "20"), "domain_columns": domains}),
+        ("01_parser.py", {**io("raw", "10", decimal_places={"default": 1}), "metrics": None}),
+        ("02_split.py", {**io("10", "20"), "domain_columns": domains}),
         (
-            "30_clean.py",
+            "03_clean.py",
             {
                 **io("20", "30", add_quality_column=True),
                 "domain_columns": domains,
                 "domain_rules": {"bio_signal": {"m0": {"type": "int", "max_diff": 5}, "m1": {"type": "int", "max": 20}}, "environment": {"outdoor_temp": {"type": "float", "min": 5}}},
             },
         ),
-        ("40_transfo.py", {**io("30", "40"), "domain_transfo": {"environment": {"outdoor_temp": {"temp_f": "celsius_to_fahrenheit"}}}}),
-        ("50_canonical.py", {**io("40", "50", decimal_places={"default": 3}), "domain_columns": {"bio_signal": ["m0", "m1"], "environment": ["outdoor_temp", "temp_f"]}, "unit_map": {"temp_f": "F"}}),
-        ("55_resample.py", {**io("50", "55"), "resample_by_domain": {d: {"freq": "1s", "independent_by_day": True} for d in domains}}),
-        ("70_aggregated.py", {**io("55", "70"), "aggregation_level": "10s", "metrics_aggregation": {"m0": [{"method": "median", "output": "c0"}], "temp_f": [{"method": "average", "output": "t"}]}}),
+        ("04_transfo.py", {**io("30", "40"), "domain_transfo": {"environment": {"outdoor_temp": {"temp_f": "celsius_to_fahrenheit"}}}}),
+        ("05_canonical.py", {**io("40", "50", decimal_places={"default": 3}), "domain_columns": {"bio_signal": ["m0", "m1"], "environment": ["outdoor_temp", "temp_f"]}, "unit_map": {"temp_f": "F"}}),
+        ("06_resample.py", {**io("50", "55"), "resample_by_domain": {d: {"freq": "1s", "independent_by_day": True} for d in domains}}),
+        ("07_aggregated.py", {**io("55", "70"), "aggregation_level": "10s", "metrics_aggregation": {"m0": [{"method": "median", "output": "c0"}], "temp_f": [{"method": "average", "output": "t"}]}}),
         (
-            "80_import_postgres.py",
+            "08_import_postgres.py",
             {
                 "input": {"input_directory": folder("70")},
                 "output": {"database": {"path": folder("table"), "policy": "replace", "include_metrics": ["c0"], "column_to_sensor": {"c0": "m0"}, "schema": {"timestamp_column": "time"}}},
             },
         ),
         (
-            "81_import_raw_postgres.py",
+            "09_import_raw_postgres.py",
             {"input": {"input_directory": folder("raw"), "file_pattern": "*.csv"}, "output": {"database": {"path": folder("rawtable"), "aggregation": "10s", "auto_mode": True, "include_sensors": ["m0"]}}},
         ),
     ]
@@ -228,6 +228,6 @@ def test_legacy_step(spark, project, rows):
 
 
 def test_step_names():
-    assert step_name("30_clean.py") == step_name("scripts/clean") == "clean"
+    assert step_name("03_clean.py") == step_name("steps/clean") == "clean"
     with pytest.raises(ValueError):
         step_name("99_other.py")

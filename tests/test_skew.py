@@ -91,7 +91,7 @@ def test_asof(series, rows):
     assert len(results[0]) == left.count()
 
 
-@pytest.mark.parametrize("by_day,mode", [(False, "nearest"), (True, "linear"), (True, "nearest"), (False, "true_linear")])
+@pytest.mark.parametrize("by_day,mode", [(False, "nearest"), (True, "linear")])
 def test_resample(series, rows, by_day, mode):
     results = [
         rows(resample(series, "20m", interpolation=mode, by_day=by_day, tie=["id"], rows_per_task=n, block_cells=b))
@@ -132,3 +132,14 @@ def test_copies_collapse_before_the_window(spark, rows):
     left = copies.select("device_id", "ts").limit(2)
     got = rows(asof_backward(left, copies, by=["device_id"], values=["value"], rows_per_task=SMALL), "value")
     assert got == [(1.5,), (1.5,)]
+
+
+def test_copies_in_row_order_functions(series, rows, monkeypatch):
+    """A third of the rows are copies of one row: merged, sliced around, and unrolled again."""
+    from sensorpipe.operators import fill
+
+    monkeypatch.setattr(fill, "COPIES_PER_BLOCK", 3)
+    one = series.filter("id = 210").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(100)))).drop("copy")
+    copied = series.unionByName(one)
+    for name in ("previous", "both"):
+        assert rows(FILLS[name](copied, SMALL)) == rows(FILLS[name](copied, PLAIN)), name
