@@ -25,7 +25,7 @@ from sensorpipe.operators.aggregate import aggregate_by_domain, bucket_aggregate
 from sensorpipe.operators.clean import clean, rules_fill_drop
 from sensorpipe.operators.dedup import dedup, limit_rows
 from sensorpipe.operators.resample import resample_by_domain
-from sensorpipe.operators.reshape import readings_to_long, to_canonical, to_sink_long, to_variable_long
+from sensorpipe.operators.reshape import to_canonical, to_sink_long, to_variable_long
 from sensorpipe.session import staged
 from sensorpipe.sinks.export import export_csv, rewrite_lines
 from sensorpipe.sinks.report import source_report

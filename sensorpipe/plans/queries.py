@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sensorpipe.functions import naming
 from sensorpipe.functions.rounding import round_by_metric, round_columns
-from sensorpipe.functions.times import format_time, normalize_time_text, time_bucket
+from sensorpipe.functions.times import normalize_time_text, time_bucket
 from sensorpipe.functions.transforms import derive, gaussianise
 from sensorpipe.operators import select as sel
 from sensorpipe.operators.aggregate import (
