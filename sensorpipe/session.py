@@ -49,7 +49,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def staged(df: DataFrame, compression: str = "snappy", path: str | None = None) -> DataFrame:
-    """Write the rows once, by default to a fresh shared folder, and read them back: a cut in the lineage."""
-    path = path or shared_dir(df.sparkSession, "stage")
+    """Write the rows once, by default to a fresh shared folder, and read them back: a cut in the lineage.
+
+    A folder made here is deleted when the application ends; ``drop_staged`` deletes it before.
+    """
+    spark = df.sparkSession
+    if path is None:
+        path = shared_dir(spark, "stage")
+        folder = _folder(spark, path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the folders that ``staged`` made and ``df`` reads; nothing else may read them afterwards."""
+    spark, base = df.sparkSession, _shared_base(df.sparkSession)
+    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    for path in folders:
+        if path.rsplit("/", 1)[0].split(":")[-1].lstrip("/") == base.split(":")[-1].lstrip("/") and "/stage-" in path:
+            folder = _folder(spark, path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
