@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorpipe.llm import exact, mixing, shard, simhash
+from sensorpipe.llm import bpe, exact, licenses, mixing, shard, simhash
+
+#: The vocabulary file of the tokenizing query.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,13 +33,21 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(_table(spark, sf_dir, "documents")))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard.shuffle_into_shards(_table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def names() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op3_exact_dedup, op4_simhash_dedup, op9_shards)}
+    return {f.__name__: f for f in (op1_mix_sources, op3_exact_dedup, op4_simhash_dedup, op7_license_scan, op9_shards, op10_bpe)}
 
 
 SQL = {
