@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from sensorpipe.llm.ship import ship
 
@@ -263,7 +264,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             rows = [np.frombuffer(own.encode(t.as_py()), "<u4").astype(np.int32) for t in batch.column(text)]
             yield _replaced(batch, text, {ids: pa.array(rows, pa.list_(pa.int32()))})
 
-    schema = docs.select(*columns).schema.add(ids, "array<int>")
+    schema = docs.select(*columns).schema.add(ids, T.ArrayType(T.IntegerType()))
     return docs.select(*columns, text).mapInArrow(run, schema)
 
 
@@ -278,7 +279,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "text", l
             rows = [Decoder(merges, library).feed(i.as_py() or [], True) for i in batch.column(ids)]
             yield _replaced(batch, ids, {text: pa.array(rows, pa.string())})
 
-    schema = tokens.select(*columns).schema.add(text, "string")
+    schema = tokens.select(*columns).schema.add(text, T.StringType())
     return tokens.select(*columns, ids).mapInArrow(run, schema)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorpipe.llm import bpe, exact, licenses, mixing, shard, simhash
+from sensorpipe.llm import bpe, exact, licenses, mixing, shard, simhash, substring, toxicity
 
 #: The vocabulary file of the tokenizing query.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,16 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (toxicity.remainder() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(_table(spark, sf_dir, "documents")))
 
@@ -47,7 +57,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def names() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op3_exact_dedup, op4_simhash_dedup, op7_license_scan, op9_shards, op10_bpe)}
+    return {f.__name__: f for f in (op1_mix_sources, op3_exact_dedup, op4_simhash_dedup, op5_toxicity, op6_substring_dedup, op7_license_scan, op9_shards, op10_bpe)}
 
 
 SQL = {
