@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorpipe.llm import bpe, exact, licenses, mixing, shard, simhash, substring, toxicity
+from sensorpipe.llm import bpe, exact, licenses, mixing, neighbours, shard, simhash, substring, toxicity
 
 #: The vocabulary file of the tokenizing query.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.near_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.exact_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -57,7 +62,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def names() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op3_exact_dedup, op4_simhash_dedup, op5_toxicity, op6_substring_dedup, op7_license_scan, op9_shards, op10_bpe)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_near_vectors, op3_exact_dedup, op4_simhash_dedup, op5_toxicity, op6_substring_dedup, op7_license_scan, op9_shards, op10_bpe)}
 
 
 SQL = {
