@@ -283,25 +283,39 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "text", l
     return tokens.select(*columns, ids).mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: encoded, and decoded from the ids again."""
+def _decoded_digest(data: bytes, spoken: list[bytes]) -> str:
+    """SHA-256 of what ids (as bytes) decode to, piece by piece."""
+    whole = hashlib.sha256()
+    for at in range(0, len(data), SLICE):
+        some = np.frombuffer(data[at : at + SLICE], "<u4").tolist()
+        whole.update(b" " * (at > 0) + b" ".join([spoken[i] for i in some]))
+    return whole.hexdigest()
+
+
+def tokens(docs: DataFrame, path: str, text: str = "text", with_ids: bool = True) -> DataFrame:
+    """``docs`` without the text, with n_tokens, ids_sha256, decoded_sha256 and, ``with_ids``, the tokens as ``ids``.
+
+    The text is encoded, and decoded from the ids again. A null text is empty and has no tokens. Columns that are named
+    as the new ones are replaced; others stay; repeated rows are encoded alike.
+    """
     held = _vocabulary(docs, path)
+    new = T.StructType().add("n_tokens", T.LongType()).add("ids_sha256", T.StringType()).add("decoded_sha256", T.StringType())
+    if with_ids:
+        new.add("ids", T.ArrayType(T.IntegerType()))
+    columns = [c for c in docs.columns if c != text and c not in new.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(held.value)
-        spoken = own.merges.spoken
         for batch in batches:
-            n, of_ids, of_text = [], [], []
-            for t in batch.column("text"):
-                data = own.encode(t.as_py())
-                n.append(len(data) // 4)
-                of_ids.append(hashlib.sha256(data).hexdigest())
-                whole = hashlib.sha256()
-                for at in range(0, len(data), SLICE):
-                    some = np.frombuffer(data[at : at + SLICE], "<u4").tolist()
-                    whole.update(b" " * (at > 0) + b" ".join([spoken[i] for i in some]))
-                of_text.append(whole.hexdigest())
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(of_ids), "decoded_sha256": pa.array(of_text)})
-
-    picked = docs.selectExpr("doc_id", f"`{text}` AS text")
-    return picked.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            rows = [own.encode(t.as_py()) for t in batch.column(text)]
+            made = {
+                "n_tokens": pa.array([len(r) // 4 for r in rows], pa.int64()),
+                "ids_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in rows], pa.string()),
+                "decoded_sha256": pa.array([_decoded_digest(r, own.merges.spoken) for r in rows], pa.string()),
+            }
+            if with_ids:
+                made["ids"] = pa.array([np.frombuffer(r, "<u4").astype(np.int32) for r in rows], pa.list_(pa.int32()))
+            yield _replaced(batch, text, made)
+
+    schema = T.StructType([*docs.select(*columns).schema.fields, *new.fields])
+    return docs.select(*columns, text).mapInArrow(run, schema)

@@ -73,6 +73,20 @@ def draw(doc_id: str | Column, seed: str = "mix") -> Column:
     return F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("double") / F.lit(float(16**_DIGITS))
 
 
+def _rates(docs: DataFrame, weights: Sequence[int], most: int, text: str) -> DataFrame:
+    """(key, source_size, target) of each source."""
+    sources = staged(docs.select(_key(F.col("source")).alias("key"), words(text).alias("size")).groupBy("key").agg(F.sum("size").alias("source_size")))
+    rates = staged(targets(sources, weights, most))
+    drop_staged(sources)
+    return rates
+
+
+def _copies(most: int, seed: str) -> Column:
+    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(F.lit(0.0))
+    whole = F.floor(rate)
+    return whole + F.when(draw("doc_id", seed) < rate - whole, F.lit(1)).otherwise(F.lit(0))
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = "mix", text: str = "text") -> DataFrame:
     """(doc_id, size, key, source_size, target, copies) for every row: how often the mix takes it.
 
@@ -80,11 +94,18 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, see
     fraction as chance, drawn from a hash of its doc_id, so reruns agree and repeated rows are taken alike. A null text
     has size 0; null is a source of its own; a source without words has target and rate 0. Other columns are not read.
     """
-    rows = staged(docs.select("doc_id", _key(F.col("source")).alias("key"), words(F.col(text)).alias("size")))
+    rows = staged(docs.select("doc_id", _key(F.col("source")).alias("key"), words(text).alias("size")))
     sources = staged(rows.groupBy("key").agg(F.sum("size").alias("source_size")))
     rates = staged(targets(sources, weights, most))
     drop_staged(sources)
-    joined = attach_small(rows, rates, ["key"], F.struct("doc_id", "size"))
-    rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(F.lit(0.0))
-    whole = F.floor(rate)
-    return joined.withColumn("copies", whole + F.when(draw("doc_id", seed) < rate - whole, F.lit(1)).otherwise(F.lit(0)))
+    return attach_small(rows, rates, ["key"], F.struct("doc_id", "size")).withColumn("copies", _copies(most, seed))
+
+
+def emit(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = "mix", text: str = "text") -> DataFrame:
+    """The mix itself: the rows of ``docs`` with all their columns, each as often as ``mix`` takes it."""
+    rates = _rates(docs, weights, most, text).select("key", F.struct("source_size", "target").alias("_rate"))
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), _key(F.col("source")).alias("key"))
+    joined = attach_small(keyed, rates, ["key"], F.col("_row.doc_id"))
+    counted = joined.select("_row", F.col("_row.doc_id").alias("doc_id"), "_rate.source_size", "_rate.target").withColumn("copies", _copies(most, seed).cast("int"))
+    taken = counted.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select("_row.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorpipe.llm import bpe, exact, licenses, mixing, neighbours, shard, simhash, substring, toxicity
+from sensorpipe.llm import bpe, exact, licenses, mixing, neighbours, quality, shard, simhash, substring, toxicity
 
 #: The vocabulary file of the tokenizing query.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -52,17 +52,27 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(_table(spark, sf_dir, "documents")))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs))
+    kept = F.col("score") >= 0.5
+    return scored.withColumn("predicted", kept.cast("int")).withColumn("kept", kept)
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard.shuffle_into_shards(_table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(_table(spark, sf_dir, "documents"), VOCABULARY)
+    return bpe.tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY, with_ids=False)
 
 
 def names() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_near_vectors, op3_exact_dedup, op4_simhash_dedup, op5_toxicity, op6_substring_dedup, op7_license_scan, op9_shards, op10_bpe)}
+    import corpus_pipeline
+
+    found = {f.__name__: f for f in (op1_mix_sources, op2_near_vectors, op3_exact_dedup, op4_simhash_dedup, op5_toxicity, op6_substring_dedup, op7_license_scan, op8_quality, op9_shards, op10_bpe)}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 SQL = {

@@ -22,11 +22,11 @@ STEP = 4
 PAIR_WORK = 1 << 18
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fingerprint) of every row; a text that is null or has no words has fingerprint 0."""
+def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, row, fingerprint) of every row; a text that is null or has no words has fingerprint 0."""
     ship(docs.sparkSession)
-    picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return picked.mapInArrow(fingerprint.add_fingerprints("text"), "doc_id long, fingerprint long")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").alias("text"))
+    return picked.mapInArrow(fingerprint.add_fingerprints("text"), "doc_id long, row long, fingerprint long")
 
 
 def _budget(depth: int, errors: int) -> int:
@@ -155,22 +155,25 @@ def similar_pairs(values: DataFrame, errors: int = 3) -> DataFrame:
     return reduce(DataFrame.unionByName, found).distinct() if found else spark.createDataFrame([], "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", errors: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``.
+def near_duplicates(docs: DataFrame, text: str = "text", errors: int = 3) -> DataFrame:
+    """(doc_id, row, fingerprint, component_id, kept) for every row of ``docs``.
 
     Rows are linked when their fingerprints differ in at most ``errors`` bits; ``component_id`` is the smallest doc_id
-    that can be reached over links, and null only if no linked row has a doc_id. Null and empty texts have no words and
-    fingerprint zero, which links like any other. Repeated rows are one text with itself. Other columns are not read.
+    that can be reached over links, and null only if no linked row has a doc_id. Of each component one row is kept, one
+    with that doc_id. ``row`` parts rows that are otherwise equal. Null and empty texts have no words and fingerprint
+    zero, which links like any other. Repeated rows are one text with itself. Other columns are not read.
     """
-    marked = staged(fingerprints(docs, doc_id, text))
-    first = staged(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
+    marked = staged(fingerprints(docs, text))
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    first = staged(marked.groupBy("fingerprint").agg(F.min(own).alias("first")))
     links = staged(similar_pairs(first, errors))
     roots = staged(components(links))
     drop_staged(links)
     rooted = first.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    per_value = attach(rooted, smallest, ["root"], F.col("fingerprint")).select("fingerprint", "component_id")
-    return attach(marked, per_value, ["fingerprint"], F.col("doc_id")).select("doc_id", "fingerprint", "component_id")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("stays"))
+    per_value = attach(rooted, smallest, ["root"], F.col("fingerprint")).select("fingerprint", "stays")
+    found = attach(marked, per_value, ["fingerprint"], F.col("row"))
+    return found.select("doc_id", "row", "fingerprint", F.col("stays.doc_id").alias("component_id"), (F.col("row") == F.col("stays.row")).alias("kept"))
 
 
 def hexadecimal(value):

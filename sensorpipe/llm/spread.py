@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorpipe.session import staged
+
 SALTS = 64
 #: A frame of at most so many rows (of a few hundred bytes each) may be broadcast, once it has been counted.
 BROADCAST_ROWS = 20_000
@@ -28,3 +30,20 @@ def attach_small(df: DataFrame, per_key: DataFrame, keys: Sequence[str], by: Col
     if per_key.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return df.join(F.broadcast(per_key), list(keys), how)
     return attach(df, per_key, keys, by, how)
+
+
+#: Row numbers (eight bytes each) that may be broadcast, once they have been counted.
+BROADCAST_NUMBERS = 500_000
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but those whose number is in ``dropped`` (row); all columns stay.
+
+    A row's number is its ``monotonically_increasing_id``, so ``docs`` must be read from files, as must have been what
+    ``dropped`` was found in.
+    """
+    gone = staged(dropped.select(F.col("row").alias("_row")))
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    if gone.limit(BROADCAST_NUMBERS + 1).count() <= BROADCAST_NUMBERS:
+        gone = F.broadcast(gone)
+    return numbered.join(gone, "_row", "left_anti").select(*docs.columns)
