@@ -89,7 +89,8 @@ def _links(errors: int):
         for batch in batches:
             for left, right in zip(batch["of_a"], batch["of_b"]):
                 left, right = np.asarray(left, np.int64), np.asarray(right, np.int64)
-                i, j = np.nonzero(np.bitwise_count(left[:, None] ^ right[None, :]) <= errors)
+                differ = (left[:, None] ^ right[None, :]).view(np.uint64)
+                i, j = np.nonzero(np.bitwise_count(differ) <= errors)
                 a, b = left[i], right[j]
                 if len(a) > len(left) + len(right):
                     keep = _forest(a, b)
