@@ -13,7 +13,7 @@ from sensorpipe.session import staged
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below one half."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).filter("score < 0.5").select(*docs.columns)
+    return toxicity.scored_rows(docs, model).filter("score < 0.5").select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,8 +42,11 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     A row's number is its ``monotonically_increasing_id``, so ``docs`` must be read from files, as must have been what
     ``dropped`` was found in.
     """
-    gone = staged(dropped.select(F.col("row").alias("_row")))
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    gone = staged(dropped.select(F.col("row").alias(number)))
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
     if gone.limit(BROADCAST_NUMBERS + 1).count() <= BROADCAST_NUMBERS:
         gone = F.broadcast(gone)
-    return numbered.join(gone, "_row", "left_anti").select(*docs.columns)
+    return numbered.join(gone, number, "left_anti").select(*docs.columns)
