@@ -18,13 +18,10 @@ from sensorpipe.operators.skew import ROWS_PER_TASK, any_hot, carry, count_by, s
 def last_per_time(
     df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str], tie: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per key and time: the last by ``tie``, or the greatest values when there is no tie-break."""
+    """One row per key and time: the greatest of tie-break, then values, with nulls first, as a sort has them."""
     groups = df.groupBy(*keys, ts)
-    if tie:
-        place = F.col(tie[0]) if len(tie) == 1 else F.struct(*tie)
-        return groups.agg(*[F.max_by(v, place).alias(v) for v in values])
-    row = groups.agg(F.max(F.struct(*values)).alias("_row"))
-    return row.select(*keys, ts, *[F.col(f"_row.{v}").alias(v) for v in values])
+    row = groups.agg(F.max(F.struct(F.struct(*(tie or [F.lit(0).alias("_")])).alias("tie"), F.struct(*values).alias("of"))).alias("_row"))
+    return row.select(*keys, ts, *[F.col(f"_row.of.{v}").alias(v) for v in values])
 
 
 def match_backward(

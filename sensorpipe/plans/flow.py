@@ -31,9 +31,11 @@ from sensorpipe.sinks.export import export_csv, rewrite_lines
 from sensorpipe.sinks.report import source_report
 from sensorpipe.sinks.tables import cast_value, map_columns, overwrite_partitions, table_exists, write_dataset, write_table
 from sensorpipe.sources import files
-from sensorpipe.sources.keyvalue import discover_metrics, parse_lines, project_metrics, rewrite_line_times
+from sensorpipe.sources.keyvalue import discover_metrics, parse_lines, project_metrics, rejected_lines, rewrite_line_times
 from sensorpipe.streaming.incremental import select_new
 
+#: Keys found in text that may become columns.
+MOST_METRICS = 5_000
 IDENTITY = ("experience", "device_id", "day", "source_file", "domain")
 
 
@@ -75,6 +77,21 @@ def _prune(df: DataFrame, config: Mapping, time: str) -> DataFrame:
     return sel.prune_overlap(df, *bounds, ts=time, by=by) if by else sel.filter_range(df, *bounds, ts=time)
 
 
+def _metrics_found(parsed: DataFrame) -> dict[str, str]:
+    """The keys in the data as columns; raises where they are too many to be columns, so none is left out."""
+    found = discover_metrics(parsed).orderBy("metric").limit(MOST_METRICS + 1).collect()
+    if len(found) > MOST_METRICS:
+        raise ValueError(f"more than {MOST_METRICS} keys were found; name the wanted ones as 'metrics'")
+    return {r["metric"]: r["type"] for r in found}
+
+
+def rejected(df: DataFrame, step: Step) -> DataFrame | None:
+    """The text lines that a parsing step cannot place in time, as they are; None for other steps."""
+    if step.name not in ("parser", "preprocess"):
+        return None
+    return rejected_lines(df, zone=_input(step.config).get("time_zone", "convert"))
+
+
 def parser(df: DataFrame, config: Mapping) -> DataFrame:
     """Raw text lines to a wide frame: parse, read times, keep rows of the file's date, drop duplicates.
 
@@ -86,10 +103,10 @@ def parser(df: DataFrame, config: Mapping) -> DataFrame:
     )
     metrics = config.get("metrics")
     if metrics is None:
-        metrics = {r["metric"]: r["type"] for r in discover_metrics(parsed).orderBy("metric").collect()}
+        metrics = _metrics_found(parsed)
     timed = parsed.withColumn("Time", parse_time(F.col("time_text"), settings.get("time_zone", "convert")))
     wide = project_metrics(timed, metrics, keep=["Time", *_identity(timed)])
-    # Lines without a readable time cannot be placed on any day; ``keyvalue.rejects`` lists them.
+    # Lines without a readable time cannot be placed on any day; a flow keeps them apart (``rejected``).
     wide = _prune(wide.filter(F.col("Time").isNotNull()), config, "Time")
     if settings.get("filter_by_file_date", True):
         wide = sel.filter_source_date(wide)
@@ -210,7 +227,7 @@ def preprocess(df: DataFrame, config: Mapping) -> DataFrame:
     metrics = config.get("metrics") or {c: r.get("type", "float") for c, r in rules.items()} or None
     parsed = parse_lines(df)
     if metrics is None:
-        metrics = {r["metric"]: r["type"] for r in discover_metrics(parsed).orderBy("metric").collect()}
+        metrics = _metrics_found(parsed)
     timed = parsed.withColumn("Time", parse_time(F.col("time_text")))
     wide = project_metrics(timed, metrics, keep=["source_file", "Time"])
     filled = rules_fill_drop(wide, rules, keys=["source_file"])
@@ -274,10 +291,15 @@ class Flow:
     def chain(self, df: DataFrame, stage: bool = True) -> DataFrame:
         """The steps one after the other on a frame.
 
+        Lines that cannot be placed in time are in ``rejects`` afterwards, a frame by name of the step.
+
         A step may read its input several times, so each result but the last is written once to the shared folder;
         ``stage=False`` leaves everything to one lazy plan, for short chains.
         """
+        self.rejects = {}
         for number, step in enumerate(self.steps):
+            if (bad := rejected(df, step)) is not None:
+                self.rejects[step.name] = bad
             df = STEPS[step.name](df, step.config)
             if stage and number + 1 < len(self.steps):
                 df = staged(df)
@@ -293,11 +315,20 @@ class Flow:
             before = read_step(spark, step)
             after = STEPS[step.name](before, step.config)
             write_step(step, after)
+            bad = rejected(before, step)
+            if bad is not None:
+                bad.write.mode("overwrite").parquet(rejects_path(step))
             known = "source_file" in before.columns and "source_file" in after.columns
-            reports.append((step.name, source_report(before, after) if known else None))
+            reports.append((step.name, source_report(before, after, rejected=bad) if known else None))
         return reports
 
 
+def rejects_path(step: Step) -> str:
+    """Where a run keeps the rejected lines of a step: ``output.rejects_directory``, else next to its output."""
+    out = _output(step.config)
+    return out.get("rejects_directory") or f"{out['output_directory'].rstrip('/')}_rejects"
+
+
 def _read_json(spark: SparkSession, path: str) -> dict:
     return json.loads("\n".join(r[0] for r in spark.read.text(path).collect()))
 
@@ -318,6 +349,7 @@ def read_step(spark: SparkSession, step: Step) -> DataFrame:
             recursive=recursive,
             exclude=exclude,
             time_column=settings.get("timestamp_column", "Time"),
+            zone=settings.get("time_zone", "convert"),
         )
         return _not_loaded(raw, step)
     pattern = settings.get("file_pattern", "*.parquet")

@@ -142,6 +142,14 @@ SQL["raw_format_found"] = """
 SELECT l_shipdate AS "Time", 'l_quantity' AS sensor, l_quantity AS value FROM lineitem
 UNION ALL SELECT l_shipdate, 'l_tax', nullif(l_tax, 0) FROM lineitem"""
 
+SQL["raw_mixed_folder"] = f"""
+SELECT {SECOND} AS "Time", CASE WHEN day(ts) % 3 = 0 THEN event_type ELSE 'click' END AS sensor,
+       CASE WHEN day(ts) % 3 = 0 OR event_type = 'click' THEN value END AS value
+FROM events"""
+SQL["csv_mixed_headers"] = """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 <> 2 THEN l_quantity END AS l_quantity, l_tax FROM lineitem"""
+SQL["parser_rejects"] = f"SELECT event_id, {FILE} AS source_file FROM events WHERE event_type = 'purchase'"
+
 # --- cleaning
 
 
@@ -287,6 +295,16 @@ r AS (
 SELECT l.event_id, l.device_id, l.ts, r.obs_ts, r.value, r.purchase_id
 FROM l ASOF LEFT JOIN r ON l.device_id = r.device_id AND l.ts >= r.obs_ts"""
 
+SQL["asof_ties"] = f"""
+WITH r AS (SELECT *, date_trunc('day', ts)::TIMESTAMP AS d FROM ({READINGS})),
+l AS (SELECT event_id, device_id, d AS ts FROM r WHERE metric = 'click'),
+o AS (
+  SELECT device_id, d AS obs_ts, value FROM r WHERE metric = 'view'
+  QUALIFY row_number() OVER (
+    PARTITION BY device_id, d ORDER BY CASE WHEN value >= 50 THEN floor(value / 100) END DESC NULLS LAST, value DESC) = 1)
+SELECT l.event_id, l.device_id, l.ts, o.obs_ts, o.value
+FROM l ASOF LEFT JOIN o ON l.device_id = o.device_id AND l.ts >= o.obs_ts"""
+
 
 def grid(interval: str, by_day: bool, midnight: bool = False, source: str = OBSERVED) -> str:
     """CTEs ``o`` (observations) and ``g`` (grid with the matched observation)."""
@@ -441,6 +459,14 @@ UNION ALL SELECT * FROM batch"""
 SQL["evolve_columns"] = f"""
 SELECT event_id, ts, device_id, metric, value, CAST(NULL AS VARCHAR) AS unit FROM ({HELD})
 UNION ALL SELECT event_id, ts, device_id, NULL, value, 'mV' FROM ({BATCH})"""
+SQL["replace_null_times"] = f"""
+WITH held AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS ts, device_id, metric, value FROM ({HELD})),
+batch AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS ts, device_id, metric, value FROM ({BATCH})),
+span AS (SELECT min(ts) AS lo, max(ts) AS hi FROM batch)
+SELECT * FROM held WHERE coalesce(NOT ts BETWEEN (SELECT lo FROM span) AND (SELECT hi FROM span), TRUE)
+UNION ALL SELECT * FROM batch"""
+SQL["sink_type_widened"] = f"""
+SELECT event_id, ts, floor(value) AS value FROM ({HELD}) UNION ALL SELECT event_id, ts, round(value, 2) FROM ({BATCH})"""
 SQL["table_replace"] = REPLACED
 SQL["table_replace_all"] = BATCH
 SQL["table_append"] = SQL["append"]
@@ -482,6 +508,7 @@ FROM ({SHIPMENTS})"""
 
 SQL["ingest_available_now"] = SQL["kv_files_read"]
 SQL["stream_agg_60s"] = AGG_60S
+SQL["stream_late_files"] = AGG_60S
 
 # --- the whole chain
 

@@ -44,7 +44,6 @@ VALUES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 METRICS = ["click", "error", "purchase", "signup", "view"]
 BIO, ENVIRONMENT = ["click", "signup", "view"], ["error", "purchase"]
 SHIPMENT_TIE = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
-HALF = "2024-01-16"
 
 
 def query(function: Query) -> Query:
@@ -243,7 +242,9 @@ def kv_files_read(spark, sf):
     """Raw text written to files, read back with selection by file name, as ``Time, device_id, sensor, value``."""
     path = shared_dir(spark, "raw-text")
     raw_lines(spark, sf).select("value").write.text(path)
-    return files.read_raw_long(spark, path, pattern="*.txt", exclude="_*").select("Time", "sensor", "value")
+    # A second copy under a name that the exclusion matches.
+    raw_lines(spark, sf).select("value").write.text(f"{path}/old", compression="gzip")
+    return files.read_raw_long(spark, path, pattern="*.txt*", recursive=True, exclude="*.gz").select("Time", "sensor", "value")
 
 
 @query
@@ -272,6 +273,43 @@ def raw_format_found(spark, sf):
     return files.read_raw_long(spark, path, time_column="TIME").select("Time", "sensor", "value")
 
 
+@query
+def raw_mixed_folder(spark, sf):
+    """One folder with key-value text, comma-separated text and Parquet: each file is read in its own format."""
+    path = shared_dir(spark, "raw-mixed")
+    rows = _raw(spark, sf).withColumn("third", F.dayofmonth("Time") % 3)
+    text = F.date_format("Time", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    rows.filter("third = 0").select(F.concat_ws(";", text, F.concat("sensor", F.lit(":"), F.col("value").cast("string")))).write.mode("append").text(path)
+    wide = rows.withColumn("Time", F.date_trunc("second", "Time").cast("timestamp_ntz"))
+    click = F.when(F.col("sensor") == "click", F.col("value"))
+    wide.filter("third = 1").select(F.date_format("Time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("Time"), click.alias("click")).write.mode("append").options(header="true", nullValue="NaN").csv(path)
+    wide.filter("third = 2").select("Time", click.alias("click")).write.mode("append").parquet(path)
+    return files.read_raw_long(spark, path, pattern="*").select("Time", "sensor", "value")
+
+
+@query
+def csv_mixed_headers(spark, sf):
+    """Comma-separated files with the columns in another order, and one with a column less."""
+    path = shared_dir(spark, "csv-mixed")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
+    parts = [["l_orderkey", "l_linenumber", "l_quantity", "l_tax"], ["l_tax", "l_quantity", "l_linenumber", "l_orderkey"], ["l_linenumber", "l_orderkey", "l_tax"]]
+    for number, columns in enumerate(parts):
+        rows.filter(F.col("l_orderkey") % 3 == number).select(*columns).write.mode("append").option("header", "true").csv(path)
+    found = files.read_csv(spark, path, pattern="*.csv", source=False)
+    return found.select(*[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+
+
+@query
+def parser_rejects(spark, sf):
+    """Lines whose time cannot be read, found again beside the parsed ones."""
+    lines = raw_lines(spark, sf)
+    spoiled = lines.withColumn("value", F.when(F.col("value").contains("purchase:"), F.concat(F.lit("at noon "), "value")).otherwise(F.col("value")))
+    flow = Flow([{"run": "parser", "with": {"metrics": dict.fromkeys(METRICS, "float")}}])
+    flow.chain(spoiled)
+    number = F.regexp_extract("value", r"^at noon .*;seq:(\d+)$", 1).cast("bigint")
+    return flow.rejects["parser"].select(number.alias("event_id"), "source_file")
+
+
 # --- cleaning --------------------------------------------------------------------------------------------------
 
 EVENT_RULES = {"value": {"type": "float", "min": 5, "max": 150, "max_diff": 60}}
@@ -431,6 +469,15 @@ def asof_backward_(spark, sf):
     return asof_backward(clicks, bought, by=["device_id"], values=["value", "purchase_id"], tie=["purchase_id"])
 
 
+@query
+def asof_ties(spark, sf):
+    """Observations that share a time, tie-breaks that are null or equal, and series far above what a task may hold."""
+    rows = readings(spark, sf).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    clicks = rows.filter(F.col("metric") == "click").select("event_id", "device_id", "ts")
+    seen = rows.filter(F.col("metric") == "view").select("device_id", "ts", "value", F.when(F.col("value") >= 50, F.floor(F.col("value") / 100)).alias("rank"))
+    return asof_backward(clicks, seen, by=["device_id"], values=["value"], tie=["rank"], rows_per_task=3)
+
+
 @query
 def regular_grid(spark, sf):
     keys = ["device_id", "domain"]
@@ -577,6 +624,27 @@ def replace_given_range(spark, sf):
     return tables.replace_range(held, batch, start="2024-01-12", end="2024-01-18")
 
 
+@query
+def replace_null_times(spark, sf):
+    """A table and a batch that both hold rows without a time: none of the table's is lost."""
+    path = shared_dir(spark, "null-times")
+    held, batch = _halves(spark, sf)
+    timeless = F.when(F.col("event_id") % 7 != 0, F.col("ts"))
+    tables.write_table(held.withColumn("ts", timeless), path, policy="replace_all")
+    tables.write_table(batch.withColumn("ts", timeless), path, policy="replace")
+    return spark.read.parquet(path).select("event_id", "ts", "device_id", "metric", "value")
+
+
+@query
+def sink_type_widened(spark, sf):
+    """A first batch of whole numbers, a second with fractions: nothing is rounded to the table's first type."""
+    path = shared_dir(spark, "widened-table")
+    held, batch = _halves(spark, sf)
+    tables.write_table(tables.cast_value(held.withColumn("value", F.floor("value"))), path, policy="replace_all")
+    tables.write_table(tables.cast_value(batch, "numeric", 18, 2), path, policy="append")
+    return spark.read.parquet(path).select("event_id", "ts", F.col("value").cast("double").alias("value"))
+
+
 @query
 def replace_range_scoped(spark, sf):
     held, batch = _halves(spark, sf)
@@ -696,14 +764,27 @@ def ingest_available_now(spark, sf):
 
 @query
 def stream_agg_60s(spark, sf):
-    """One-minute means by an event-time stream, plus the windows it still holds open."""
+    """One-minute means of a stream of files."""
     target, state = shared_dir(spark, "windows"), shared_dir(spark, "window-state")
     schema = table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     named = [F.col("ts").alias("Time"), F.concat(F.lit("dev-"), "user_id").alias("device_id"), F.col("event_type").alias("sensor"), "value"]
     ingest.aggregate_new(stream.select(*named), "60s", target, state)
-    closed = spark.read.schema("Time timestamp_ntz, device_id string, sensor string, value double").parquet(target)
-    return closed.unionByName(ingest.open_windows(_raw(spark, sf), closed, "60s"))
+    return spark.read.parquet(target).drop("day")
+
+
+@query
+def stream_late_files(spark, sf):
+    """The same means when the days arrive over three runs, the middle of the month last but one day and first day last."""
+    target, state, landing = (shared_dir(spark, n) for n in ("late-windows", "late-state", "late-landing"))
+    events = table(spark, sf, "events")
+    drop = F.when(F.dayofmonth("ts") == 1, 2).when(F.dayofmonth("ts").between(10, 20), 1).otherwise(0)
+    for number in range(3):
+        events.filter(drop == number).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(events.schema).parquet(landing)
+        named = [F.col("ts").alias("Time"), F.concat(F.lit("dev-"), "user_id").alias("device_id"), F.col("event_type").alias("sensor"), "value"]
+        ingest.aggregate_new(stream.select(*named), "60s", target, state)
+    return spark.read.parquet(target).drop("day")
 
 
 # --- the whole chain -------------------------------------------------------------------------------------------

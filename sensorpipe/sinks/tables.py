@@ -52,20 +52,48 @@ def map_columns(df: DataFrame, names: Mapping[str, str] | None) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in (names or {}).items() if k in df.columns})
 
 
+def wider(held: T.DataType, new: T.DataType) -> T.DataType:
+    """The type that holds the numbers of both without loss of their fractions; other types stay as the table has them."""
+    whole = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    if held == new or not isinstance(held, T.NumericType) or not isinstance(new, T.NumericType):
+        return held
+    if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in (held, new)):
+        return T.DoubleType()
+    if type(held) in whole and type(new) in whole:
+        return held if whole[type(held)] >= whole[type(new)] else new
+    parts = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (whole[type(t)], 0) for t in (held, new)]
+    scale = max(s for _, s in parts)
+    return T.DecimalType(min(38, max(d for d, _ in parts) + scale), scale)
+
+
+def widened(existing: T.StructType, new: T.StructType) -> T.StructType:
+    """The table's columns, with the type that also holds what the new rows bring."""
+    kinds = {f.name.lower(): f.dataType for f in new.fields}
+    return T.StructType([T.StructField(f.name, wider(f.dataType, kinds.get(f.name.lower(), f.dataType))) for f in existing.fields])
+
+
 def align_columns(df: DataFrame, existing: T.StructType) -> DataFrame:
-    """Name and order columns as the table does, ignoring case; add its missing ones as null, keep new ones last."""
+    """Name and order columns as the table does, ignoring case; add its missing ones as null, keep new ones last.
+
+    Numbers keep a wider type than the table's, so no fraction is lost.
+    """
     alike = {c.lower(): c for c in df.columns}
     known = [
         (F.col(alike[f.name.lower()]) if f.name.lower() in alike else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in existing.fields
+        for f in widened(existing, df.schema).fields
     ]
     taken = {f.name.lower() for f in existing.fields}
     return df.select(*known, *[c for c in df.columns if c.lower() not in taken])
 
 
+def _cast(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def evolve(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Existing and new rows under the union of their columns."""
-    return existing.unionByName(align_columns(new, existing.schema), allowMissingColumns=True)
+    """Existing and new rows under the union of their columns; a number column takes the wider type of the two."""
+    held = _cast(existing, widened(existing.schema, new.schema))
+    return held.unionByName(align_columns(new, existing.schema), allowMissingColumns=True)
 
 
 def append_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -100,13 +128,11 @@ def rows_outside(existing, new, ts, start, end, scope=(), rows_per_task=ROWS_PER
         rows = attach(existing, spans, scope, ["_low", "_high"], rows_per_task=rows_per_task)
         inside = F.col(ts).between(F.col("_low"), F.col("_high"))
         return rows.filter(~F.coalesce(inside, F.lit(False))).drop("_low", "_high")
-    # One scalar each, computed when the query runs.
-    bound = lambda given, agg: given if given is not None else new.select(agg).scalar()
-    low = bound(lo and time_literal(lo, ltz), F.min(ts))
-    high = bound(hi and time_literal(hi, ltz), F.max(ts))
-    time = F.col(ts)
+    # Both bounds in one scalar, computed when the query runs.
+    span = new.agg(F.struct(low.alias("low"), high.alias("high")).alias("span")).scalar()
+    inside = F.col(ts).between(span["low"], span["high"])
     # An empty batch has no bounds and deletes nothing; rows without a time are in no range.
-    return existing.filter((time < low) | (time > high) | time.isNull() | low.isNull() | high.isNull())
+    return existing.filter(~F.coalesce(inside, F.lit(False)))
 
 
 def _path(spark: SparkSession, path: str):
@@ -151,7 +177,7 @@ def write_table(
     if not exists and not (autocreate or destroy):
         raise ValueError(f"there is no table at {path}")
     if exists and policy == "append" and not destroy:
-        table = spark.read.option("mergeSchema", "true").parquet(path)
+        table = _fit_table(spark, path, rows, compression)
         write_dataset(align_columns(rows, table.schema), path, partition_by=["day"], compression=compression)
         return
     # The batch is computed once; it may be read from the table itself.
@@ -162,20 +188,39 @@ def write_table(
     elif destroy or not exists or policy == "replace_all":
         write_dataset(batch, path, partition_by=["day"], clear=True, compression=compression)
     else:
+        _fit_table(spark, path, batch, compression)
         _replace_days(batch, path, ts, start, end, scope, compression)
     _delete(spark, batch_path)
 
 
+def _fit_table(spark: SparkSession, path: str, new: DataFrame, compression: str) -> DataFrame:
+    """The table; it is first written anew if the new rows need a wider number type, since its files share one."""
+    table = spark.read.option("mergeSchema", "true").parquet(path)
+    target = widened(table.schema, new.schema)
+    if all(a.dataType == b.dataType for a, b in zip(table.schema.fields, target.fields)):
+        return table
+    copy_path = shared_dir(spark, "widened")
+    copy = staged(_cast(table, target), compression, copy_path)
+    write_dataset(copy, path, partition_by=["day"], clear=True, compression=compression)
+    _delete(spark, copy_path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def _replace_days(batch, path, ts, start, end, scope, compression) -> None:
+    """Write the touched days anew, then delete those of them that have no rows left.
+
+    Days without rows left are known before anything is overwritten; a rerun after a failure finds them again.
+    """
     spark = batch.sparkSession
     span = batch.agg(F.min(ts), F.max(ts)).first()
     lo, hi = parse_bound(start) or span[0], parse_bound(end, end=True) or span[1]
     table = spark.read.option("mergeSchema", "true").parquet(path)
-    in_range = F.col("day").between(F.lit(lo.date()), F.lit(hi.date()))
+    # A batch of rows without time spans no range.
+    in_range = F.coalesce(F.col("day").between(F.lit(lo.date()), F.lit(hi.date())), F.lit(False)) if lo and hi else F.lit(False)
     touched = table.filter(in_range)
-    # The calendar bounds the number of distinct days.
-    batch_days = F.broadcast(batch.select("day").distinct())
-    other_days = table.filter(~in_range).join(batch_days, "day", "left_semi")
+    # The calendar bounds the number of distinct days; rows without time share the null day.
+    batch_days = F.broadcast(batch.select(F.col("day").alias("_day")).distinct())
+    other_days = table.filter(~in_range).join(batch_days, F.col("day").eqNullSafe(F.col("_day")), "left_semi")
     kept = rows_outside(touched.unionByName(other_days), batch, ts, start, end, scope)
     content_path = shared_dir(spark, "content")
     content = staged(evolve(kept, batch), compression, content_path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +66,8 @@ def read_parquet(
     if schema is not None:
         reader = reader.schema(schema)
     # Files of one stage may have different columns; their union is the schema.
-    df = reader.option("mergeSchema", "true").parquet(path) if schema is None else reader.parquet(path)
+    paths = [path] if isinstance(path, str) else path
+    df = reader.option("mergeSchema", "true").parquet(*paths) if schema is None else reader.parquet(*paths)
     return with_source(df, exclude) if source or exclude else df
 
 
@@ -79,24 +82,76 @@ def read_csv(
     source: bool = True,
     null_text: str | None = CSV_NULL,
 ) -> DataFrame:
-    """Comma-separated files with a header. Without a schema the types are inferred, which reads the files twice."""
-    reader = _reader(spark, pattern, recursive).option("header", "true").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]['Z']")
+    """Comma-separated files with a header. Without a schema the types are inferred, which reads the files twice.
+
+    Files with unlike headers, in order or in names, are read each by its own header; a column that a file lacks is
+    null. That looks at the first line of every file, as Spark's own list of files does at every file.
+    """
+    headers: dict[str, list[str]] = {}
+    for file, line in first_lines(spark, path, pattern=pattern, recursive=recursive):
+        headers.setdefault(line, []).append(file)
+    options = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]['Z']"}
     if null_text is not None:
-        reader = reader.option("nullValue", null_text).option("nanValue", null_text)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
-    df = reader.csv(path)
+        options |= {"nullValue": null_text, "nanValue": null_text}
+    wanted = spark.createDataFrame([], schema).schema if schema is not None else None
+
+    def read(reader: DataFrameReader, files, header: str | None) -> DataFrame:
+        reader = reader.options(**options)
+        if wanted is None:
+            return reader.option("inferSchema", "true").csv(files)
+        if header is None:
+            return reader.schema(wanted).csv(files)
+        names = spark.read.options(header="true").csv(spark.sparkContext.parallelize([header], 1)).columns
+        known = {f.name.lower(): f for f in wanted.fields}
+        own = T.StructType([known.get(n.strip().lower(), T.StructField(n, T.StringType())) for n in names])
+        return reader.schema(own).csv(files).select(*[f.name for f in own.fields if f.name.lower() in known])
+
+    if len(headers) <= 1:
+        return _sourced(read(_reader(spark, pattern, recursive), path, None), source, exclude)
+    parts = [_sourced(read(spark.read, files, header), source, exclude) for header, files in headers.items()]
+    whole = _stacked(parts)
+    return whole if wanted is None else whole.select(*[f.name if f.name in whole.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields], *[c for c in ("source_file", "source_path") if c in whole.columns])
+
+
+def _sourced(df: DataFrame, source: bool, exclude: str | None) -> DataFrame:
     return with_source(df, exclude) if source or exclude else df
 
 
-def sniff_format(spark: SparkSession, path: str, *, pattern: str = "*", recursive: bool = False) -> str:
-    """``parquet`` by suffix, else ``keyvalue`` or ``csv`` by the first line."""
-    if pattern.lower().endswith(".parquet"):
-        return "parquet"
-    first = _reader(spark, pattern, recursive).text(path).filter(F.trim("value") != "").limit(1).collect()
-    line = first[0][0] if first else ""
+def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
+    """Rows of all parts by column name; where inferred types differ, numbers become doubles and all else text."""
+    kinds: dict[str, set] = {}
+    for part in parts:
+        for field in part.schema.fields:
+            kinds.setdefault(field.name, set()).add(field.dataType)
+    unlike = {n: "double" if all(isinstance(k, T.NumericType) for k in found) else "string" for n, found in kinds.items() if len(found) > 1}
+    same = [p.select(*[F.col(f"`{c}`").cast(unlike[c]).alias(c) if c in unlike else F.col(f"`{c}`") for c in p.columns]) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)
+
+
+def first_lines(spark: SparkSession, path: str | Sequence[str], *, pattern: str = "*", recursive: bool = False) -> list[tuple[str, str]]:
+    """Each text file with its first line that is not blank. As many rows as files, which the driver lists anyway."""
+    lines = _reader(spark, pattern, recursive).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("number"))
+    place = F.struct("file_block_start", "number")
+    first = lines.filter((F.trim("value") != "") & ~F.lower("file_path").endswith(".parquet")).groupBy("file_path").agg(F.min_by("value", place).alias("line"))
+    return sorted((unquote(r["file_path"]), r["line"]) for r in first.collect())
+
+
+def _kind_of(line: str) -> str:
     return "keyvalue" if ";" in line and ":" in line and "," not in line.split(";")[0] else "csv"
 
 
+def sniff_formats(spark: SparkSession, path: str, *, pattern: str = "*", recursive: bool = False) -> dict[str, list[str]]:
+    """Files by format: ``parquet`` by suffix, others ``keyvalue`` or ``csv`` by their own first line."""
+    found: dict[str, list[str]] = {}
+    listed = _reader(spark, pattern, recursive).format("binaryFile").load(path).inputFiles()
+    if parquet := sorted(unquote(f) for f in listed if f.lower().endswith(".parquet")):
+        found["parquet"] = parquet
+    if len(parquet) < len(listed):
+        for file, line in first_lines(spark, path, pattern=pattern, recursive=recursive):
+            found.setdefault(_kind_of(line), []).append(file)
+    return found
+
+
 def identify(
     df: DataFrame, *, substitutions: Sequence[Mapping[str, str]] = (), device_id_pattern: str | None = None, source: str = "source_file"
 ) -> DataFrame:
@@ -129,14 +184,26 @@ def read_raw_long(
     end: str | datetime | None = None,
     zone: str = "convert",
 ) -> DataFrame:
-    """Raw files of any of the three formats as ``Time, device_id, sensor, value, day, source_file``."""
-    kind = sniff_format(spark, path, pattern=pattern, recursive=recursive) if format == "auto" else format
+    """Raw files of any of the three formats, also mixed, as ``Time, device_id, sensor, value, day, source_file``."""
+    options = {"pattern": pattern, "recursive": recursive, "exclude": exclude}
+    kinds = {format: path} if format != "auto" else sniff_formats(spark, path, pattern=pattern, recursive=recursive) or {"csv": path}
+    if len(kinds) > 1:
+        options = {"pattern": "*", "recursive": False, "exclude": exclude}
+    else:
+        kinds = dict.fromkeys(kinds, path)
+    parts = []
+    for kind, where in kinds.items():
+        if kind == "keyvalue":
+            parts.append(raw_lines_to_long(read_text(spark, where, **options), zone, exclude_columns))
+        elif kind == "parquet":
+            parts.append(_wide_to_long(read_parquet(spark, where, **options), time_column, exclude_columns, zone))
+        else:
+            parts.append(_wide_to_long(read_csv(spark, where, **options), time_column, exclude_columns, zone))
+    return _ranged(reduce(DataFrame.unionByName, parts), start, end)
+
+
+def _wide_to_long(wide: DataFrame, time_column: str, exclude_columns: Sequence[str], zone: str) -> DataFrame:
     names = ["source_file", "source_path"]
-    if kind == "keyvalue":
-        lines = read_text(spark, path, pattern=pattern, recursive=recursive, exclude=exclude)
-        return _ranged(raw_lines_to_long(lines, zone, exclude_columns), start, end)
-    reader = read_parquet if kind == "parquet" else read_csv
-    wide = reader(spark, path, pattern=pattern, recursive=recursive, exclude=exclude)
     time = resolve_time_column([c for c in wide.columns if c not in names], time_column)
     wide = identify(wide)
     # Raw times are kept at whole seconds, whatever the format.
@@ -148,8 +215,7 @@ def read_raw_long(
     packed = identity.withColumn("device_id", F.struct("device_id", "day", "source_file"))
     packed = packed.drop("day", "experience", *names)
     long = to_raw_long(packed, time_column=time, exclude_columns=exclude_columns)
-    out = long.select("Time", "device_id.device_id", "sensor", "value", "device_id.day", "device_id.source_file")
-    return _ranged(out, start, end)
+    return long.select("Time", "device_id.device_id", "sensor", "value", "device_id.day", "device_id.source_file")
 
 
 def raw_lines_to_long(lines: DataFrame, zone: str = "convert", exclude_columns: Sequence[str] = ()) -> DataFrame:

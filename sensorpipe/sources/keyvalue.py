@@ -20,12 +20,13 @@ _PAIR = r";([^;:]*):([^;]*)"
 _SPACED_PAIR = r";\s*([^;:]*?)\s*:\s*([^;]*?)\s*(?=;|$)"
 
 
-def _number(text: Column) -> Column:
-    """The text as a double; null where it is no number or NaN.
+# The whole of a decimal number, or infinity; forms that only some languages read (``12d``, ``0x1p3``) are none.
+_NUMBER = r"^\s*[-+]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
 
-    Text that cannot be a number is told by its first characters: a failed cast costs far more than this test.
-    """
-    return F.when(text.rlike(r"^\s*[-+]?[.0-9iI]"), text.try_cast("double"))
+
+def _number(text: Column) -> Column:
+    """The text as a double; null where it is no number or NaN. A failed cast costs far more than this test."""
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def _pairs(line: Column, pattern: str) -> list[Column]:
@@ -112,6 +113,13 @@ def rejects(df: DataFrame, name: str = "Time") -> DataFrame:
     return df.filter(F.col(name).isNull())
 
 
+def rejected_lines(df: DataFrame, line: str = "value", zone: str = "convert") -> DataFrame:
+    """The lines, blank ones left out, whose leading time cannot be read, with their other columns."""
+    text = F.btrim(F.col(line), F.lit(_BLANKS))
+    time = parse_time(F.substring_index(text, ";", 1), zone)
+    return df.filter((text != "") & time.isNull())
+
+
 def render_lines(df: DataFrame, ts: str, metrics: Sequence[str], line: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """The inverse of parsing: one ``time;key:value;...`` line per row, nulls left out."""
     pairs = [F.when(F.col(m).isNotNull(), F.concat(F.lit(f"{m}:"), F.col(m).cast("string"))) for m in metrics]

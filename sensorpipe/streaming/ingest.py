@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from sensorpipe.functions.times import Duration
 from sensorpipe.operators.aggregate import method_named
+from sensorpipe.sinks.tables import overwrite_partitions
 from sensorpipe.sources.files import raw_lines_to_long, with_source
 
 
@@ -65,7 +66,8 @@ def windowed(
 ) -> DataFrame:
     """Mean or median per event-time window, device and sensor.
 
-    Same windows as the batch aggregate. In a stream the watermark closes windows and frees their state.
+    Same windows as the batch aggregate. In a stream the watermark closes windows and frees their state; what comes
+    later than that is lost, so ``aggregate_new`` works without one.
     """
     size = Duration.of(level)
     if size.micros is None or size.unit == "w":
@@ -82,20 +84,44 @@ def windowed(
     return groups.select(F.col("_window.start").cast("timestamp_ntz").alias(ts), *keys, out.alias(value))
 
 
-def aggregate_new(stream: DataFrame, level: str, target: str, checkpoint: str, method: str = "average", **options) -> None:
-    """Append the windows that the watermark closes to ``target``; run again when more files have arrived."""
-    write_new(windowed(stream, level, method, **options), target, checkpoint).awaitTermination()
-
-
-def open_windows(
-    source: DataFrame, closed: DataFrame, level: str, method: str = "average", *, ts: str = "Time", **options
-) -> DataFrame:
-    """The windows after the last closed one, from a batch read of the source: closed and open make the whole result.
+def aggregate_new(
+    stream: DataFrame,
+    level: str,
+    target: str,
+    checkpoint: str,
+    method: str = "average",
+    *,
+    ts: str = "Time",
+    keys: Sequence[str] = ("device_id", "sensor"),
+    value: str = "value",
+    decimals: int | None = 2,
+) -> None:
+    """Bring the windows in ``target`` (partitioned by day) up to date with what is new, in whatever order it comes.
 
-    For a replay of history, where nothing is late and every time up to the last closed window has been seen.
+    Each micro-batch adds its rows to a folder beside the checkpoint and computes the windows of the days it touches
+    anew, from all rows seen so far. So no window is ever closed and a file that comes late, even by days, is not lost;
+    the cost of a late row is one day of its windows. A batch that runs again replaces what it wrote. Rows without a
+    time stay in the folder under no day, and are in no window.
     """
     size = Duration.of(level)
-    last = closed.select(F.max(ts)).scalar()
-    after = last + F.expr(f"INTERVAL '{size.micros / 1_000_000:f}' SECOND")
-    rest = source.filter(last.isNull() | (F.col(ts) >= after))
-    return windowed(rest, level, method, ts=ts, watermark=None, **options)
+    rows_path = f"{checkpoint.rstrip('/')}-rows"
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        bucket = F.window(ts, f"{size.micros} microseconds")
+        columns = [ts, *keys, value]
+        days = batch.select(*columns).filter(F.col(ts).isNotNull()).select(*columns, bucket.alias("_window"))
+        days = days.select(*columns, F.to_date(F.col("_window.start").cast("timestamp_ntz")).alias("day"))
+        nowhere = batch.select(*columns).filter(F.col(ts).isNull()).withColumn("day", F.lit(None).cast("date"))
+        new = days.unionByName(nowhere).withColumn("batch", F.lit(number))
+        overwrite_partitions(new, rows_path, ["day", "batch"])
+        held = spark.read.schema(new.schema).parquet(rows_path)
+        # The calendar bounds the number of days; those of this batch are found by its folders.
+        touched = [r[0] for r in held.filter((F.col("batch") == number) & F.col("day").isNotNull()).select("day").distinct().collect()]
+        if touched:
+            rows = held.filter(F.col("day").isin(touched)).select(*columns)
+            out = windowed(rows, level, method, ts=ts, keys=keys, value=value, watermark=None, decimals=decimals)
+            overwrite_partitions(out.withColumn("day", F.to_date(ts)), target, ["day"])
+
+    query = stream.writeStream.foreachBatch(merge).trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
+    query.awaitTermination()

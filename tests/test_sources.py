@@ -69,7 +69,7 @@ def test_lenient(spark, folder, rows):
     assert rows(long.filter("device_id = 'node-02'"), "device_id", "sensor", "value", F.col("day").cast("string")) == [
         ("node-02", "m0", 3.0, "2026-01-21")
     ]
-    assert files.sniff_format(spark, folder, pattern="*node-01*") == "keyvalue"
+    assert list(files.sniff_formats(spark, folder, pattern="*node-01*")) == ["keyvalue"]
 
 
 def test_last_valid_value_wins(spark):
@@ -96,7 +96,7 @@ def test_raw_csv_and_parquet(spark, tmp_path, rows):
     wide.coalesce(1).write.parquet(str(tmp_path / "pq"))
     long = files.read_raw_long(spark, str(tmp_path / "pq"), pattern="*.parquet", time_column="missing", exclude_columns=["junk"])
     assert rows(long, "Time", "device_id", "sensor", "value") == [(dt.datetime(2026, 1, 21), "dev", "a", 1.0)]
-    assert files.sniff_format(spark, str(base)) == "csv"
+    assert list(files.sniff_formats(spark, str(base))) == ["csv"]
 
 
 def test_rewrite(spark):
