@@ -7,6 +7,7 @@ SPIKE = 2
 OUT_OF_RANGE = 3
 DISCONNECTED = 4
 INTERPOLATED = 5
+CORRECTED = 6
 
 # Text forms of times, the "no bound" placeholder of a configured range, null on CSV.
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"

@@ -510,6 +510,34 @@ SQL["ingest_available_now"] = SQL["kv_files_read"]
 SQL["stream_agg_60s"] = AGG_60S
 SQL["stream_late_files"] = AGG_60S
 
+# --- enriched series, joined views, corrections
+
+SQL["enriched_rolling"] = f"""
+WITH w AS (
+  SELECT event_id, ts, value, lag(ts) OVER o AS prev_ts, lag(value) OVER o AS prev,
+         count(value) OVER r AS count, round(avg(value) OVER r, 6) AS mean, min(value) OVER r AS min, max(value) OVER r AS max
+  FROM ({READINGS})
+  WINDOW o AS (PARTITION BY device_id, metric ORDER BY ts, event_id),
+         r AS (PARTITION BY device_id, metric ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)),
+d AS (SELECT *, (epoch_us(ts) - epoch_us(prev_ts)) / 1000000.0::DOUBLE AS passed FROM w),
+e AS (SELECT *, CASE WHEN passed > 0 AND passed <= 21600 THEN (value - prev) / passed END AS rate FROM d)
+SELECT event_id, count, mean, min, max, round(rate, 9) AS rate, abs(rate) > 0.01 AS event FROM e"""
+SQL["view_bio_env"] = f"""
+WITH r AS ({READINGS}),
+l AS (SELECT event_id AS click_id, device_id, ts, value FROM r WHERE metric = 'click'),
+e AS (SELECT device_id, ts AS error_ts, value AS error FROM r WHERE metric = 'error'),
+p AS (SELECT device_id, ts AS purchase_ts, value AS purchase FROM r WHERE metric = 'purchase'),
+a AS (SELECT l.*, e.error_ts, e.error FROM l ASOF LEFT JOIN e ON l.device_id = e.device_id AND l.ts >= e.error_ts)
+SELECT a.*, p.purchase_ts, p.purchase FROM a ASOF LEFT JOIN p ON a.device_id = p.device_id AND a.ts >= p.purchase_ts"""
+SQL["corrected_overlay"] = f"""
+WITH r AS ({READINGS}),
+c AS (
+  SELECT device_id, metric, ts, CASE WHEN event_id % 150 <> 0 THEN value * 2 END AS fixed FROM r WHERE event_id % 50 = 0
+  QUALIFY row_number() OVER (PARTITION BY device_id, metric, ts ORDER BY event_id DESC) = 1)
+SELECT event_id, r.ts, r.device_id, r.metric, CASE WHEN c.ts IS NOT NULL THEN c.fixed ELSE value END AS value,
+       CASE WHEN c.ts IS NOT NULL THEN 6 ELSE 0 END::BIGINT AS quality_flag
+FROM r LEFT JOIN c ON r.device_id = c.device_id AND r.metric = c.metric AND r.ts = c.ts"""
+
 # --- the whole chain
 
 _FILLED = """coalesce(last_value({0} IGNORE NULLS) OVER (PARTITION BY device_id, CAST(ts AS DATE) ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),

@@ -27,6 +27,7 @@ from sensorpipe.operators.aggregate import (
 from sensorpipe.operators.asof import asof_backward
 from sensorpipe.operators.clean import clean, rules_fill_drop
 from sensorpipe.operators.dedup import dedup, limit_rows
+from sensorpipe.operators.enrich import joined_view, overlay, rolling
 from sensorpipe.operators.fill import backward_fill, forward_fill, interpolate, previous
 from sensorpipe.operators.resample import grid, resample, resample_by_domain, series_bounds
 from sensorpipe.operators.reshape import readings_to_long, to_canonical, to_raw_long, to_sink_long, to_variable_long
@@ -787,6 +788,34 @@ def stream_late_files(spark, sf):
     return spark.read.parquet(target).drop("day")
 
 
+# --- enriched series, joined views, corrections ----------------------------------------------------------------
+
+
+@query
+def enriched_rolling(spark, sf):
+    """Statistics of the six hours before each reading, its rate of change, and whether that is an event."""
+    rows = rolling(readings(spark, sf), "6h", tie=["event_id"], event_rate=0.01)
+    return rows.select("event_id", "count", F.round("mean", 6).alias("mean"), "min", "max", F.round("rate", 9).alias("rate"), "event")
+
+
+@query
+def view_bio_env(spark, sf):
+    """Each click with the last environment readings of its device."""
+    rows = readings(spark, sf)
+    environment = {m: rows.filter(F.col("metric") == m).select("device_id", "ts", "value", "event_id") for m in ENVIRONMENT}
+    clicks = rows.filter(F.col("metric") == "click").select(F.col("event_id").alias("click_id"), "device_id", "ts", "value")
+    return joined_view(clicks, environment, tie=["event_id"])
+
+
+@query
+def corrected_overlay(spark, sf):
+    """Every fiftieth reading corrected by hand, every third of these taken away."""
+    rows = readings(spark, sf)
+    fixed = F.when(F.col("event_id") % 150 != 0, F.col("value") * 2)
+    corrections = rows.filter(F.col("event_id") % 50 == 0).select("device_id", "metric", "ts", fixed.alias("value"), F.col("event_id").alias("version"))
+    return overlay(rows.withColumn("quality_flag", F.lit(0).cast("bigint")), corrections, order=["version"])
+
+
 # --- the whole chain -------------------------------------------------------------------------------------------
 
 CHAIN = [
