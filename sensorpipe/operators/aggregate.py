@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sensorpipe.functions.times import time_bucket
-from sensorpipe.operators.skew import PART, hot_groups, lookup, split_hot
+from sensorpipe.operators.skew import PART, by_part, hot_groups, lookup, split_hot
+from sensorpipe.session import checkpointed
 
 # An exact median holds the values of its group in memory; groups above this size are ranked across tasks instead.
 MEDIAN_ROWS = 500_000
+# Metrics found in the data that may become columns.
+MOST_METRICS = 5_000
 # Method names used in configurations.
 METHODS = {"median": "median", "average": "mean", "mean": "mean", "approx_median": "approx_median"}
 
@@ -52,7 +55,7 @@ def specs_of(config: Mapping[str, Sequence[Mapping]] | Sequence[Mapping] | Seque
 def median_of_hot_groups(df: DataFrame, keys: Sequence[str], value: str, rows_per_task: int = MEDIAN_ROWS) -> DataFrame:
     """Exact median per key for groups too large for one task: values are counted, sliced and ranked across tasks."""
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    parts = split_hot(counted, keys, value, rows_per_task)
+    parts = split_hot(counted, keys, [value], rows_per_task)
     if PART not in parts.columns:
         parts = parts.withColumn(PART, F.lit(None).cast("bigint"))
     totals = parts.groupBy(*keys, PART).agg(F.sum("_n").alias("_size"))
@@ -66,8 +69,7 @@ def median_of_hot_groups(df: DataFrame, keys: Sequence[str], value: str, rows_pe
     )
     within = Window.partitionBy(*keys, PART).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = parts.withColumn("_in_part", F.sum("_n").over(within))
-    # One row per hot group and slice: bounded like the slices themselves.
-    ranked = lookup(ranked, totals, [*keys, PART], ["_before", "_all"])
+    ranked = by_part(ranked, totals, keys, ["_before", "_all"])
     high = F.col("_before") + F.col("_in_part")
     low = high - F.col("_n")
 
@@ -90,12 +92,18 @@ def _aggregate(method: str, value: Column, accuracy: int) -> Column:
     return F.avg(value)
 
 
+def _hot_buckets(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
+    """Hot groups, looked for only within series that have so many rows over all buckets (the first key)."""
+    series = hot_groups(df, keys[1:], rows_per_task)
+    return None if series is None else hot_groups(lookup(df, series, keys[1:], [], "left_semi"), keys, rows_per_task)
+
+
 def _grouped(df: DataFrame, keys: Sequence[str], specs: Sequence[Spec], rows_per_task: int, accuracy: int) -> DataFrame:
     """Conditional aggregates per key: one shuffle however many metrics there are."""
     value = F.col("value").cast("double")
     exact = sorted({s.metric for s in specs if s.method == "median"})
     ranked = F.col("metric").isin(exact) & F.col("value").isNotNull()
-    hot = hot_groups(df.filter(ranked), [*keys, "metric"], rows_per_task) if exact else None
+    hot = _hot_buckets(df.filter(ranked), [*keys, "metric"], rows_per_task) if exact else None
     if hot is None:
         columns = [_aggregate(s.method, _when_metric(s.metric, value), accuracy).alias(s.output) for s in specs]
         return df.groupBy(*keys).agg(*columns)
@@ -112,7 +120,7 @@ def _grouped(df: DataFrame, keys: Sequence[str], specs: Sequence[Spec], rows_per
     wide = medians.groupBy(*keys).agg(
         *[F.max(_when_metric(s.metric, F.col("_median"))).alias(names[s.output]) for s in specs if s.output in names]
     )
-    out = lookup(out, wide, keys, list(names.values()))
+    out = lookup(out, checkpointed(wide), keys, list(names.values()))
     return out.withColumns({o: F.coalesce(F.col(o), F.col(h)) for o, h in names.items()}).drop(*names.values())
 
 
@@ -164,7 +172,9 @@ def aggregate_by_domain(
         by_method.setdefault(method_named(rule.get("method", "average")), []).append(domain)
     ruled = df.filter(F.col("domain").isin(list(rules)))
     if metrics is None:
-        metrics = sorted(r[0] for r in ruled.select("metric").distinct().collect() if r[0] is not None)
+        metrics = sorted(r[0] for r in ruled.select("metric").filter(F.col("metric").isNotNull()).distinct().limit(MOST_METRICS + 1).collect())
+        if len(metrics) > MOST_METRICS:
+            raise ValueError(f"more than {MOST_METRICS} metrics were found; name the wanted ones as 'metrics'")
     rows = ruled.filter(F.col(ts).isNotNull()).select(time_bucket(F.col(ts), level).alias("ts"), *keys, "metric", "value")
     # A row of one domain only feeds the column of its domain's method.
     specs, tagged = [], F.lit(None).cast("string")

@@ -50,7 +50,7 @@ def match_backward(
     right = observations.select(*keys, ts, F.lit(0).alias("side"), *ties, match)
     both = right.unionByName(left.withColumn("side", F.lit(1)), allowMissingColumns=True)
     order = [ts, "side"] if hot else [ts, "side", *(["_tie"] if ties else []), "match"]
-    parts = split_hot(both, keys, ts, rows_per_task) if hot else both
+    parts = split_hot(both, keys, order, rows_per_task) if hot else both
     matched = carry(parts, keys, {"_matched": F.col("match")}, order)
     return matched.filter(F.col("side") == 1).drop("side", "match", "_tie").withColumnRenamed("_matched", "match")
 

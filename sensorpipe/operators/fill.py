@@ -13,10 +13,10 @@ from sensorpipe.operators.skew import (
     PART,
     ROWS_PER_TASK,
     any_hot,
+    by_part,
     carry,
     count_by,
     group_keys,
-    lookup,
     series_window,
     split_hot,
     with_edges,
@@ -39,7 +39,7 @@ def _prepared(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] |
         return df, order
     if not any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):
         df = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    return split_hot(df, keys, ts, rows_per_task), order
+    return split_hot(df, keys, order, rows_per_task), order
 
 
 def _unrolled(df: DataFrame) -> DataFrame:
@@ -166,13 +166,13 @@ def interpolate(
     Every row has its own position, so copies are not merged: drop duplicates first where one time has very many.
     """
     df, order = with_order(df, ts, tie)
-    parts = split_hot(df, keys, ts, rows_per_task)
+    parts = split_hot(df, keys, order, rows_per_task)
     out = parts.withColumn("_position", F.row_number().over(series_window(parts, keys, order)).cast("bigint"))
     if PART in parts.columns:
         sizes = parts.filter(F.col(PART).isNotNull()).groupBy(*keys, PART).agg(F.count(F.lit(1)).alias("_n"))
         earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
         offsets = sizes.select(*keys, PART, F.sum("_n").over(earlier).alias("_offset"))
-        out = lookup(out, offsets, [*keys, PART], ["_offset"])
+        out = by_part(out, offsets, keys, ["_offset"])
         out = out.withColumn("_position", F.col("_position") + F.coalesce(F.col("_offset"), F.lit(0).cast("bigint")))
         out = out.drop("_offset")
     out = linear_between(out, column, "_position", keys, order)

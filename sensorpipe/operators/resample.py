@@ -12,9 +12,9 @@ from pyspark.sql.window import Window
 
 from sensorpipe.constants import INTERPOLATED, MISSING, RESAMPLED
 from sensorpipe.functions.times import Duration, micros, plus_micros, time_bucket, whole_seconds_between
-from sensorpipe.operators.asof import match_backward
+from sensorpipe.operators.asof import last_per_time, match_backward
 from sensorpipe.operators.fill import linear_between
-from sensorpipe.operators.skew import PART, ROWS_PER_TASK, carry, group_keys, with_edges
+from sensorpipe.operators.skew import PART, ROWS_PER_TASK, carry, group_keys, split_hot, with_edges
 from sensorpipe.session import staged
 
 log = logging.getLogger(__name__)
@@ -51,6 +51,79 @@ def series_bounds(df: DataFrame, keys: Sequence[str], ts: str, by_day: bool, day
     )
 
 
+def _intervals(
+    observed: DataFrame, bounds: DataFrame, series: Sequence[str], ts: str, step: int, tie: Sequence[str] | None, by_day: bool, sliced: bool, rows_per_task: int
+) -> DataFrame:
+    """Each observation with the cells it stands for: from ``first`` to ``last``, up to the next observation.
+
+    One row more per series, without a time, stands for the cells ahead of its first observation. Rows without cells are
+    left out. ``match`` is the observation, ``grid`` the bounds of the series. The bounds travel as the first row of their
+    series, so observations are shuffled once and joined with nothing.
+    """
+    if sliced:
+        observed = last_per_time(observed, series, ts, ["value", "quality_flag"], tie)
+    match = F.struct(F.col(ts).alias("obs_ts"), "value", "quality_flag").alias("match")
+    ties = [F.struct(*tie).alias("_tie")] if tie and not sliced else []
+    rows = observed.select(*series, ts, *ties, match)
+    heads = bounds.select(*series, F.struct("lo", "hi", "unit").alias("grid"))
+    both = rows.unionByName(heads, allowMissingColumns=True)
+    order = [ts] if sliced else [ts, *(["_tie"] if ties else []), "match"]
+    parts = split_hot(both, series, order, rows_per_task) if sliced else both
+    known = carry(parts, series, {"grid": F.col("grid")}, order)
+    known = carry(known, series, {"_next": F.struct(F.col(ts).alias("ts"))}, order, forward=False, own=False)
+    lo, cell = micros(F.col("grid.lo")), lambda t: F.ceil((micros(t) - lo) / step)
+    end = F.floor((micros(F.col("grid.hi")) - lo) / step)
+    found = known.withColumns(
+        {
+            "first": F.when(F.col(ts).isNull(), F.lit(0)).otherwise(cell(F.col(ts))).cast("bigint"),
+            "last": F.least(end, F.coalesce(cell(F.col("_next.ts")) - 1, end)).cast("bigint"),
+        }
+    )
+    found = found.filter("first <= last").drop(ts, "_tie", "_next")
+    if PART in found.columns:
+        found = staged(found)
+    if by_day:
+        found = carry(found, series, {"_later": F.col("match")}, ["first"], forward=False)
+        found = found.withColumn("match", F.coalesce("match", "_later")).drop("_later")
+    return found
+
+
+def _filled(intervals: DataFrame, series: Sequence[str], step: int, interpolation: str | None) -> DataFrame:
+    """Adds ``value``, and ``before`` and ``after``: the points between which a cell without a value lies on a line."""
+    out, value = intervals.withColumn("value", F.col("match.value")), F.col("value")
+    point = lambda cell: F.struct(F.col(cell).alias("p"), F.col("value").alias("v"))
+    if interpolation == "nearest":
+        out = carry(out, series, {"value": value}, ["first"])
+        return carry(out, series, {"value": value}, ["first"], forward=False)
+    if interpolation == "linear":
+        out = carry(out, series, {"before": F.when(value.isNotNull(), point("last"))}, ["first"])
+        return carry(out, series, {"after": F.when(value.isNotNull(), point("first"))}, ["first"], forward=False)
+    if interpolation == "true_linear":
+        hit = F.col("match.obs_ts") == plus_micros(F.col("grid.lo"), F.col("first") * step)
+        hit = F.when(hit & value.isNotNull(), point("first"))
+        out = carry(out, series, {"before": hit}, ["first"])
+        out = carry(out, series, {"after": hit}, ["first"], forward=False, own=False)
+        return out.withColumn("value", F.lit(None).cast("double"))
+    return out
+
+
+def _cells(intervals: DataFrame, series: Sequence[str], ts: str, step: int, block_cells: int, spread: bool) -> DataFrame:
+    """The cells of intervals; long ones are unrolled in blocks, which are dealt out first where there are very many."""
+    # Taken out of its struct before rows are multiplied.
+    intervals = intervals.withColumns({"_lo": F.col("grid.lo"), "unit": F.col("grid.unit")}).drop("grid")
+    blocks = intervals.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("last") - F.col("first")) / block_cells))))
+    if spread:
+        blocks = blocks.repartition(*series, "first", "_block")
+    begin = F.col("first") + F.col("_block") * block_cells
+    cells = blocks.withColumn("cell", F.explode(F.sequence(begin, F.least(begin + (block_cells - 1), F.col("last")))))
+    if "before" in cells.columns:
+        before, after, cell = F.col("before"), F.col("after"), F.col("cell")
+        line = F.when(after["p"] > before["p"], before["v"] + (after["v"] - before["v"]) * ((cell - before["p"]) / (after["p"] - before["p"])))
+        at = F.when(cell == before["p"], before["v"]).when(before.isNotNull() & after.isNotNull(), line)
+        cells = cells.withColumn("value", F.coalesce("value", at))
+    return cells.withColumn(ts, plus_micros(F.col("_lo"), F.col("cell") * step))
+
+
 def grid(bounds: DataFrame, keys: Sequence[str], ts: str, freq: str | Duration, block_cells: int = BLOCK_CELLS) -> DataFrame:
     """Every grid time of every series in ``bounds``, with its ``cell`` number from 0.
 
@@ -113,10 +186,15 @@ def resample(
     if by_day:
         observed = observed.withColumn("_day", F.to_date(ts))
     bounds = series_bounds(timed, keys, ts, by_day, day_anchor)
+    step = Duration.of(freq).micros
+    length = (micros(F.col("hi")) - micros(F.col("lo"))) / (step or Duration.of("4w").micros)
+    if step is not None:
+        seen, cells = bounds.agg(F.max("observations"), F.max(length)).first()
+        intervals = _intervals(observed, bounds, series, ts, step, tie, by_day, (seen or 0) > rows_per_task, rows_per_task)
+        out = _cells(_filled(intervals, series, step, interpolation), series, ts, step, block_cells, (cells or 0) > rows_per_task)
+        return _marked(out, ts)
     cells = grid(bounds, series, ts, freq, block_cells).select(*series, ts, "cell", "unit")
-    step = Duration.of(freq).micros or Duration.of("4w").micros
-    cell_count = (micros(F.col("hi")) - micros(F.col("lo"))) / step
-    counted = bounds.select(*series, (F.col("observations") + cell_count).alias("_n"))
+    counted = bounds.select(*series, (F.col("observations") + length).alias("_n"))
     out = match_backward(
         observed, cells, series, ts, ["value", "quality_flag"], counted, tie=tie, rows_per_task=rows_per_task
     )
@@ -125,11 +203,24 @@ def resample(
         out = staged(out)
     if by_day:
         out = _take_first_match(out, series, ts)
+    out = out.withColumn("value", F.col("match.value"))
+    if interpolation == "linear":
+        out = linear_between(out, "value", "cell", series, [ts])
+    elif interpolation == "nearest":
+        out = carry(out, series, {"value": F.col("value")}, [ts])
+        out = carry(out, series, {"value": F.col("value")}, [ts], forward=False)
+    elif interpolation == "true_linear":
+        hit = F.coalesce(F.col("match.obs_ts") == F.col(ts), F.lit(False))
+        out = linear_between(out.withColumn("value", F.when(hit, F.col("value"))), "value", "cell", series, [ts])
+    return _marked(out, ts)
+
+
+def _marked(out: DataFrame, ts: str) -> DataFrame:
+    """The columns of a resampled frame, from each cell's ``match``."""
     obs_ts = F.col("match.obs_ts")
     exact = F.coalesce(obs_ts == F.col(ts), F.lit(False))
     out = out.withColumns(
         {
-            "value": F.col("match.value"),
             "is_interpolated": ~exact,
             "gap_duration": F.when(exact, 0.0).otherwise(whole_seconds_between(obs_ts, F.col(ts))),
             "quality_flag": F.when(obs_ts.isNull(), MISSING)
@@ -138,14 +229,6 @@ def resample(
             .cast("bigint"),
         }
     )
-    if interpolation == "linear":
-        out = linear_between(out, "value", "cell", series, [ts])
-    elif interpolation == "nearest":
-        out = carry(out, series, {"value": F.col("value")}, [ts])
-        out = carry(out, series, {"value": F.col("value")}, [ts], forward=False)
-    elif interpolation == "true_linear":
-        out = out.withColumn("value", F.when(~F.col("is_interpolated"), F.col("value")))
-        out = linear_between(out, "value", "cell", series, [ts])
     names = [ts if c == "ts" else c for c in RESAMPLED]
     return out.select(*[c if c in out.columns else F.lit("").alias(c) for c in names])
 

@@ -1,9 +1,8 @@
 """Joins and ordered windows that stay balanced when one key holds a large share of the rows.
 
 A group with more than ``rows_per_task`` rows is *hot*. An operator first counts rows by key, one job over the key
-columns. Mostly nothing is hot and the plan is a plain join or window. Otherwise hot groups are sliced: there are at
-most (all rows / rows_per_task) of them and twice that many slices, so the frames that describe them are the only ones
-that are broadcast.
+columns. Mostly nothing is hot and the plan is a plain join or window. Otherwise the rows of hot groups are sliced at
+quantiles of their order. The list of hot groups is broadcast only if it has been counted and is short.
 
 All choices depend on row values only, so a task that runs again makes the same choice again.
 """
@@ -19,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sensorpipe.functions.times import micros
 from sensorpipe.session import checkpointed, staged
 
 ROWS_PER_TASK = 4_000_000
+#: Rows of a few keys and values each that may be broadcast.
+BROADCAST_ROWS = 200_000
 PART = "_part"
-_LEVEL = 1 << 32
 
 
 def _match(keys: Sequence[str]) -> Column:
@@ -36,8 +35,14 @@ def _right(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFra
 
 
 def lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], values: Sequence[str], how: str = "left") -> DataFrame:
-    """Add ``values`` from a frame of bounded size by broadcast; null keys match null keys."""
-    return _join(df, F.broadcast(_right(small, keys, values)), keys, how)
+    """Add ``values`` from a checkpointed frame with one row per key; null keys match null keys.
+
+    It is broadcast if a count shows at most BROADCAST_ROWS rows, else joined by key.
+    """
+    right = _right(small, keys, values)
+    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        right = F.broadcast(right)
+    return _join(df, right, keys, how)
 
 
 def count_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -48,12 +53,11 @@ def any_hot(counted: DataFrame, rows_per_task: int) -> bool:
     return not counted.filter(F.col("_n") > rows_per_task).isEmpty()
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
-    """Keys with more than ``rows_per_task`` rows, or None if there are none."""
-    counted = count_by(df, keys)
-    if not any_hot(counted, rows_per_task):
-        return None
-    return checkpointed(counted.filter(F.col("_n") > rows_per_task).select(*keys, F.lit(True).alias("_hot")))
+def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_task: int, counted: DataFrame | None = None) -> DataFrame | None:
+    """Keys with more than ``rows_per_task`` rows, with ``_hot`` and their number ``_n``, or None if there are none."""
+    counted = count_by(df, keys) if counted is None else counted
+    hot = checkpointed(counted.filter(F.col("_n") > rows_per_task).select(*keys, F.lit(True).alias("_hot"), "_n"))
+    return None if hot.isEmpty() else hot
 
 
 def attach(
@@ -73,7 +77,7 @@ def attach(
     if hot is None:
         return _join(df, _right(per_key, keys, values), keys, how)
     of_hot = lambda rows, side: lookup(rows, hot, keys, [], side)
-    spread = lookup(of_hot(df, "left_semi"), of_hot(per_key, "left_semi"), keys, values, how)
+    spread = lookup(of_hot(df, "left_semi"), checkpointed(of_hot(per_key, "left_semi")), keys, values, how)
     return spread.unionByName(_join(of_hot(df, "left_anti"), _right(per_key, keys, values), keys, how))
 
 
@@ -81,59 +85,33 @@ def _join(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> Dat
     return df.join(right, _match(keys), how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _position(df: DataFrame, axis: str) -> Column:
-    kind = df.schema[axis].dataType
-    column = F.col(axis)
-    return (micros(column) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else column).cast("double")
-
-
-def _slice_number(position: Column, low: str, high: str, tasks: str) -> Column:
-    """Equal slices of [low, high], numbered in order; rows with a null position come first, as in a window."""
-    width = (F.col(high) - F.col(low)) / F.col(tasks)
-    number = F.when(width > 0, F.floor((position - F.col(low)) / width))
-    number = F.when(F.isnan(position) | (position > F.col(high)), F.col(tasks) - 1).otherwise(number)
-    return F.greatest(F.lit(0), F.least(F.coalesce(number, F.lit(0)), F.col(tasks) - 1))
-
-
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],
-    axis: str,
+    order: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Where groups are hot, add ``_part``: null in groups that fit one task, else the row's slice along ``axis``.
-
-    A hot group is cut into equal slices of its span; a slice that is still too large is cut once more.
-    ``_part`` grows with ``axis``, so a window over keys and part, plus what the earlier parts pass on (``edges``),
-    gives the same rows as a window over the keys alone. With no hot group the frame is returned as it is.
+    """Where groups are hot, add ``_part``: null in groups that fit one task, else the row's slice along ``order``.
 
-    Sliced rows are written to the shared folder, since windows over them need two reads.
+    Slices are the ranges of a sort of all hot rows by keys, order and row content, cut by sampled quantiles: stray
+    times far away from all others do not matter, and rows of one instant are parted like any. ``_part`` grows with
+    ``order``, so a window over keys and part, plus what the earlier parts pass on (``edges``), gives the same rows as a
+    window over the keys alone; only rows that are equal in every column stay together. With no hot group the frame is
+    returned as it is.
 
+    Only the rows of hot groups are written to the shared folder, which fixes their slices; the others stay as they are.
     ``counted`` (keys and ``_n``) can stand in for counting ``df`` where that is cheaper.
     """
-    if not any_hot(count_by(df, keys) if counted is None else counted, rows_per_task):
+    hot = hot_groups(df, keys, rows_per_task, counted)
+    if hot is None:
         return df
-    position = _position(df, axis)
-    finite = F.when(~F.isnan(position) & (F.abs(position) < float("inf")), position)
-
-    def spans(rows: DataFrame, by: Sequence[str], level: int) -> DataFrame:
-        counts = rows.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(finite).alias(f"_low{level}"), F.max(finite).alias(f"_high{level}")
-        )
-        hot = counts.filter(F.col("_n") > rows_per_task)
-        return checkpointed(hot.withColumn(f"_tasks{level}", F.ceil(F.col("_n") / rows_per_task)).drop("_n"))
-
-    names = ["_low1", "_high1", "_tasks1"]
-    coarse = spans(df, keys, 1)
-    number = F.when(F.col("_tasks1").isNotNull(), _slice_number(position, *names))
-    fine = spans(lookup(df, coarse, keys, names, "inner").withColumn("_slice1", number), [*keys, "_slice1"], 2)
-    sliced = lookup(df, coarse, keys, names).withColumn("_slice1", number)
-    sliced = lookup(sliced, fine, [*keys, "_slice1"], ["_low2", "_high2", "_tasks2"])
-    inner = F.when(F.col("_tasks2").isNotNull(), _slice_number(position, "_low2", "_high2", "_tasks2"))
-    sliced = sliced.withColumn(PART, F.col("_slice1") * _LEVEL + F.coalesce(inner, F.lit(0).cast("bigint")))
-    # The rows are read twice from here, for the edges and for the window: they are written once instead of computed twice.
-    return staged(sliced.drop(*names, "_slice1", "_low2", "_high2", "_tasks2"))
+    rows = hot.agg(F.sum("_n")).first()[0]
+    slices = -(-2 * rows // rows_per_task)
+    content = content_hash(df)
+    ranged = lookup(df, hot, keys, [], "left_semi").repartitionByRange(slices, *keys, *order, content)
+    cut = staged(ranged.withColumn(PART, F.spark_partition_id().cast("bigint")))
+    return cut.unionByName(lookup(df, hot, keys, [], "left_anti").withColumn(PART, F.lit(None).cast("bigint")))
 
 
 def edges(
@@ -156,6 +134,11 @@ def edges(
     return ends.select(*keys, PART, *[F.last(name, True).over(earlier).alias(name) for name in payloads])
 
 
+def by_part(df: DataFrame, per_part: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Add ``values`` of a frame with one row per slice."""
+    return _join(df, _right(per_part, [*keys, PART], values), [*keys, PART], "left")
+
+
 def with_edges(
     df: DataFrame,
     source: DataFrame,
@@ -166,7 +149,8 @@ def with_edges(
 ) -> DataFrame:
     """Add the edges of ``source`` to ``df``; null where no group is hot."""
     if PART in source.columns:
-        return lookup(df, edges(source, keys, payloads, order, forward), [*keys, PART], list(payloads))
+        # One row per slice, joined where the slices are: no slice is larger than a task may hold.
+        return by_part(df, edges(source, keys, payloads, order, forward), keys, list(payloads))
     kinds = source.select(*[p.alias(n) for n, p in payloads.items()]).schema
     return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in kinds.fields})
 
@@ -182,14 +166,16 @@ def series_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], forw
 
 
 def carry(
-    df: DataFrame, keys: Sequence[str], payloads: Mapping[str, Column], order: Sequence[str], forward: bool = True
+    df: DataFrame, keys: Sequence[str], payloads: Mapping[str, Column], order: Sequence[str], forward: bool = True, own: bool = True
 ) -> DataFrame:
     """Set each name to the latest non-null payload up to the row (or the next one from the row on).
 
+    Without ``own`` the row's own payload does not count.
+
     ``df`` has been through ``split_hot``. The backward direction sorts in reverse: a frame that ends at the last
     row would be scanned anew for every row.
     """
-    window = series_window(df, keys, order, forward).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    window = series_window(df, keys, order, forward).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
     filled = df.withColumns({n: F.last(p, True).over(window) for n, p in payloads.items()})
     if PART not in df.columns:
         return filled

@@ -7,20 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings worth having on any cluster that runs this library.
-RECOMMENDED = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # The exact median keeps one buffer per group; the stock limit of 128 groups per task falls back to a
-    # sort far too early for time buckets.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
-}
+# What right results need; all else is left to the caller. Writers name their overwrite mode themselves.
+REQUIRED = {"spark.sql.session.timeZone": "UTC"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    for key, value in RECOMMENDED.items():
+    for key, value in REQUIRED.items():
         spark.conf.set(key, value)
     return spark
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorpipe.operators.aggregate import distinct_days
 from sensorpipe.operators.skew import ROWS_PER_TASK, attach
+from sensorpipe.session import staged
 
 MODES = ("none", "max_ts", "missing_days")
 
@@ -34,18 +35,15 @@ def missing_days(
     The day of a source is the one in its name (``day`` column), else that of its first time. Sources with no day are
     left out, unless no source has one.
     """
-    columns = new.columns
-    # Only sources without a day in their name need their first time, so usually nothing takes part in this join.
-    firsts = new.filter(F.col(day).isNull()).groupBy(*by).agg(F.to_date(F.min(ts)).alias("_first_day"))
-    named = new.filter(F.col(day).isNotNull()).withColumn("_day", F.col(day))
-    unnamed = attach(new.filter(F.col(day).isNull()), firsts, by, ["_first_day"], rows_per_task=rows_per_task)
-    dated = named.unionByName(unnamed.withColumnRenamed("_first_day", "_day"))
+    # One row per source and named day, from which days, first times and "is any day known" all follow.
+    first = new.groupBy(*by, day).agg(F.min(ts).alias("_first"))
+    sources = staged(first.withColumn("_day", F.coalesce(F.col(day), F.to_date("_first"))))
     present = distinct_days(sink, sink_ts or ts).select(F.col("day").alias("_present"))
+    known = not sources.filter(F.col("_day").isNotNull()).isEmpty()
     # The calendar bounds the number of distinct days.
-    absent = dated.join(F.broadcast(present), F.col("_day") == F.col("_present"), "left_anti")
-    # Each test stops at the first row it finds.
-    known = not named.isEmpty() or not new.filter(F.col(day).isNull() & F.col(ts).isNotNull()).isEmpty()
-    return (absent.filter(F.col("_day").isNotNull()) if known else absent).select(*columns)
+    absent = sources.join(F.broadcast(present), F.col("_day") == F.col("_present"), "left_anti")
+    wanted = absent.filter(F.col("_day").isNotNull()) if known else absent
+    return attach(new, wanted, [*by, day], [], "left_semi", rows_per_task=rows_per_task)
 
 
 def select_new(new: DataFrame, sink: DataFrame, mode: str = "none", **options) -> DataFrame:

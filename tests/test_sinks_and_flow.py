@@ -135,12 +135,12 @@ def project(tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     for day in (21, 22):
-        lines = [f"2026-01-{day}T00:00:{s:02d}.5Z;m0:{s % 7};m1:{25 if s == 3 else 4};outdoor_temp:{s}.25" for s in range(0, 40, 2)]
-        lines += [lines[0], f"2026-01-{day - 1}T23:59:59Z;m0:1"]
+        lines = [f"2026-01-{day}T00:00:{s:02d}.5Z;gap_a:{s % 7};gap_b:{25 if s == 3 else 4};porch_temp:{s}.25" for s in range(0, 40, 2)]
+        lines += [lines[0], f"2026-01-{day - 1}T23:59:59Z;gap_a:1"]
         (raw / f"lab_node-01_2026-01-{day}.csv").write_text("\n".join(lines) + "\n")
     folder = lambda n: str(tmp_path / n)
     io = lambda a, b, **o: {"input": {"input_directory": folder(a), "from": "yyyy-mm-ddTh:m:sZ"}, "output": {"output_directory": folder(b), "clear": True, **o}}
-    domains = {"bio_signal": ["m0", "m1"], "environment": ["outdoor_temp"]}
+    domains = {"bio_signal": ["gap_a", "gap_b"], "environment": ["porch_temp"]}
     steps = [
         ("01_parser.py", {**io("raw", "10", decimal_places={"default": 1}), "metrics": None}),
         ("02_split.py", {**io("10", "20"), "domain_columns": domains}),
@@ -149,23 +149,23 @@ def project(tmp_path):
             {
                 **io("20", "30", add_quality_column=True),
                 "domain_columns": domains,
-                "domain_rules": {"bio_signal": {"m0": {"type": "int", "max_diff": 5}, "m1": {"type": "int", "max": 20}}, "environment": {"outdoor_temp": {"type": "float", "min": 5}}},
+                "domain_rules": {"bio_signal": {"gap_a": {"type": "int", "max_diff": 5}, "gap_b": {"type": "int", "max": 20}}, "environment": {"porch_temp": {"type": "float", "min": 5}}},
             },
         ),
-        ("04_transfo.py", {**io("30", "40"), "domain_transfo": {"environment": {"outdoor_temp": {"temp_f": "celsius_to_fahrenheit"}}}}),
-        ("05_canonical.py", {**io("40", "50", decimal_places={"default": 3}), "domain_columns": {"bio_signal": ["m0", "m1"], "environment": ["outdoor_temp", "temp_f"]}, "unit_map": {"temp_f": "F"}}),
+        ("04_transfo.py", {**io("30", "40"), "domain_transfo": {"environment": {"porch_temp": {"porch_f": "celsius_to_fahrenheit"}}}}),
+        ("05_canonical.py", {**io("40", "50", decimal_places={"default": 3}), "domain_columns": {"bio_signal": ["gap_a", "gap_b"], "environment": ["porch_temp", "porch_f"]}, "unit_map": {"porch_f": "F"}}),
         ("06_resample.py", {**io("50", "55"), "resample_by_domain": {d: {"freq": "1s", "independent_by_day": True} for d in domains}}),
-        ("07_aggregated.py", {**io("55", "70"), "aggregation_level": "10s", "metrics_aggregation": {"m0": [{"method": "median", "output": "c0"}], "temp_f": [{"method": "average", "output": "t"}]}}),
+        ("07_aggregated.py", {**io("55", "70"), "aggregation_level": "10s", "metrics_aggregation": {"gap_a": [{"method": "median", "output": "col_a"}], "porch_f": [{"method": "average", "output": "t"}]}}),
         (
             "08_import_postgres.py",
             {
                 "input": {"input_directory": folder("70")},
-                "output": {"database": {"path": folder("table"), "policy": "replace", "include_metrics": ["c0"], "column_to_sensor": {"c0": "m0"}, "schema": {"timestamp_column": "time"}}},
+                "output": {"database": {"path": folder("table"), "policy": "replace", "include_metrics": ["col_a"], "column_to_sensor": {"col_a": "gap_a"}, "schema": {"timestamp_column": "time"}}},
             },
         ),
         (
             "09_import_raw_postgres.py",
-            {"input": {"input_directory": folder("raw"), "file_pattern": "*.csv"}, "output": {"database": {"path": folder("rawtable"), "aggregation": "10s", "auto_mode": True, "include_sensors": ["m0"]}}},
+            {"input": {"input_directory": folder("raw"), "file_pattern": "*.csv"}, "output": {"database": {"path": folder("rawtable"), "aggregation": "10s", "auto_mode": True, "include_sensors": ["gap_a"]}}},
         ),
     ]
     items = []
@@ -184,7 +184,7 @@ def test_flow_over_files(spark, project, rows):
     read = lambda n: spark.read.parquet(str(project / n))
     cleaned = read("30")
     flags = {d: rows(cleaned.filter(F.col("domain") == d).groupBy("quality_flag").count()) for d in ("bio_signal", "environment")}
-    # m0 runs 0 2 4 6 1 3 5 0 ...: no jump exceeds 5; m1 is 25 never, since seconds are even; 0, 2 and 4 degrees are too cold.
+    # gap_a runs 0 2 4 6 1 3 5 0 ...: no jump exceeds 5; gap_b is 25 never, since seconds are even; 0, 2 and 4 degrees are too cold.
     assert flags["bio_signal"] == [(0, 40)]
     assert flags["environment"] == [(0, 34), (3, 6)]
     assert read("50").count() == 2 * 20 * 4
@@ -194,10 +194,10 @@ def test_flow_over_files(spark, project, rows):
     aggregated = read("70")
     assert aggregated.count() == 2 * 4 * 2
     first = aggregated.filter("domain = 'bio_signal'").orderBy("ts").first()
-    assert (first["device_id"], first["c0"]) == ("node-01", 2.0)  # 0 0 2 2 4 4 6 6 1 1
+    assert (first["device_id"], first["col_a"]) == ("node-01", 2.0)  # 0 0 2 2 4 4 6 6 1 1
     table = read("table")
     assert set(table.columns) == {"time", "device_id", "domain", "sensor", "value", "day"}
-    assert table.select("sensor").distinct().collect()[0][0] == "m0" and table.count() == aggregated.count()
+    assert table.select("sensor").distinct().collect()[0][0] == "gap_a" and table.count() == aggregated.count()
     raw = read("rawtable").count()
     before = rows(read("20")), rows(read("70"))
     # A second run over one day replaces that day and leaves the rest; the automatic load finds nothing new.
@@ -217,11 +217,11 @@ def test_chain_equals_files(spark, project, rows):
 
 def test_legacy_step(spark, project, rows):
     lines = files.read_text(spark, str(project / "raw"), pattern="*21.csv")
-    config = {"rules_and_filters": {"m0": {"type": "int", "min": 1}, "outdoor_temp": {"type": "float"}}}
+    config = {"rules_and_filters": {"gap_a": {"type": "int", "min": 1}, "porch_temp": {"type": "float"}}}
     out = Flow([{"run": "preprocess", "with": config}]).chain(lines)
     assert out.columns == ["timestamp", "variable", "value"]
     assert out.filter("value is null").count() == 0
-    assert out.filter("variable = 'm0' and value > 1").count() == 0
+    assert out.filter("variable = 'gap_a' and value > 1").count() == 0
 
 
 def test_step_names():

@@ -50,15 +50,15 @@ def series(spark):
 
 
 def test_parts_follow_time_and_stay_small(series):
-    parts = split_hot(series, ["device_id"], "ts", SMALL)
+    parts = split_hot(series, ["device_id"], ["ts", "id"], SMALL)
     assert PART in parts.columns
     hot = parts.filter(F.col("device_id") == "a")
     assert hot.filter(F.col(PART).isNull()).count() == 0
     assert parts.filter((F.col("device_id") == "b") & F.col(PART).isNotNull()).count() == 0
-    spans = hot.filter("ts is not null").groupBy(PART).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).orderBy(PART).collect()
+    spans = hot.filter("ts is not null").groupBy(PART).agg(F.min(F.struct("ts", "id")).alias("lo"), F.max(F.struct("ts", "id")).alias("hi")).orderBy(PART).collect()
     assert len(spans) > 30
     assert all(x["hi"] < y["lo"] for x, y in zip(spans, spans[1:]))
-    assert PART not in split_hot(series, ["device_id"], "ts", PLAIN).columns
+    assert PART not in split_hot(series, ["device_id"], ["ts", "id"], PLAIN).columns
 
 
 KEYED = dict(keys=["device_id"], tie=["id"])
@@ -125,6 +125,24 @@ def test_attach_and_prune(series, rows):
     assert results[0] == results[1]
 
 
+def test_slices_are_even(spark):
+    """Two stray times, and very many rows of one instant: no slice holds much more than it should."""
+    at = F.when(F.col("id") == 0, "1970-01-01").when(F.col("id") == 1, "9999-01-01").when(F.col("id") < 20_000, "2026-01-01").otherwise(None)
+    spread = F.timestamp_seconds(F.lit(1_767_000_000) + F.col("id")).cast("timestamp_ntz")
+    rows = spark.range(60_000).select("id", F.lit("a").alias("device_id"), F.coalesce(at.cast("timestamp_ntz"), spread).alias("ts"))
+    parts = split_hot(rows, ["device_id"], ["ts", "id"], 3_000)
+    sizes = [r["count"] for r in parts.groupBy(PART).count().collect()]
+    assert sum(sizes) == 60_000 and max(sizes) <= 2 * 3_000
+
+
+def test_asof_ties_alike_on_both_paths(spark, rows):
+    seen = [("a", "2026-01-01 00:00:00", None, 7.0), ("a", "2026-01-01 00:00:00", 1, 8.0), ("a", "2026-01-01 00:00:00", 1, 9.0), ("b", "2026-01-01 00:00:00", None, 7.0)]
+    right = spark.createDataFrame(seen, "device_id string, ts string, rank int, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    left = right.select("device_id", "ts").distinct()
+    got = [rows(asof_backward(left, right, by=["device_id"], values=["value"], tie=["rank"], rows_per_task=n), "device_id", "value") for n in (1, PLAIN)]
+    assert got[0] == got[1] == [("a", 9.0), ("b", 7.0)]
+
+
 def test_copies_collapse_before_the_window(spark, rows):
     copies = spark.range(200).select(
         F.lit("a").alias("device_id"), F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit(1.5).alias("value")
