@@ -245,7 +245,7 @@ def _take_first_match(df: DataFrame, series: Sequence[str], ts: str) -> DataFram
 def resample_by_domain(
     df: DataFrame, settings: Mapping[str, Mapping], *, strict: bool = False, **options
 ) -> DataFrame:
-    """Resample each domain with its own ``{freq, interpolation, independent_by_day}``; other domains are left out.
+    """Resample each domain with its own ``{freq, interpolation, independent_by_day, day_anchor, tie}``; others are left out.
 
     ``strict`` raises on a domain without settings, which needs one distinct count of the domains.
     """
@@ -260,8 +260,7 @@ def resample_by_domain(
             df.filter(F.col("domain") == domain),
             s.get("freq", "1m"),
             interpolation=s.get("interpolation"),
-            by_day=bool(s.get("independent_by_day", False)),
-            **options,
+            **{"by_day": bool(s.get("independent_by_day", False)), "day_anchor": s.get("day_anchor", "first"), "tie": s.get("tie"), **options},
         )
         for domain, s in settings.items()
     ]

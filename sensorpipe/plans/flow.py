@@ -151,7 +151,7 @@ def cleaning(df: DataFrame, config: Mapping) -> DataFrame:
             keys=keys,
             ts=time,
             add_quality=_output(config).get("add_quality_column", False),
-            flag_mode=config.get("flag_mode", "documented"),
+            flag_mode=(config.get("domain_flag_mode") or {}).get(domain) or config.get("flag_mode", "documented"),
             flag_columns=looked_at,
         )
 
