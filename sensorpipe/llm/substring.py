@@ -22,8 +22,8 @@ from sensorpipe.llm.ship import ship
 from sensorpipe.session import staged
 
 WINDOW = 20
-#: Words in a chunk; a longer document is a chunk of its own.
-CHUNK_WORDS = 1 << 21
+#: Words in a chunk, about; a longer document is a chunk of its own.
+CHUNK_WORDS = 1 << 20
 #: Rows of the sketch. Each has at least as many cells as the texts have bytes, some six to twelve times the windows.
 DEPTH = 2
 #: Cells that one task merges.
@@ -70,26 +70,31 @@ class Chunk:
     """Some documents: their words one after the other, and the windows that lie within one document."""
 
     def __init__(self, doc_ids: list, texts: list, window: int):
-        self.doc_ids, self.window = doc_ids, window
-        self.words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        counts = np.array([len(w) for w in self.words], np.int64)
-        self.ends = np.cumsum(counts)
-        starts = self.ends - counts
-        many = np.maximum(counts - window + 1, 0)
-        self.doc = np.repeat(np.arange(len(counts)), many)
-        inside = np.arange(len(self.doc)) - np.repeat(np.cumsum(many) - many, many)
-        self.pos = inside
-        self.at = inside + np.repeat(starts, many)
+        self.doc_ids, self.texts, self.window = doc_ids, texts, window
+
+    def words(self) -> Iterator[list[bytes]]:
+        """The words of one document after the other."""
+        for text in self.texts:
+            yield (text or "").encode("utf-8", "surrogatepass").split()
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent hashes of each window."""
+        """Two independent hashes of each window; sets where the windows are."""
         known: dict[bytes, int] = {}
-        number = np.fromiter((known.setdefault(w, len(known)) for doc in self.words for w in doc), np.int64, int(self.ends[-1]) if len(self.ends) else 0)
+        numbers = [np.fromiter((known.setdefault(w, len(known)) for w in doc), np.int32, len(doc)) for doc in self.words()]
+        counts = np.array([len(n) for n in numbers], np.int64)
+        number = np.concatenate(numbers) if numbers else np.empty(0, np.int32)
+        many = np.maximum(counts - self.window + 1, 0)
+        self.doc = np.repeat(np.arange(len(counts), dtype=np.int32), many)
+        inside = np.arange(len(self.doc), dtype=np.int64) - np.repeat(np.cumsum(many) - many, many)
+        self.pos, self.at = inside, inside + np.repeat(np.cumsum(counts) - counts, many)
+        if not len(self.at):
+            return np.empty(0, np.uint64), np.empty(0, np.uint64)
         both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, known)), ">u8").reshape(-1, 2).astype(np.uint64)
-        return tuple(window_hashes(both[number, i], self.window)[self.at] if len(self.at) else np.empty(0, np.uint64) for i in (0, 1))
+        del known, numbers
+        return tuple(window_hashes(both[number, i], self.window)[self.at] for i in (0, 1))
 
     def order(self) -> np.ndarray:
-        """Of each document its doc_id; null comes after all others."""
+        """The doc_id of each document; null comes after all others."""
         return np.array([_LAST if d is None else d for d in self.doc_ids], np.int64)
 
 
@@ -132,34 +137,43 @@ def _read_cells(data: bytes, plan: Plan) -> np.ndarray:
     return np.repeat(np.arange(stretches, dtype=np.int64) << 16, counts) + np.frombuffer(data, "<u2", offset=4 * stretches)
 
 
-_PACKED = "chunk long, sketch_row int, block int, data binary"
+_PACKED = "chunk long, data binary"
+_SKETCH = "chunk long, sketch_row int, block int, data binary"
 
 
-def _pack_and_sketch(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
-    """Chunks as packed rows (sketch_row -1), each with its share of the sketch by row and block."""
-    base, number = TaskContext.get().partitionId() << 32, 0
+def _pack_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents packed into chunks; a chunk's number holds that of its task, and is fixed once it has been written."""
+    chunk = TaskContext.get().partitionId() << 32
+    ids, texts, words = [], [], 0
 
-    def close(ids: list, texts: list) -> Iterator[pa.RecordBatch]:
-        chunk = base + number
-        out = [(chunk, -1, -1, _pack(ids, texts))]
-        first, _ = Chunk(ids, texts, plan.window).hashes()
-        for row in range(plan.depth):
-            cells = np.unique(_cells(first, row, plan))
-            out += [(chunk, row, block, _write_cells(cells[part], plan)) for block, part in _blocks(cells, plan)]
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["chunk", "sketch_row", "block", "data"])
+    def close() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int64()), "data": pa.array([_pack(ids, texts)], pa.binary())})
 
-    ids, texts, words = [], [], 0
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
             ids.append(doc_id.as_py())
             texts.append(text.as_py())
             words += len(texts[-1] or "") // 6 + 1
             if words >= CHUNK_WORDS:
-                yield from close(ids, texts)
-                ids, texts, words, number = [], [], 0, number + 1
+                yield close()
+                ids, texts, words, chunk = [], [], 0, chunk + 1
     if ids:
-        yield from close(ids, texts)
+        yield close()
+
+
+def _sketch(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
+    """A chunk's share of the sketch, by row and block."""
+    for batch in batches:
+        for chunk, data in zip(batch.column("chunk"), batch.column("data")):
+            first = _unpack(data.as_py(), plan.window).hashes()[0]
+            for row in range(plan.depth):
+                cells = np.unique(_cells(first, row, plan))
+                out = [(block, _write_cells(cells[part], plan)) for block, part in _blocks(cells, plan)]
+                n, columns = len(out), zip(*out) if out else ((), ())
+                block, share = columns
+                yield pa.RecordBatch.from_pydict(
+                    {"chunk": pa.array([chunk.as_py()] * n, pa.int64()), "sketch_row": pa.array([row] * n, pa.int32()), "block": pa.array(block, pa.int32()), "data": pa.array(share, pa.binary())}
+                )
 
 
 def _merge_cells(rows: pd.DataFrame, plan: Plan) -> pd.DataFrame:
@@ -251,19 +265,18 @@ def _remove(packed: pd.DataFrame, removed: pd.DataFrame, plan: Plan, digest: boo
     frames = []
     for data in packed["data"]:
         chunk = _unpack(data, plan.window)
-        total = int(chunk.ends[-1]) if len(chunk.ends) else 0
-        cover = np.zeros(total + 1, np.int32)
+        documents = [len(words) for words in chunk.words()]
+        cover = np.zeros(sum(documents) + 1, np.int32)
         for starts in removed["data"]:
             starts = np.frombuffer(starts, "<u4")
             np.add.at(cover, starts, 1)
             np.add.at(cover, starts + plan.window, -1)
-        gone, begin, rows = np.cumsum(cover)[:total] > 0, 0, []
-        for doc_id, words, end in zip(chunk.doc_ids, chunk.words, chunk.ends.tolist()):
-            mask = gone[begin:end]
-            n = int(mask.sum())
+        gone, begin, rows = np.cumsum(cover) > 0, 0, []
+        for doc_id, words in zip(chunk.doc_ids, chunk.words()):
+            mask = gone[begin : begin + len(words)]
+            n, begin = int(mask.sum()), begin + len(words)
             kept = b" ".join(words if not n else [w for w, g in zip(words, mask.tolist()) if not g])
             rows.append((doc_id, len(words), n, hashlib.sha256(kept).hexdigest() if digest else kept.decode("utf-8", "surrogatepass")))
-            begin = end
         frames.append(pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept"]).astype({"doc_id": "Int64"}))
     return pd.concat(frames) if frames else pd.DataFrame({"doc_id": pd.array([], "Int64"), "n_words": [], "n_removed": [], "kept": []})
 
@@ -283,12 +296,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, de
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    plan = Plan(window, depth, max(20, int(size).bit_length()), BLOCK_BITS)
-    plan = plan._replace(block_bits=min(plan.block_bits, max(16, plan.cell_bits - 4)))
+    cell_bits = max(20, int(size).bit_length())
+    plan = Plan(window, depth, cell_bits, min(BLOCK_BITS, max(16, cell_bits - 4)))
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    held = staged(picked.mapInArrow(lambda batches: _pack_and_sketch(batches, plan), _PACKED), compression="uncompressed")
-    packed = held.filter("sketch_row = -1").select("chunk", "data")
-    cells = held.filter("sketch_row >= 0")
+    packed = staged(picked.mapInArrow(_pack_chunks, _PACKED), compression="uncompressed")
+    cells = packed.mapInArrow(lambda batches: _sketch(batches, plan), _SKETCH)
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         return _merge_cells(rows, plan)
@@ -299,7 +311,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, de
     def cut(parts: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
         return _remove(parts, gone, plan, digest)
 
-    answers = cells.groupBy("sketch_row", "block").applyInPandas(merge, _PACKED)
+    answers = cells.groupBy("sketch_row", "block").applyInPandas(merge, _SKETCH)
     asked = packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(ask, _ASKED)
     salted = asked.withColumn("salt", F.when(F.col("block") < 0, F.col("chunk")).otherwise(0))
     removed = salted.groupBy("block", "salt").applyInPandas(_group, "chunk long, data binary")
