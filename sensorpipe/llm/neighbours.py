@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,14 +97,52 @@ def _refine(lists: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
     known = classes.join(last.withColumnRenamed("u", "cid"), "cid", "left").select("cid", "vector", F.coalesce("last", F.lit(-2.0)).alias("last"))
     met = attach(seats.select("centre", "cid", seat.alias("seat")), known, ["cid"], F.col("centre"))
 
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        x, cid, edge = unit(part["vector"]), part["cid"].to_numpy(), part["last"].to_numpy()
-        i, j = np.triu_indices(len(cid), 1)
-        cosine = np.einsum("ij,ij->i", x[i], x[j])
-        better = cosine > np.minimum(edge[i], edge[j])
-        return pd.DataFrame({"u": cid[i][better], "v": cid[j][better], "cosine": cosine[better]})
-
-    return met.groupBy("centre", "seat").applyInPandas(compare, "u long, v long, cosine double")
+    # Meetings are small and very many: sorted rows are compared a batch at a time, not a group at a time.
+    order = ["centre", "seat"]
+    seated = met.select(*order, "cid", "last", "vector").repartition(*order).sortWithinPartitions(*order)
+    return seated.mapInArrow(_compare_meetings, "u long, v long, cosine double")
+
+
+def _compare_meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs within each run of equal centre and seat that are nearer than the last entry of one of the two."""
+
+    def compare(table: pa.Table) -> pa.RecordBatch:
+        starts = _starts(table)
+        vectors = table["vector"].combine_chunks()
+        flat, ends = vectors.flatten().to_numpy(zero_copy_only=False), np.asarray(vectors.offsets)
+        cid, last = table["cid"].to_numpy(), table["last"].to_numpy()
+        found = ([], [], [])
+        for a, b in zip(starts, [*starts[1:], len(cid)]):
+            if b - a < 2:
+                continue
+            x = flat[ends[a] - ends[0] : ends[b] - ends[0]].reshape(b - a, -1)
+            x = x / np.linalg.norm(x, axis=1, keepdims=True)
+            i, j = np.triu_indices(b - a, 1)
+            cosine = (x @ x.T)[i, j]
+            better = cosine > np.minimum(last[a:b][i], last[a:b][j])
+            for out, column in zip(found, (cid[a:b][i[better]], cid[a:b][j[better]], cosine[better])):
+                out.append(column)
+        kinds = (np.int64, np.int64, np.float64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, k), *f])) for f, k in zip(found, kinds)], names=["u", "v", "cosine"])
+
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        if not table.num_rows:
+            continue
+        last = _starts(table)[-1]
+        if last:
+            yield compare(table.slice(0, last).combine_chunks())
+        rest = table.slice(last).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield compare(rest)
+
+
+def _starts(table: pa.Table) -> np.ndarray:
+    """Where a new centre or seat begins."""
+    centre, seat = table["centre"].to_numpy(), table["seat"].to_numpy()
+    return np.flatnonzero(np.r_[True, (centre[1:] != centre[:-1]) | (seat[1:] != seat[:-1])])
 
 
 def _audit(classes: DataFrame, links: DataFrame, threshold: float) -> float:
