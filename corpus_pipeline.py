@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorpipe.llm import bpe, exact, mixing, simhash, toxicity
 from sensorpipe.llm.queries import VOCABULARY
@@ -13,7 +14,8 @@ from sensorpipe.session import staged
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below one half."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.scored_rows(docs, model).filter("score < 0.5").select("row.*")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "text")
+    return without(docs, toxicity.score(numbered, model).filter("score >= 0.5"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -186,24 +186,20 @@ def _raw() -> Column:
     return vector_to_array("probability")[1]
 
 
-def scored_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """(row, score): each row of ``docs`` whole, so no column can clash, with its score from 0 to 1.
+def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` without its text, with ``score`` from 0 to 1.
 
-    Null and empty texts are scored like a text without words; repeated rows get one score.
+    Other columns stay, whatever their names, but one named ``score`` is replaced. Null and empty texts are scored like a
+    text without words; repeated rows get one score.
     """
     ship(docs.sparkSession)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    others = [c for c in docs.columns if c not in (text, "score")]
+    rows = docs.select(F.struct(*others).alias("row"), F.col(text).alias("text"))
     if model.trees is None:
-        return rows.select("row", F.lit(0.0).alias("score"))
+        return rows.select("row.*", F.lit(0.0).alias("score"))
     found = model.trees.transform(with_features(rows, model.lexicon, ["row"], "text")).withColumn("raw", _raw())
     if model.calibration is None:
-        return found.select("row", F.col("raw").alias("score"))
+        return found.select("row.*", F.col("raw").alias("score"))
     # Steps of the calibration are kept apart by a hundredth of the uncalibrated score.
     blend = F.col("calibrated") * 0.99 + F.col("raw") * 0.01
-    return model.calibration.transform(found).select("row", F.greatest(F.lit(0.0), F.least(F.lit(1.0), blend)).alias("score"))
-
-
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``score``; a column of that name is replaced."""
-    kept = [F.col(f"row.{c}") for c in docs.columns if c != "score"]
-    return scored_rows(docs, model, text).select(*kept, "score")
+    return model.calibration.transform(found).select("row.*", F.greatest(F.lit(0.0), F.least(F.lit(1.0), blend)).alias("score"))
