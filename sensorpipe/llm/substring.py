@@ -86,7 +86,7 @@ class Chunk:
         many = np.maximum(counts - self.window + 1, 0)
         self.doc = np.repeat(np.arange(len(counts), dtype=np.int32), many)
         inside = np.arange(len(self.doc), dtype=np.int64) - np.repeat(np.cumsum(many) - many, many)
-        self.pos, self.at = inside, inside + np.repeat(np.cumsum(counts) - counts, many)
+        self.at = inside + np.repeat(np.cumsum(counts) - counts, many)
         if not len(self.at):
             return np.empty(0, np.uint64), np.empty(0, np.uint64)
         both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, known)), ">u8").reshape(-1, 2).astype(np.uint64)
@@ -101,7 +101,7 @@ class Chunk:
 def _pack(doc_ids: list, texts: list) -> bytes:
     table = pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "text": pa.array(texts, pa.large_string())})
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 5))) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -201,20 +201,25 @@ def _estimated(hashes: np.ndarray, answers: pd.DataFrame, plan: Plan) -> np.ndar
     return repeated
 
 
-_FIELDS = (("first", "<u8"), ("second", "<u8"), ("doc_id", "<i8"), ("pos", "<i8"), ("at", "<i8"))
+#: What a chunk tells of a window: its hash in 96 bits, its document, and its place in the chunk.
+_FIELDS = (("first", "<u8"), ("second", "<u4"), ("doc_id", "<i8"), ("at", "<u4"))
+_SIZES = [np.dtype(kind).itemsize for _, kind in _FIELDS]
 
 
 def _planes(arrays: list[np.ndarray]) -> bytes:
     """Arrays byte plane by byte plane, compressed: the upper bytes of small numbers take no room."""
-    raw = b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() for a in arrays)
+    raw = b"".join(np.ascontiguousarray(a.astype(kind).view(np.uint8).reshape(len(a), -1).T).tobytes() for a, (_, kind) in zip(arrays, _FIELDS))
     return pa.compress(raw, "zstd", asbytes=True) if raw else b""
 
 
 def _from_planes(data: bytes, n: int) -> list[np.ndarray]:
     if not n:
         return [np.empty(0, kind) for _, kind in _FIELDS]
-    raw = np.frombuffer(pa.decompress(data, n * 8 * len(_FIELDS), "zstd", asbytes=True), np.uint8).reshape(len(_FIELDS), 8, n)
-    return [np.ascontiguousarray(raw[i].T).reshape(-1).view(kind) for i, (_, kind) in enumerate(_FIELDS)]
+    raw, out, at = np.frombuffer(pa.decompress(data, n * sum(_SIZES), "zstd", asbytes=True), np.uint8), [], 0
+    for size, (_, kind) in zip(_SIZES, _FIELDS):
+        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).reshape(-1).view(kind))
+        at += n * size
+    return out
 
 
 _ASKED = "chunk long, block int, n long, data binary"
@@ -227,19 +232,18 @@ def _ask(packed: pd.DataFrame, answers: pd.DataFrame, plan: Plan) -> pd.DataFram
         chunk = _unpack(data, plan.window)
         first, second = chunk.hashes()
         of = np.flatnonzero(_estimated(first, answers, plan))
-        doc_id, pos = chunk.order()[chunk.doc[of]], chunk.pos[of]
-        first, second, at = first[of], second[of], chunk.at[of]
-        sort = np.lexsort((at, pos, doc_id, second, first))
-        first, second, doc_id, pos, at = (x[sort] for x in (first, second, doc_id, pos, at))
+        doc_id, first, second, at = chunk.order()[chunk.doc[of]], first[of], second[of].astype(np.uint32), chunk.at[of]
+        sort = np.lexsort((at, doc_id, second, first))
+        first, second, doc_id, at = (x[sort] for x in (first, second, doc_id, at))
         new = np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])] if len(of) else np.empty(0, bool)
         rest = at[~new]
         out.append((chunk_id, -1, len(rest), np.sort(rest).astype("<u4").tobytes()))
-        first, second, doc_id, pos, at = (x[new] for x in (first, second, doc_id, pos, at))
+        first, second, doc_id, at = (x[new] for x in (first, second, doc_id, at))
         shift = _U(64 - plan.cell_bits + plan.block_bits) if plan.cell_bits > plan.block_bits else None
         block = (first >> shift).astype(np.int64) if shift is not None else np.zeros(len(first), np.int64)
         starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else []
         for a, b in zip(starts, [*starts[1:], len(block)]):
-            out.append((chunk_id, int(block[a]), int(b - a), _planes([x[a:b] for x in (first, second, doc_id, pos, at)])))
+            out.append((chunk_id, int(block[a]), int(b - a), _planes([x[a:b] for x in (first, second, doc_id, at)])))
     return pd.DataFrame(out, columns=["chunk", "block", "n", "data"])
 
 
@@ -248,9 +252,9 @@ def _group(rows: pd.DataFrame) -> pd.DataFrame:
     if rows["block"].iloc[0] < 0:
         return rows[["chunk", "data"]]
     parts = [_from_planes(d, n) for d, n in zip(rows["data"], rows["n"])]
-    first, second, doc_id, pos, at = (np.concatenate(x) for x in zip(*parts))
+    first, second, doc_id, at = (np.concatenate(x) for x in zip(*parts))
     chunk = np.repeat(rows["chunk"].to_numpy(), rows["n"].to_numpy())
-    sort = np.lexsort((at, chunk, pos, doc_id, second, first))
+    sort = np.lexsort((at, chunk, doc_id, second, first))
     later = np.r_[False, (first[sort][1:] == first[sort][:-1]) & (second[sort][1:] == second[sort][:-1])]
     gone, where = chunk[sort][later], at[sort][later].astype("<u4")
     by = np.argsort(gone, kind="stable")
@@ -286,10 +290,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, de
 
     A window is ``window`` consecutive words of one row. Earlier means a smaller doc_id, then an earlier start, in the
     input as it is; a null doc_id comes after all others, and of rows with one doc_id each counts as a document of its
-    own. ``kept`` is the remaining words joined by one space, or their SHA-256. Null and empty texts have no words.
+    own, in the order of the input. ``kept`` is the remaining words joined by one space, or their SHA-256. Null and empty texts have no words.
     Other columns are not read.
 
-    Windows are one when two 64-bit hashes of their words agree. The sketch never underestimates a count, so no repeated
+    Windows are one when two hashes of their words, of 96 bits together, agree. The sketch never underestimates a count, so no repeated
     window is lost; what it overestimates, the exact grouping sorts out. A chunk asks for each window once, however
     often it holds it, so a passage that very many documents share does not gather in one task.
     """
