@@ -29,7 +29,7 @@ END = "</w>"
 _NO_SPACE = re.compile("[\x1c-\x1f]")
 SLICE = 1 << 16
 #: Words kept with their tokens by each worker; when full, they are forgotten.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 LONG = 256
 
 

@@ -11,10 +11,18 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _NAME = "sensorpipe-code.zip"
+#: Rows in an Arrow batch: texts are long, and Spark's own 10,000 of them fill a worker's memory.
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Workers import the package from a zip file that Spark hands to every executor."""
+    """Workers import the package from a zip file that Spark hands to every executor.
+
+    Batches of texts are kept small, unless the session names a size of its own.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     context = spark.sparkContext
     if any(name == _NAME for name in context._python_includes):
         return
