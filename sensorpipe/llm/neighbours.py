@@ -18,7 +18,7 @@ from sensorpipe.llm.spread import attach
 from sensorpipe.session import drop_staged, staged
 
 THRESHOLD = 0.98
-#: Neighbours that a vector lists; when all are links, its whole neighbourhood is compared instead.
+#: Neighbours that a vector lists; a vector whose entries are all links is saturated, and compared with all saturated ones.
 LISTED = 10
 #: The first graph: tables of random hyperplanes, and how many rows ahead a row is compared in each table's order.
 TABLES, PLANES, AHEAD = 6, 20, 4
@@ -27,8 +27,10 @@ MEET = 48
 ROUNDS, MORE_ROUNDS = 2, 4
 #: Vectors whose links are counted against all rows to audit the recall, and the recall to reach.
 AUDITED, RECALL = 512, 0.97
-#: Vectors in a block when a whole neighbourhood is compared.
+#: Vectors in a block, of either side, when saturated vectors are compared.
 BLOCK = 1024
+#: Cells of saturated vectors (their leaders are broadcast), angles computed at a time, and what rounding may do to an angle.
+MOST_CELLS, ANGLES, SLACK = 16_384, 1 << 21, 1e-6
 #: Stands for a vec_id that is null.
 NO_ID = 1 << 62
 
@@ -178,31 +180,110 @@ def _audit(classes: DataFrame, links: DataFrame, threshold: float) -> float:
     return hit / there if there else 1.0
 
 
-def _dense_counts(members: DataFrame, threshold: float) -> DataFrame:
-    """(cid, n_links) within components whose lists are full: every block of a component against every other.
-
-    ``members`` has root, cid, vector, n and size. Links are counted where blocks meet; pairs are not written.
+def _leaders(links: DataFrame, full: DataFrame) -> DataFrame:
+    """(cid) of saturated vectors whose hash is the smallest among the saturated vectors they are linked with."""
+    of = full.select("cid", F.xxhash64(F.lit("leader"), "cid").alias("hash"))
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    least = both.join(of.withColumnRenamed("cid", "v"), "v").groupBy(F.col("u").alias("cid")).agg(F.min("hash").alias("least"))
+    return of.join(least, "cid", "left").filter(F.col("least").isNull() | (F.col("hash") <= F.col("least"))).orderBy("hash", "cid").limit(MOST_CELLS).select("cid")
+
+
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (row, column) of true entries that connect all rows and columns which the true entries connect."""
+    row_open, column_open = near.any(axis=1), near.any(axis=0)
+    i, j = [], []
+    while row_open.any():
+        rows = np.array([np.argmax(row_open)])
+        row_open[rows] = False
+        while len(rows):
+            columns = np.flatnonzero(column_open & near[rows].any(axis=0))
+            column_open[columns] = False
+            i.append(rows[np.argmax(near[np.ix_(rows, columns)], axis=0)])
+            j.append(columns)
+            others = np.flatnonzero(row_open & near[:, columns].any(axis=1))
+            row_open[others] = False
+            i.append(others)
+            j.append(columns[np.argmax(near[np.ix_(others, columns)], axis=1)] if len(others) else others)
+            rows = others
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *i]), np.concatenate([none, *j])
+
+
+def _dense_links(members: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
+    """All links between ``members`` (cid, kind, vector, n): (cid, n_links, other), to be added up by cid.
+
+    Rows with ``other`` are links that connect whatever links connect; pairs are counted but not written. Each vector
+    belongs to the cell of its nearest leader, and the radius of a cell is its largest angle. A vector meets a cell
+    only if the angle to its leader is at most the radius and the angle of the threshold, and exceeds the angle to the
+    own leader by at most twice the latter: no link is outside of that. A cell that is wholly near is counted unseen.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    spark = members.sparkSession
+    pivots = leaders.join(members, "cid").select("cid", "kind", "vector").toPandas()
+    by_kind = {kind: (part.index.to_numpy(), unit(part["vector"])) for kind, part in pivots.groupby("kind")}
+    hubs, reach = pivots["cid"].to_numpy(np.int64), float(np.arccos(threshold))
+    held = spark.sparkContext.broadcast(by_kind)
+
+    def angles(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+        """Rows of one kind, few at a time, with the numbers of its cells and the angles to them."""
+        for batch in batches:
+            for kind, part in batch.groupby("kind"):
+                cells, x = held.value.get(kind, (np.array([-1]), None))
+                step = max(1, ANGLES // len(cells))
+                for at in range(0, len(part), step):
+                    few = part.iloc[at : at + step]
+                    yield few, cells, np.zeros((len(few), 1)) if x is None else np.arccos(np.clip(unit(few["vector"]) @ x.T, -1, 1))
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for few, cells, angle in angles(batches):
+            own = angle.argmin(axis=1)
+            yield few.assign(cell=cells[own], angle=angle[np.arange(len(few)), own])[["cid", "kind", "vector", "n", "cell", "angle"]]
+
+    homes = staged(members.select("cid", "kind", "vector", "n").mapInPandas(assign, "cid long, kind string, vector array<double>, n long, cell int, angle double"))
+    radius, weight = np.full(len(hubs), -np.inf), np.zeros(len(hubs), np.int64)
+    for r in homes.filter("cell >= 0").groupBy("cell").agg(F.max("angle").alias("radius"), F.sum("n").alias("n")).collect():
+        radius[r["cell"]], weight[r["cell"]] = r["radius"], r["n"]
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for few, cells, angle in angles(batches):
+            cid, n, own = few["cid"].to_numpy(), few["n"].to_numpy(), few["cell"].to_numpy()
+            if cells[0] < 0:
+                yield pd.DataFrame({"cid": cid, "kind": few["kind"].to_numpy(), "cell": -1, "n_links": 0, "other": -1})
+                continue
+            r = radius[cells][None, :]
+            meets = (angle <= r + reach + SLACK) & (angle <= few["angle"].to_numpy()[:, None] + 2 * reach + SLACK)
+            wholly = meets & (angle + r <= reach - SLACK)
+            i, j = np.nonzero(wholly)
+            mine = cells[j] == own[i]
+            yield pd.DataFrame({"cid": cid[i], "kind": None, "cell": None, "n_links": weight[cells[j]] - np.where(mine, n[i], 0), "other": hubs[cells[j]]})
+            tight = radius[own] <= reach - SLACK
+            yield pd.DataFrame({"cid": cid[tight], "kind": None, "cell": None, "n_links": 0, "other": hubs[own[tight]]})
+            i, j = np.nonzero(meets & ~wholly)
+            yield pd.DataFrame({"cid": cid[i], "kind": few["kind"].to_numpy()[i], "cell": cells[j], "n_links": 0, "other": -1})
+
+    routes = staged(homes.mapInPandas(route, "cid long, kind string, cell int, n_links long, other long"))
+    visits = routes.filter(F.col("cell").isNotNull()).select("cid", "kind", "cell")
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+    sizes = homes.groupBy("kind", "cell").agg(blocks(F.count(F.lit(1))).alias("homes"))
+    sizes = staged(sizes.join(visits.groupBy("kind", "cell").agg(blocks(F.count(F.lit(1))).alias("guests")), ["kind", "cell"]))
+    guests = attach(visits, homes.select("cid", "vector", "n"), ["cid"], F.col("cell"))
+    sides = []
+    for side, rows, own, others in ((0, guests, "guests", "homes"), (1, homes.select("cid", "kind", "cell", "vector", "n"), "homes", "guests")):
+        dealt = attach(rows, sizes, ["kind", "cell"], F.col("cid")).withColumn(own + "_at", F.pmod(F.xxhash64("cid"), F.col(own)).cast("int"))
+        dealt = dealt.withColumn(others + "_at", F.explode(F.sequence(F.lit(0), F.col(others) - 1)))
+        sides.append(dealt.select("kind", "cell", "homes_at", "guests_at", F.lit(side).alias("side"), "cid", "vector", "n"))
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        low, high = int(part["low"].iloc[0]), int(part["high"].iloc[0])
-        a = part[part["block"] == low]
-        x, of_a, n_a = unit(a["vector"]), a["cid"].to_numpy(), a["n"].to_numpy()
-        if low == high:
-            near = (x @ x.T >= threshold) & (of_a[:, None] != of_a[None, :])
-            return pd.DataFrame({"cid": of_a, "n_links": near @ n_a})
-        b = part[part["block"] == high]
+        a, b = part[part["side"] == 0], part[part["side"] == 1]
         if not len(a) or not len(b):
-            return pd.DataFrame({"cid": [], "n_links": []})
-        near = x @ unit(b["vector"]).T >= threshold
-        return pd.DataFrame({"cid": np.concatenate([of_a, b["cid"].to_numpy()]), "n_links": np.concatenate([near @ b["n"].to_numpy(), near.T @ n_a])})
+            return pd.DataFrame({"cid": [], "n_links": [], "other": []})
+        of_a, of_b = a["cid"].to_numpy(), b["cid"].to_numpy()
+        near = (unit(a["vector"]) @ unit(b["vector"]).T >= threshold) & (of_a[:, None] != of_b[None, :])
+        i, j = _forest(near)
+        counts = pd.DataFrame({"cid": of_a, "n_links": near @ b["n"].to_numpy(), "other": of_a})
+        return pd.concat([counts, pd.DataFrame({"cid": of_a[i], "n_links": 0, "other": of_b[j]})])
 
-    counted = dealt.select("root", "low", "high", "block", "cid", "vector", "n").groupBy("root", "low", "high").applyInPandas(compare, "cid long, n_links long")
-    return counted.groupBy("cid").agg(F.sum("n_links").alias("n_links"))
+    met = sides[0].unionByName(sides[1]).groupBy("kind", "cell", "homes_at", "guests_at").applyInPandas(compare, "cid long, n_links long, other long")
+    return met.unionByName(routes.filter(F.col("cell").isNull()).select("cid", "n_links", "other"))
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, seed: int = 5) -> DataFrame:
@@ -214,8 +295,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, seed: int = 5
     vec_id is a vector of its own, and never the name of a component that has another. Other columns are not read.
 
     The neighbour graph starts from random hyperplanes and is refined in rounds, until an audit against all rows finds
-    RECALL of the links. Lists have LISTED entries. Where all entries of a list are links it is saturated, and is
-    enlarged to the whole of its component, which is then compared in blocks; nothing is cut off.
+    RECALL of the links. Lists have LISTED entries. Where all entries of a list are links it is saturated; links
+    between saturated vectors are all found by comparing cells of them, whatever the lists say; nothing is cut off.
     """
     ship(vectors.sparkSession)
     rows = vectors.select("vec_id", "embedding", "label", F.coalesce(F.col("vec_id").cast("long"), F.monotonically_increasing_id() + F.lit(NO_ID)).alias("id"))
@@ -237,20 +318,24 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, seed: int = 5
         lists = refined
     links = lists.filter(F.col("cosine") >= threshold).select("u", "v")
 
-    roots = staged(components(links.select(F.col("u").alias("a"), F.col("v").alias("b"))))
-    rooted = staged(classes.select("cid", "n", "class").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid")))
-    full = links.groupBy("u").count().filter(F.col("count") >= LISTED).select(F.col("u").alias("cid"))
-    dense = rooted.join(full, "cid", "left_semi").select("root").distinct()
-    size = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("size")).join(dense, "root", "left_semi")
-    inside = staged(attach(rooted, size, ["root"], F.col("cid")))
-    counted = _dense_counts(inside.join(classes.select("cid", "vector"), "cid"), threshold)
+    full = staged(links.groupBy("u").count().filter(F.col("count") >= LISTED).select(F.col("u").alias("cid")))
+    dense = staged(_dense_links(classes.join(full, "cid", "left_semi"), _leaders(links, full), threshold))
+    counted = dense.groupBy("cid").agg(F.sum("n_links").alias("n_links"))
 
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    listed = both.join(classes.select(F.col("cid").alias("v"), "n"), "v").groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("listed"))
+    # A list that is not full has all links of its vector, so links that have one such end are counted from the lists.
+    known_full = staged(classes.join(full.withColumn("yes", F.lit(True)), "cid", "left").select("cid", "n", F.coalesce("yes", F.lit(False)).alias("full")))
+    both = staged(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    ends = attach(both, known_full.select(F.col("cid").alias("v"), "n", F.col("full").alias("full_v")), ["v"], F.col("u"))
+    ends = attach(ends, known_full.select(F.col("cid").alias("u"), F.col("full").alias("full_u")), ["u"], F.col("v"))
+    listed = ends.filter("not (full_u and full_v)").groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("listed"))
+
+    edges = links.unionByName(dense.select(F.col("cid").alias("u"), F.col("other").alias("v")))
+    roots = staged(components(edges.select(F.col("u").alias("a"), F.col("v").alias("b"))))
+    rooted = classes.select("cid", "n", "class").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     per_class = (
         rooted.join(listed, "cid", "left")
         .join(counted, "cid", "left")
-        .select("class", F.col("root").alias("component"), (F.col("n") - 1 + F.coalesce("n_links", "listed", F.lit(0))).alias("n_links"))
+        .select("class", F.col("root").alias("component"), (F.col("n") - 1 + F.coalesce("n_links", F.lit(0)) + F.coalesce("listed", F.lit(0))).alias("n_links"))
     )
     linked = attach(usable.select("id", "class"), staged(per_class), ["class"], F.col("id"))
     alone = known.filter(F.col("kind").isNull()).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
