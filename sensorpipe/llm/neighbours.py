@@ -21,12 +21,14 @@ THRESHOLD = 0.98
 #: Neighbours that a vector lists; a vector whose entries are all links is saturated, and compared with all saturated ones.
 LISTED = 10
 #: The first graph: tables of random hyperplanes, and how many rows ahead a row is compared in each table's order.
-TABLES, PLANES, AHEAD = 6, 20, 4
+#: With 60 planes the order goes on to part rows whatever their number; a code is a whole number of 64 bits.
+TABLES, PLANES, AHEAD = 6, 60, 4
 #: Neighbours that meet in one local join; the list of a hub is dealt into several, anew in each round.
 MEET = 48
-ROUNDS, MORE_ROUNDS = 2, 4
-#: Vectors whose links are counted against all rows to audit the recall, and the recall to reach.
-AUDITED, RECALL = 512, 0.97
+#: Rounds before the first audit; audits that may fall short before all vectors are compared; no audit while a round adds this share.
+ROUNDS, MORE_ROUNDS, GAIN = 2, 4, 0.01
+#: Vectors first asked in an audit, the most at a time, the true links it has to see, and the share of them to reach.
+AUDITED, MOST_ASKED, AUDIT_LINKS, RECALL = 512, 4096, 300, 0.97
 #: Vectors in a block, of either side, when saturated vectors are compared.
 BLOCK = 1024
 #: Cells of saturated vectors (their leaders are broadcast), angles computed at a time, and what rounding may do to an angle.
@@ -147,37 +149,68 @@ def _starts(table: pa.Table) -> np.ndarray:
     return np.flatnonzero(np.r_[True, (centre[1:] != centre[:-1]) | (seat[1:] != seat[:-1])])
 
 
-def _audit(classes: DataFrame, links: DataFrame, threshold: float) -> float:
-    """The share of the links of AUDITED vectors, counted against all rows in blocks, that the lists have.
+class _Audit:
+    """The share of true links that the lists have, from vectors whose links are counted against all rows.
 
-    A list cannot hold more than LISTED links, so of those as many are asked for.
+    Vectors are asked in the order of a hash, until AUDIT_LINKS links have been seen or all vectors have been asked: where
+    links are rare this compares many. Saturated vectors are left out, as their links are not taken from their own lists.
     """
-    spark = classes.sparkSession
-    asked = classes.orderBy(F.xxhash64(F.lit("audit"), "cid"), "cid").limit(AUDITED).collect()
-    by_kind: dict[str, tuple[list[int], np.ndarray]] = {}
-    for kind in {r["kind"] for r in asked}:
-        rows = [r for r in asked if r["kind"] == kind]
-        by_kind[kind] = ([r["cid"] for r in rows], unit(pd.Series([r["vector"] for r in rows])))
-    held = spark.sparkContext.broadcast(by_kind)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[int, int] = {}
-        for batch in batches:
-            for kind, part in batch.groupby("kind"):
-                cids, x = held.value.get(kind, ([], None))
-                if len(cids):
-                    near = x @ unit(part["vector"]).T >= threshold
-                    near &= np.array(cids)[:, None] != part["cid"].to_numpy()[None, :]
-                    for cid, n in zip(cids, near.sum(axis=1).tolist()):
-                        total[cid] = total.get(cid, 0) + n
-        if total:
-            yield pd.DataFrame({"u": list(total), "n": list(total.values())})
-
-    true = classes.mapInPandas(count, "u long, n long").groupBy("u").agg(F.sum("n").alias("n"))
-    true = true.select("u", F.least("n", F.lit(LISTED)).alias("n")).filter("n > 0")
-    found = links.join(F.broadcast(true.select("u")), "u").groupBy("u").agg(F.count(F.lit(1)).alias("found"))
-    there, hit = true.join(found, "u", "left").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.least("n", F.coalesce("found", F.lit(0)))), F.lit(0))).first()
-    return hit / there if there else 1.0
+    def __init__(self, classes: DataFrame, threshold: float):
+        self.classes, self.threshold = classes.withColumn("hash", F.xxhash64(F.lit("audit"), "cid")), threshold
+        self.true: dict[int, int] = {}
+        self.last, self.size, self.all = None, AUDITED, False
+
+    def recall(self, links: DataFrame) -> float:
+        while True:
+            seen = self._seen(links)
+            there = sum(n for n, _ in seen)
+            if there >= AUDIT_LINKS or self.all:
+                return sum(min(n, found) for n, found in seen) / there if there else 1.0
+            self._ask()
+
+    def _seen(self, links: DataFrame) -> list[tuple[int, int]]:
+        """True and found links of each vector with links whose list is not full."""
+        if not self.true:
+            return []
+        spark = self.classes.sparkSession
+        asked = spark.createDataFrame([(cid,) for cid in self.true], "u long")
+        found = {r["u"]: r["found"] for r in links.join(F.broadcast(asked), "u").groupBy("u").agg(F.count(F.lit(1)).alias("found")).collect()}
+        return [(n, found.get(cid, 0)) for cid, n in self.true.items() if found.get(cid, 0) < LISTED]
+
+    def _ask(self) -> None:
+        rest = self.classes
+        if self.last is not None:
+            rest = rest.filter((F.col("hash") > self.last[0]) | ((F.col("hash") == self.last[0]) & (F.col("cid") > self.last[1])))
+        asked = rest.orderBy("hash", "cid").limit(self.size).collect()
+        self.all = len(asked) < self.size
+        if not asked:
+            return
+        self.last, self.size = (asked[-1]["hash"], asked[-1]["cid"]), min(2 * self.size, MOST_ASKED)
+        by_kind: dict[str, tuple[list[int], np.ndarray]] = {}
+        for kind in {r["kind"] for r in asked}:
+            rows = [r for r in asked if r["kind"] == kind]
+            by_kind[kind] = ([r["cid"] for r in rows], unit(pd.Series([r["vector"] for r in rows])))
+        held, threshold = self.classes.sparkSession.sparkContext.broadcast(by_kind), self.threshold
+
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total: dict[int, int] = {}
+            for batch in batches:
+                for kind, part in batch.groupby("kind"):
+                    cids, x = held.value.get(kind, ([], None))
+                    for at in range(0, len(part) if len(cids) else 0, BLOCK):
+                        few = part.iloc[at : at + BLOCK]
+                        near = x @ unit(few["vector"]).T >= threshold
+                        near &= np.array(cids)[:, None] != few["cid"].to_numpy()[None, :]
+                        n = near.sum(axis=1)
+                        for i in np.flatnonzero(n):
+                            total[cids[i]] = total.get(cids[i], 0) + int(n[i])
+            if total:
+                yield pd.DataFrame({"u": list(total), "n": list(total.values())})
+
+        counted = self.classes.select("cid", "kind", "vector").mapInPandas(count, "u long, n long").groupBy("u").agg(F.sum("n").alias("n"))
+        self.true |= {r["u"]: r["n"] for r in counted.collect()}
+        held.destroy()
 
 
 def _leaders(links: DataFrame, full: DataFrame) -> DataFrame:
@@ -286,6 +319,30 @@ def _dense_links(members: DataFrame, leaders: DataFrame, threshold: float) -> Da
     return met.unionByName(routes.filter(F.col("cell").isNull()).select("cid", "n_links", "other"))
 
 
+def _search(searched: DataFrame, threshold: float, seed: int) -> tuple[DataFrame, bool]:
+    """The lists, and whether they fell short of RECALL, so that all vectors have to be compared."""
+    lists, audit = staged(_lists(_first_graph(searched, seed))), _Audit(searched, threshold)
+    turn, short, held = 0, 0, -1
+    while True:
+        found = _refine(lists, searched, turn)
+        if turn >= ROUNDS:
+            found = found.unionByName(_first_graph(searched, seed + turn))
+        refined = staged(_lists(lists.unionByName(found)))
+        drop_staged(lists)
+        lists, turn = refined, turn + 1
+        if turn < ROUNDS:
+            continue
+        links = lists.filter(F.col("cosine") >= threshold)
+        before, held = held, links.count()
+        if turn > ROUNDS and held - before > GAIN * held:
+            continue
+        if audit.recall(links) >= RECALL:
+            return lists, False
+        short += 1
+        if short > MORE_ROUNDS:
+            return lists, True
+
+
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, seed: int = 5) -> DataFrame:
     """(vec_id, n_links, component_id) for every row of (vec_id, embedding, label).
 
@@ -294,8 +351,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, seed: int = 5
     nothing. Equal vectors form one class, that is searched once and counted with all its rows; rows may repeat. A null
     vec_id is a vector of its own, and never the name of a component that has another. Other columns are not read.
 
-    The neighbour graph starts from random hyperplanes and is refined in rounds, until an audit against all rows finds
-    RECALL of the links. Lists have LISTED entries. Where all entries of a list are links it is saturated; links
+    The neighbour graph starts from random hyperplanes and is refined in rounds, until a round adds few links and an
+    audit against all rows finds RECALL of them. After MORE_ROUNDS audits in vain all vectors are compared. Lists have LISTED entries. Where all entries of a list are links it is saturated; links
     between saturated vectors are all found by comparing cells of them, whatever the lists say; nothing is cut off.
     """
     ship(vectors.sparkSession)
@@ -305,20 +362,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, seed: int = 5
     classes = staged(usable.groupBy("class").agg(F.min("id").alias("cid"), F.count(F.lit(1)).alias("n"), F.first("kind").alias("kind"), F.first("vector").alias("vector")))
     searched = classes.select("cid", "kind", "vector")
 
-    lists = staged(_lists(_first_graph(searched, seed)))
-    for turn in range(ROUNDS + MORE_ROUNDS):
-        links = lists.filter(F.col("cosine") >= threshold)
-        if turn >= ROUNDS and _audit(searched, links, threshold) >= RECALL:
-            break
-        found = _refine(lists, searched, turn)
-        if turn >= ROUNDS:
-            found = found.unionByName(_first_graph(searched, seed + turn))
-        refined = staged(_lists(lists.unionByName(found)))
-        drop_staged(lists)
-        lists = refined
+    lists, whole = _search(searched, threshold, seed)
     links = lists.filter(F.col("cosine") >= threshold).select("u", "v")
 
-    full = staged(links.groupBy("u").count().filter(F.col("count") >= LISTED).select(F.col("u").alias("cid")))
+    full = links.groupBy("u").count().filter(F.col("count") >= LISTED).select(F.col("u").alias("cid"))
+    full = staged(classes.select("cid") if whole else full)
     dense = staged(_dense_links(classes.join(full, "cid", "left_semi"), _leaders(links, full), threshold))
     counted = dense.groupBy("cid").agg(F.sum("n_links").alias("n_links"))
 

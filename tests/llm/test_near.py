@@ -39,3 +39,16 @@ def test_clusters_whose_lists_are_full_are_linked(spark, monkeypatch, block, cel
     want = brute(x)
     assert len({root for i, _, root in want if i < 50}) == 1 and min(n for i, n, _ in want if i < 50) >= 40
     assert found(spark, x) == want
+
+
+def test_few_links_in_many_vectors_are_not_passed_unseen(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TABLES", 1)
+    monkeypatch.setattr(neighbours, "AHEAD", 1)
+    monkeypatch.setattr(neighbours, "AUDITED", 4)
+    monkeypatch.setattr(neighbours, "MORE_ROUNDS", 1)
+    rng = np.random.default_rng(13)
+    x = rng.standard_normal((1500, 48))
+    x[-40:] = x[:40] + 0.15 * rng.standard_normal((40, 48))
+    want = brute(x)
+    assert sum(n for _, n, _ in want) >= 70
+    assert found(spark, x) == want
