@@ -7,25 +7,28 @@ from pyspark.sql import functions as F
 
 from sensorpipe.llm import bpe, exact, mixing, simhash, toxicity
 from sensorpipe.llm.queries import VOCABULARY
-from sensorpipe.llm.spread import without
+from sensorpipe.llm.spread import numbered, without
 from sensorpipe.session import staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below one half."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "text")
-    return without(docs, toxicity.score(numbered, model).filter("score >= 0.5"))
+    kept, number = numbered(docs)
+    scored = toxicity.score(kept.select(F.col(number).alias("row"), "text"), model)
+    return without(kept, scored.filter("score >= 0.5"), number)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id."""
-    return without(docs, exact.exact_duplicates(docs).filter("not kept"))
+    kept, number = numbered(docs)
+    return without(kept, exact.exact_duplicates(kept, number=number).filter("not kept"), number)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the row with the smallest doc_id."""
-    return without(docs, simhash.near_duplicates(docs).filter("not kept"))
+    kept, number = numbered(docs)
+    return without(kept, simhash.near_duplicates(kept, number=number).filter("not kept"), number)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,9 +38,10 @@ def _digests(keep_text: bool):
     return run
 
 
-def with_digest(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, row, digest) of every row; ``row`` parts rows that are otherwise equal."""
-    picked = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
+def with_digest(docs: DataFrame, text: str = "text", number: str | None = None) -> DataFrame:
+    """(doc_id, row, digest) of every row; ``row`` is the column ``number``, or counted, and parts rows that are otherwise equal."""
+    row = F.col(number) if number else F.monotonically_increasing_id()
+    picked = docs.select("doc_id", row.alias("row"), F.col(text).alias("text"))
     return picked.mapInArrow(_digests(False), "doc_id long, row long, digest binary")
 
 
@@ -93,7 +94,7 @@ def _checked(docs: DataFrame, text: str, positive: DataFrame) -> None:
         raise ValueError(f"two texts share the digest {bytes(found['digest']).hex()}")
 
 
-def exact_duplicates(docs: DataFrame, text: str = "text", batches: int = 2) -> DataFrame:
+def exact_duplicates(docs: DataFrame, text: str = "text", batches: int = 2, number: str | None = None) -> DataFrame:
     """(doc_id, row, digest, keep_id, keep_row, group_size, kept) for every row.
 
     Rows come in ``batches`` (by a hash of the doc_id). Each batch is grouped by itself. Its digests are screened by the
@@ -105,7 +106,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", batches: int = 2) -> D
     a null doc_id counts as smallest. Of repeated rows with that doc_id exactly one stays. Other columns are not read.
     """
     ship(docs.sparkSession)
-    rows = staged(with_digest(docs, text).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")))
+    rows = staged(with_digest(docs, text, number).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")))
     snapshots: list[DataFrame] = []
     for number in range(batches):
         own = staged(_grouped(rows.filter(F.col("batch") == number)))

@@ -22,10 +22,11 @@ STEP = 4
 PAIR_WORK = 1 << 18
 
 
-def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, row, fingerprint) of every row; a text that is null or has no words has fingerprint 0."""
+def fingerprints(docs: DataFrame, text: str = "text", number: str | None = None) -> DataFrame:
+    """(doc_id, row, fingerprint) of every row; ``row`` is the column ``number``, or counted; a text that is null or has no words has fingerprint 0."""
     ship(docs.sparkSession)
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").alias("text"))
+    row = F.col(number) if number else F.monotonically_increasing_id()
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), F.col(text).cast("string").alias("text"))
     return picked.mapInArrow(fingerprint.add_fingerprints("text"), "doc_id long, row long, fingerprint long")
 
 
@@ -156,7 +157,7 @@ def similar_pairs(values: DataFrame, errors: int = 3) -> DataFrame:
     return reduce(DataFrame.unionByName, found).distinct() if found else spark.createDataFrame([], "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", errors: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", errors: int = 3, number: str | None = None) -> DataFrame:
     """(doc_id, row, fingerprint, component_id, kept) for every row of ``docs``.
 
     Rows are linked when their fingerprints differ in at most ``errors`` bits; ``component_id`` is the smallest doc_id
@@ -164,7 +165,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", errors: int = 3) -> Dat
     with that doc_id. ``row`` parts rows that are otherwise equal. Null and empty texts have no words and fingerprint
     zero, which links like any other. Repeated rows are one text with itself. Other columns are not read.
     """
-    marked = staged(fingerprints(docs, text))
+    marked = staged(fingerprints(docs, text, number))
     own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     first = staged(marked.groupBy("fingerprint").agg(F.min(own).alias("first")))
     links = staged(similar_pairs(first, errors))

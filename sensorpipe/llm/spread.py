@@ -36,17 +36,33 @@ def attach_small(df: DataFrame, per_key: DataFrame, keys: Sequence[str], by: Col
 BROADCAST_NUMBERS = 500_000
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but those whose number is in ``dropped`` (row); all columns stay.
+def free_name(docs: DataFrame) -> str:
+    """A name for a column of row numbers that no column of ``docs`` has."""
+    name, taken = "_row", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
-    A row's number is its ``monotonically_increasing_id``, so ``docs`` must be read from files, as must have been what
-    ``dropped`` was found in.
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written once with the number of each row as a column, and the name of that column.
+
+    A number that is computed anew may follow other file splits, as these depend on how many executors there are.
+    """
+    number = free_name(docs)
+    return staged(docs.withColumn(number, F.monotonically_increasing_id()), compression="zstd"), number
+
+
+def without(docs: DataFrame, dropped: DataFrame, number: str | None = None) -> DataFrame:
+    """The rows of ``docs`` but those whose number is in ``dropped`` (row); all columns but the number stay.
+
+    ``number`` is the column that ``numbered`` stored. Without it rows are counted anew, which is right only while the
+    same files are split in the same way as when ``dropped`` was found.
     """
-    number = "_row"
-    while number in docs.columns:
-        number += "_"
+    if number is None:
+        number = free_name(docs)
+        docs = docs.withColumn(number, F.monotonically_increasing_id())
     gone = staged(dropped.select(F.col("row").alias(number)))
-    numbered = docs.withColumn(number, F.monotonically_increasing_id())
     if gone.limit(BROADCAST_NUMBERS + 1).count() <= BROADCAST_NUMBERS:
         gone = F.broadcast(gone)
-    return numbered.join(gone, number, "left_anti").select(*docs.columns)
+    return docs.join(gone, number, "left_anti").select(*[c for c in docs.columns if c != number])
