@@ -6,7 +6,7 @@ import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,7 +24,11 @@ _FILLS = (None, "forward", "linear", "nearest", "true_linear")
 
 
 def series_bounds(df: DataFrame, keys: Sequence[str], ts: str, by_day: bool, day_anchor: str = "first") -> DataFrame:
-    """One row per series (and day): grid start ``lo`` and end ``hi`` over all metrics of the keys, and its unit."""
+    """One row per series (and day): grid start ``lo`` and end ``hi`` over all metrics of the keys, and its unit.
+
+    Rows are aggregated once. What is left has one row per series, day and unit, and one exchange of that by the keys
+    serves all windows.
+    """
     scope = [*keys, "_day"] if by_day else list(keys)
     rows = df.withColumn("_day", F.to_date(ts)) if by_day else df
     units = ["unit"] if "unit" in df.columns else []
@@ -32,23 +36,24 @@ def series_bounds(df: DataFrame, keys: Sequence[str], ts: str, by_day: bool, day
     per_unit = rows.groupBy(*scope, "metric", *units).agg(
         F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.count(F.lit(1)).alias("_n")
     )
-    unit = F.max("unit") if units else F.lit("")
-    spans = per_unit.groupBy(*scope, "metric").agg(
-        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("_n").alias("_n"), unit.alias("_unit")
-    )
-    # From here on the frame has one row per series and day, so these windows are small.
+    per_unit = per_unit.repartition(*keys) if keys else per_unit
     over_metrics = Window.partitionBy(*scope)
+    of_metric = Window.partitionBy(*scope, "metric")
     lo = F.min("_lo").over(over_metrics)
     if day_anchor == "midnight":
         lo = time_bucket(lo, "1d")
-    return spans.select(
+    unit = F.max("unit").over(Window.partitionBy(*keys, "metric")) if units else F.lit("")
+    number = F.row_number().over(of_metric.orderBy(*(units or ["_lo"])))
+    found = per_unit.select(
         *scope,
         "metric",
-        F.max("_unit").over(Window.partitionBy(*keys, "metric")).alias("unit"),
+        unit.alias("unit"),
         lo.alias("lo"),
         F.max("_hi").over(over_metrics).alias("hi"),
-        F.col("_n").alias("observations"),
+        F.sum("_n").over(of_metric).alias("observations"),
+        number.alias("_number"),
     )
+    return found.filter("_number = 1").drop("_number")
 
 
 def _intervals(
@@ -75,7 +80,8 @@ def _intervals(
     end = F.floor((micros(F.col("grid.hi")) - lo) / step)
     found = known.withColumns(
         {
-            "first": F.when(F.col(ts).isNull(), F.lit(0)).otherwise(cell(F.col(ts))).cast("bigint"),
+            # An observation from before the grid stands for cells from the first one on.
+            "first": F.when(F.col(ts).isNull(), F.lit(0)).otherwise(F.greatest(cell(F.col(ts)), F.lit(0))).cast("bigint"),
             "last": F.least(end, F.coalesce(cell(F.col("_next.ts")) - 1, end)).cast("bigint"),
         }
     )
@@ -185,14 +191,18 @@ def resample(
     observed = timed.withColumn("value", F.col("value").cast("double"))
     if by_day:
         observed = observed.withColumn("_day", F.to_date(ts))
-    bounds = series_bounds(timed, keys, ts, by_day, day_anchor)
     step = Duration.of(freq).micros
+    bounds = series_bounds(timed, keys, ts, by_day, day_anchor)
     length = (micros(F.col("hi")) - micros(F.col("lo"))) / (step or Duration.of("4w").micros)
     if step is not None:
-        seen, cells = bounds.agg(F.max("observations"), F.max(length)).first()
-        intervals = _intervals(observed, bounds, series, ts, step, tie, by_day, (seen or 0) > rows_per_task, rows_per_task)
-        out = _cells(_filled(intervals, series, step, interpolation), series, ts, step, block_cells, (cells or 0) > rows_per_task)
-        return _marked(out, ts)
+        # The bounds are computed once: what decides on the plan is read off while they are written.
+        sizes = Observation()
+        bounds = staged(bounds.observe(sizes, F.max("observations").alias("seen"), F.max(length).alias("cells")))
+        seen, cells = sizes.get.get("seen"), sizes.get.get("cells")
+        return aligned(
+            observed, bounds, step, series=series, ts=ts, tie=tie, interpolation=interpolation, by_day=by_day,
+            seen=seen, cells=cells, rows_per_task=rows_per_task, block_cells=block_cells,
+        )
     cells = grid(bounds, series, ts, freq, block_cells).select(*series, ts, "cell", "unit")
     counted = bounds.select(*series, (F.col("observations") + length).alias("_n"))
     out = match_backward(
@@ -215,6 +225,29 @@ def resample(
     return _marked(out, ts)
 
 
+def aligned(
+    observed: DataFrame,
+    bounds: DataFrame,
+    step: int,
+    *,
+    series: Sequence[str],
+    ts: str,
+    tie: Sequence[str] | None = None,
+    interpolation: str | None = None,
+    by_day: bool = False,
+    seen: int | None = None,
+    cells: float | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+    block_cells: int = BLOCK_CELLS,
+) -> DataFrame:
+    """Resampled rows of observations whose grids are known: ``bounds`` has ``lo``, ``hi`` and ``unit`` per series.
+
+    ``seen`` and ``cells`` are the most observations and cells of any one series.
+    """
+    intervals = _intervals(observed, bounds, series, ts, step, tie, by_day, (seen or 0) > rows_per_task, rows_per_task)
+    return _marked(_cells(_filled(intervals, series, step, interpolation), series, ts, step, block_cells, (cells or 0) > rows_per_task), ts)
+
+
 def _marked(out: DataFrame, ts: str) -> DataFrame:
     """The columns of a resampled frame, from each cell's ``match``."""
     obs_ts = F.col("match.obs_ts")
