@@ -153,12 +153,12 @@ SQL["parser_rejects"] = f"SELECT event_id, {FILE} AS source_file FROM events WHE
 # --- cleaning
 
 
-def cleaned_events(flag: str) -> str:
+def cleaned_events(flag: str, series: str = "device_id, CAST(ts AS DATE)") -> str:
     return f"""
 WITH a AS (
   SELECT *, CASE WHEN value < 5 OR value > 150 THEN NULL ELSE value END AS v1 FROM ({READINGS})),
 b AS (
-  SELECT *, lag(v1) OVER (PARTITION BY device_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS prev FROM a),
+  SELECT *, lag(v1) OVER (PARTITION BY {series} ORDER BY ts, event_id) AS prev FROM a),
 c AS (SELECT *, coalesce(abs(v1 - prev) > 60, FALSE) AS spike FROM b)
 SELECT event_id, ts, device_id, metric, CASE WHEN NOT spike THEN v1 END AS value, CAST({flag} AS BIGINT) AS quality_flag
 FROM c"""
@@ -167,6 +167,9 @@ FROM c"""
 SQL["clean_documented"] = cleaned_events(
     "CASE WHEN value IS NULL THEN 1 WHEN v1 IS NULL THEN 3 WHEN spike THEN 2 ELSE 0 END"
 )
+SQL["incremental_clean"] = cleaned_events(
+    "CASE WHEN value IS NULL THEN 1 WHEN v1 IS NULL THEN 3 WHEN spike THEN 2 ELSE 0 END", "device_id"
+)
 SQL["clean_as_coded"] = cleaned_events("CASE WHEN v1 IS NULL OR spike THEN 1 ELSE 0 END")
 
 SQL["clean_wide"] = f"""
@@ -351,6 +354,7 @@ SELECT device_id, domain, metric, unit, unnest(range(0, len(generate_series(lo,
        unnest(generate_series(lo, hi, INTERVAL 6 HOUR)) AS ts
 FROM b JOIN m USING (device_id, domain)"""
 SQL["resample_forward"] = f"{grid('3 hours', False)} h AS (SELECT * FROM g) SELECT {MARKS} FROM h"
+SQL["incremental_resample"] = SQL["resample_forward"]
 SQL["resample_by_day"] = by_day("10 minutes")
 SQL["resample_by_day_midnight"] = by_day("1 hour", True)
 SQL["resample_linear"] = f"""
@@ -522,6 +526,19 @@ WITH w AS (
 d AS (SELECT *, (epoch_us(ts) - epoch_us(prev_ts)) / 1000000.0::DOUBLE AS passed FROM w),
 e AS (SELECT *, CASE WHEN passed > 0 AND passed <= 21600 THEN (value - prev) / passed END AS rate FROM d)
 SELECT event_id, count, mean, min, max, round(rate, 9) AS rate, abs(rate) > 0.01 AS event FROM e"""
+SQL["event_segments"] = f"""
+WITH r AS (SELECT * FROM ({READINGS}) WHERE value IS NOT NULL),
+s AS (
+  SELECT *, coalesce(last_value(CASE WHEN value >= 80 THEN 1 WHEN value < 30 THEN 0 END IGNORE NULLS) OVER w, 0) AS state
+  FROM r WINDOW w AS (PARTITION BY device_id, metric ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+b AS (SELECT *, coalesce(lag(state) OVER w, 0) AS was FROM s WINDOW w AS (PARTITION BY device_id, metric ORDER BY ts, event_id)),
+n AS (
+  SELECT *, sum(CASE WHEN state = 1 AND was = 0 THEN 1 ELSE 0 END) OVER w AS event
+  FROM b WINDOW w AS (PARTITION BY device_id, metric ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT device_id, metric, min(ts) FILTER (state = 1) AS start, max(ts) FILTER (state = 1) AS "end", count(*) FILTER (state = 1) AS readings,
+       max(value) FILTER (state = 1) AS peak, round(avg(value) FILTER (state = 1), 6) AS mean, bool_or(state = 0) AS closed
+FROM n WHERE event > 0 AND (state = 1 OR was = 1) GROUP BY device_id, metric, event
+HAVING epoch_us(max(ts) FILTER (state = 1)) - epoch_us(min(ts) FILTER (state = 1)) >= 10800000000"""
 SQL["view_bio_env"] = f"""
 WITH r AS ({READINGS}),
 l AS (SELECT event_id AS click_id, device_id, ts, value FROM r WHERE metric = 'click'),

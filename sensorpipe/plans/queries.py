@@ -27,6 +27,7 @@ from sensorpipe.operators.aggregate import (
 from sensorpipe.operators.asof import asof_backward
 from sensorpipe.operators.clean import clean, rules_fill_drop
 from sensorpipe.operators.dedup import dedup, limit_rows
+from sensorpipe.operators.enrich import event_segments as segments
 from sensorpipe.operators.enrich import joined_view, overlay, rolling
 from sensorpipe.operators.fill import backward_fill, forward_fill, interpolate, previous
 from sensorpipe.operators.resample import grid, resample, resample_by_domain, series_bounds
@@ -36,7 +37,7 @@ from sensorpipe.session import configure, shared_dir
 from sensorpipe.sinks import export, report, tables
 from sensorpipe.sources import files
 from sensorpipe.sources import keyvalue as kv
-from sensorpipe.streaming import incremental, ingest
+from sensorpipe.streaming import incremental, ingest, ordered
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -763,6 +764,27 @@ def ingest_available_now(spark, sf):
     return spark.read.parquet(target).select("Time", "sensor", "value")
 
 
+def _in_drops(spark: SparkSession, rows: DataFrame, run: Callable[[DataFrame, str, str], None]) -> DataFrame:
+    """Files arrive in three drops, the last one with every seventh row, late; after each the step takes in what is new."""
+    landing, target, state = (shared_dir(spark, n) for n in ("landing", "merged", "merge-state"))
+    late, early = F.xxhash64("ts", "device_id") % 7 == 0, F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for drop in (rows.filter(~late & early), rows.filter(~late & ~early), rows.filter(late)):
+        drop.write.mode("append").parquet(landing)
+        run(spark.readStream.schema(rows.schema).parquet(landing), target, state)
+    return ordered.result(spark, target)
+
+
+@query
+def incremental_resample(spark, sf):
+    return _in_drops(spark, observed(spark, sf), lambda new, target, state: ordered.resample_new(new, "3h", target, state, interpolation="forward", buckets=2))
+
+
+@query
+def incremental_clean(spark, sf):
+    rules = lambda new, target, state: ordered.clean_new(new, EVENT_RULES, target, state, tie=["event_id"], buckets=2)
+    return _in_drops(spark, readings(spark, sf), rules)
+
+
 @query
 def stream_agg_60s(spark, sf):
     """One-minute means of a stream of files."""
@@ -798,6 +820,13 @@ def enriched_rolling(spark, sf):
     return rows.select("event_id", "count", F.round("mean", 6).alias("mean"), "min", "max", F.round("rate", 9).alias("rate"), "event")
 
 
+@query
+def event_segments(spark, sf):
+    """Spells of high readings: from a value of 80 until one below 30, of three hours at least."""
+    found = segments(readings(spark, sf), 80, 30, min_length="3h", tie=["event_id"])
+    return found.withColumn("mean", F.round("mean", 6))
+
+
 @query
 def view_bio_env(spark, sf):
     """Each click with the last environment readings of its device."""

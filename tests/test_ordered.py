@@ -38,7 +38,7 @@ def files(target):
     return {os.path.relpath(os.path.join(at, f), target): os.stat(os.path.join(at, f)).st_mtime_ns for at, _, names in os.walk(target) for f in names if f.endswith(".parquet")}
 
 
-DROPS = [([3, 4, 5], 60), ([5, 9, 10], 50), ([6], 4), ([1, 4, 12], 20), ([], 0), ([10], 1)]
+DROPS = [([3, 4, 5], 60), ([6, 10], 30), ([1, 4, 12], 20), ([], 0), ([10], 1)]
 
 
 @pytest.mark.parametrize("tie", [["seq"], None])
