@@ -1,7 +1,9 @@
 """Byte-pair encoding as a transducer with bounded lookahead, and decoding as a state machine.
 
 Tokens of a word leave as soon as no later text can change them. How far ahead that needs to look follows from the
-merge list alone (``Merges.lookahead``), so memory does not grow with the length of a word or a text.
+merge list alone (``Merges.lookahead``). Every word goes through the transducer; what it made of short words is
+remembered, up to a bound. Tokens leave in pieces, which are hashed and decoded one by one: besides the text itself (and a
+normalised copy of a run without white space) memory does not grow with the length of a word or a text.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,8 @@ SLICE = 1 << 16
 #: Words kept with their tokens by each worker; when full, they are forgotten.
 REMEMBERED = 120_000
 LONG = 256
+#: Tokens of a long word that leave together.
+PIECE = 1 << 14
 
 
 def byte_characters() -> list[str]:
@@ -64,7 +69,6 @@ class Merges:
                 raise ValueError(f"two merges make {a + b}")
             self.parts[made] = (left, right)
         self.lookahead = self._lookahead()
-        self.spoken = [n.encode("utf-8") for n in self.names]
         self.split_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
     def _lookahead(self) -> int:
@@ -149,54 +153,66 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: str) -> Iterator[bytes]:
+        """Tokens of a word, from the transducer."""
         got = self.words.get(word)
         if got is None:
+            made = self.merges.stream(self.merges.symbols(word))
             if len(word) > LONG:
-                return np.fromiter(self.merges.stream(self.merges.symbols(word)), "<u4").tobytes()
-            got = np.array(self.merges.merge(list(self.merges.symbols(word))), "<u4").tobytes()
+                while some := list(islice(made, PIECE)):
+                    yield np.array(some, "<u4").tobytes()
+                return
+            got = np.fromiter(made, "<u4").tobytes()
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             self.words[word] = got
-        return got
+        yield got
 
-    def _plain(self, run: str) -> bytes:
+    def _plain(self, run: str) -> Iterator[bytes]:
         if not run.isascii():
             run = unicodedata.normalize("NFC", run)
-        return b"".join(map(self._word, PATTERN.findall(run.replace("Σ", "σ").lower())))
+        for word in PATTERN.finditer(run.replace("Σ", "σ").lower()):
+            yield from self._word(word[0])
 
-    def _run(self, run: str) -> bytes:
+    def _run(self, run: str) -> Iterator[bytes]:
         """Tokens of a run of text without white space."""
-        merges, out, at = self.merges, [], 0
+        merges, at = self.merges, 0
         if "<" in run and merges.split_special:
             for special in merges.split_special.finditer(run):
-                out += [self._plain(run[at : special.start()]), np.array([merges.special[special[0]]], "<u4").tobytes()]
+                yield from self._plain(run[at : special.start()])
+                yield np.array([merges.special[special[0]]], "<u4").tobytes()
                 at = special.end()
-        return b"".join([*out, self._plain(run[at:])])
+        yield from self._plain(run[at:])
 
-    def encode(self, text: str | None) -> bytes:
-        """Token ids as little-endian unsigned 32-bit integers; a null text has none."""
-        out, rest, known = [], "", self.runs
-        text = text or ""
+    def pieces(self, text: str | None) -> Iterator[bytes]:
+        """Token ids as little-endian unsigned 32-bit integers, as they leave; a null text has none.
+
+        The text is read in slices that end where white space begins.
+        """
+        text, at, known = text or "", 0, self.runs
         split = SPACE.split if _NO_SPACE.search(text) else str.split
-        for at in range(0, len(text), SLICE):
-            part = rest + text[at : at + SLICE]
-            runs = split(part)
-            rest = ""
-            if at + SLICE < len(text) and runs and part.endswith(runs[-1]):
-                rest = runs.pop()
-            for run in runs:
+        while at < len(text):
+            blank = SPACE.search(text, at + SLICE) if at + SLICE < len(text) else None
+            end = blank.start() if blank else len(text)
+            ready = []
+            for run in split(text[at:end]):
                 got = known.get(run)
                 if got is None:
-                    got = self._run(run)
-                    if len(run) <= LONG:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[run] = got
-                out.append(got)
-        if rest:
-            out.append(self._run(rest))
-        return b"".join(out)
+                    if len(run) > LONG:
+                        yield b"".join(ready)
+                        ready.clear()
+                        yield from self._run(run)
+                        continue
+                    got = b"".join(self._run(run))
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[run] = got
+                ready.append(got)
+            yield b"".join(ready)
+            at = end
+
+    def encode(self, text: str | None) -> bytes:
+        return b"".join(self.pieces(text))
 
 
 class Decoder:
@@ -213,7 +229,8 @@ class Decoder:
 
     def feed(self, ids: Iterable[int], last: bool = False) -> str:
         if self.library:
-            spoken = " ".join(self.merges.names[i] for i in ids)
+            names = self.merges.names
+            spoken = " ".join([names[i] for i in ids])
             joined = f" {spoken}" if self.started and spoken else spoken
             self.started |= bool(spoken)
             return joined
@@ -283,13 +300,21 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", text: str = "text", l
     return tokens.select(*columns, ids).mapInArrow(run, schema)
 
 
-def _decoded_digest(data: bytes, spoken: list[bytes]) -> str:
-    """SHA-256 of what ids (as bytes) decode to, piece by piece."""
-    whole = hashlib.sha256()
-    for at in range(0, len(data), SLICE):
-        some = np.frombuffer(data[at : at + SLICE], "<u4").tolist()
-        whole.update(b" " * (at > 0) + b" ".join([spoken[i] for i in some]))
-    return whole.hexdigest()
+def _round_trip(own: Encoder, text: str | None, keep: bool) -> tuple[int, str, str, bytes]:
+    """Number of tokens, SHA-256 of their ids and of what they decode to, and the ids if they are to be kept.
+
+    Each piece of ids is hashed and handed to the decoder as it leaves.
+    """
+    n, ids, decoded, state, kept = 0, hashlib.sha256(), hashlib.sha256(), Decoder(own.merges), []
+    for piece in own.pieces(text):
+        ids.update(piece)
+        some = np.frombuffer(piece, "<u4").tolist()
+        decoded.update(state.feed(some).encode("utf-8"))
+        n += len(some)
+        if keep:
+            kept.append(piece)
+    decoded.update(state.feed([], True).encode("utf-8"))
+    return n, ids.hexdigest(), decoded.hexdigest(), b"".join(kept)
 
 
 def tokens(docs: DataFrame, path: str, text: str = "text", with_ids: bool = True) -> DataFrame:
@@ -307,14 +332,14 @@ def tokens(docs: DataFrame, path: str, text: str = "text", with_ids: bool = True
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(held.value)
         for batch in batches:
-            rows = [own.encode(t.as_py()) for t in batch.column(text)]
+            rows = [_round_trip(own, t.as_py(), with_ids) for t in batch.column(text)]
             made = {
-                "n_tokens": pa.array([len(r) // 4 for r in rows], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in rows], pa.string()),
-                "decoded_sha256": pa.array([_decoded_digest(r, own.merges.spoken) for r in rows], pa.string()),
+                "n_tokens": pa.array([r[0] for r in rows], pa.int64()),
+                "ids_sha256": pa.array([r[1] for r in rows], pa.string()),
+                "decoded_sha256": pa.array([r[2] for r in rows], pa.string()),
             }
             if with_ids:
-                made["ids"] = pa.array([np.frombuffer(r, "<u4").astype(np.int32) for r in rows], pa.list_(pa.int32()))
+                made["ids"] = pa.array([np.frombuffer(r[3], "<u4").astype(np.int32) for r in rows], pa.list_(pa.int32()))
             yield _replaced(batch, text, made)
 
     schema = T.StructType([*docs.select(*columns).schema.fields, *new.fields])

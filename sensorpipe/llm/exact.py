@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -97,10 +98,10 @@ def _checked(docs: DataFrame, text: str, positive: DataFrame) -> None:
 def exact_duplicates(docs: DataFrame, text: str = "text", batches: int = 2, number: str | None = None) -> DataFrame:
     """(doc_id, row, digest, keep_id, keep_row, group_size, kept) for every row.
 
-    Rows come in ``batches`` (by a hash of the doc_id). Each batch is grouped by itself. Its digests are screened by the
-    static filter of each earlier, immutable snapshot; positives are joined with the snapshot's exact digests, and what
-    matches is compared byte by byte. The groups found join with those of the batch, and the batch's own groups become
-    the next snapshot.
+    Rows come in ``batches`` (by a hash of the doc_id). The rows of a batch are grouped by themselves. Its digests are
+    screened by the static filters of each earlier snapshot; positives are joined with that snapshot's exact digests, the
+    texts of what matches are compared byte by byte, and only these groups are merged into the snapshot's. What no snapshot
+    holds becomes a snapshot of its own and is grouped with nothing else. Snapshots are immutable and share no digest.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. The row with the largest doc_id stays;
     a null doc_id counts as smallest. Of repeated rows with that doc_id exactly one stays. Other columns are not read.
@@ -108,20 +109,39 @@ def exact_duplicates(docs: DataFrame, text: str = "text", batches: int = 2, numb
     ship(docs.sparkSession)
     rows = staged(with_digest(docs, text, number).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")))
     snapshots: list[DataFrame] = []
-    for number in range(batches):
-        own = staged(_grouped(rows.filter(F.col("batch") == number)))
-        for held in snapshots:
+    added: list[list[DataFrame]] = []
+    for batch in range(batches):
+        own = staged(_grouped(rows.filter(F.col("batch") == batch)))
+        for held, more in zip(snapshots, added):
             filters = staged(build_filters(held))
             positive = staged(screen(own, filters).join(held.select("digest"), "digest", "left_semi"))
             _checked(docs, text, positive)
+            tested = staged(own.join(positive.withColumn("known", F.lit(True)), "digest", "left"))
+            more.append(tested.filter("known").select(F.lit(batch).alias("batch"), "digest", "last", "n"))
+            own = tested.filter("known IS NULL").drop("known")
             drop_staged(filters)
             drop_staged(positive)
         snapshots.append(own)
-    merged = snapshots[0]
-    for held in snapshots[1:]:
-        merged = merged.unionByName(held)
-    whole = merged.groupBy("digest").agg(F.max("last").alias("last"), F.sum("n").alias("group_size"))
-    joined = attach(rows, whole, ["digest"], F.struct("doc_id", "row"))
+        added.append([])
+    joined = attach(rows, staged(_members(snapshots, added)), ["batch", "digest"], F.struct("doc_id", "row"))
     return joined.select(
         "doc_id", "row", "digest", F.col("last.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("last.row")).alias("kept")
     )
+
+
+def _members(snapshots: list[DataFrame], added: list[list[DataFrame]]) -> DataFrame:
+    """(batch, digest, last, group_size): the whole group of each digest, for the snapshot and the batches that met it."""
+    out = []
+    for home, (held, more) in enumerate(zip(snapshots, added)):
+        own = held.select(F.lit(home).alias("batch"), "digest", "last", "n")
+        if not more:
+            out.append(own.withColumnRenamed("n", "group_size"))
+            continue
+        met = reduce(DataFrame.unionByName, more)
+        sums = met.groupBy("digest").agg(F.max("last").alias("more"), F.sum("n").alias("extra"))
+        grown = own.join(sums, "digest", "left").select(
+            "batch", "digest", F.greatest("last", "more").alias("last"), (F.col("n") + F.coalesce("extra", F.lit(0))).alias("group_size"), F.col("more").isNotNull().alias("met")
+        )
+        grown = staged(grown)
+        out += [grown.drop("met"), met.select("batch", "digest").join(grown.filter("met").drop("batch", "met"), "digest")]
+    return reduce(DataFrame.unionByName, out)

@@ -37,10 +37,15 @@ MOST_CELLS, ANGLES, SLACK = 16_384, 1 << 21, 1e-6
 NO_ID = 1 << 62
 
 
+def _of_length_one(rows: np.ndarray) -> np.ndarray:
+    # Squares of very large or small entries leave the range of a double; a power of two changes no digit.
+    rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def unit(vectors: pd.Series) -> np.ndarray:
     """Rows of length one, in double precision."""
-    found = np.stack([np.asarray(v, np.float64) for v in vectors])
-    return found / np.linalg.norm(found, axis=1, keepdims=True)
+    return _of_length_one(np.stack([np.asarray(v, np.float64) for v in vectors]))
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -119,8 +124,7 @@ def _compare_meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         for a, b in zip(starts, [*starts[1:], len(cid)]):
             if b - a < 2:
                 continue
-            x = flat[ends[a] - ends[0] : ends[b] - ends[0]].reshape(b - a, -1)
-            x = x / np.linalg.norm(x, axis=1, keepdims=True)
+            x = _of_length_one(flat[ends[a] - ends[0] : ends[b] - ends[0]].reshape(b - a, -1))
             i, j = np.triu_indices(b - a, 1)
             cosine = (x @ x.T)[i, j]
             better = cosine > np.minimum(last[a:b][i], last[a:b][j])

@@ -53,6 +53,15 @@ def test_exact(docs, batches):
         assert [r.doc_id for r in rows if r.kept] == [keep]
 
 
+def test_the_filters_decide(docs, monkeypatch):
+    """With filters that turn everything away no batch finds an earlier one, and copies stay in each."""
+    right = Counter((r.doc_id, r.group_size) for r in exact.exact_duplicates(docs).collect())
+    monkeypatch.setattr(exact.BinaryFuse, "contains", lambda self, keys: np.zeros(len(keys), bool))
+    monkeypatch.setattr(exact, "screen", lambda incoming, filters: incoming.select("digest").limit(0))
+    got = exact.exact_duplicates(docs).collect()
+    assert len(got) == docs.count() and Counter((r.doc_id, r.group_size) for r in got) != right
+
+
 def test_exact_of_nothing(none):
     assert exact.exact_duplicates(none).count() == 0
 

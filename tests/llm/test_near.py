@@ -52,3 +52,10 @@ def test_few_links_in_many_vectors_are_not_passed_unseen(spark, monkeypatch):
     want = brute(x)
     assert sum(n for _, n, _ in want) >= 70
     assert found(spark, x) == want
+
+
+def test_very_large_and_very_small_vectors(spark):
+    rows = [[1e-200, 1e-200], [1.0, 0.1], [1e200, 1e200], [2e200, 2e200], [5e-324, 0.0], [1.0, 0.0], [1.7e308, -1.7e308]]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_vectors(frame).collect()}
+    assert got == {0: (2, 0), 2: (2, 0), 3: (2, 0), 1: (2, 1), 4: (2, 1), 5: (2, 1), 6: (0, 6)}

@@ -66,6 +66,27 @@ def test_text_in_slices(monkeypatch):
     assert ids_of(text) == whole == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_every_word_and_every_token_takes_the_way_of_the_method(docs, monkeypatch):
+    words, ids, stream, feed = Counter(), [], bpe.Merges.stream, bpe.Decoder.feed
+    own = bpe.Encoder(MERGES)
+    monkeypatch.setattr(bpe.Merges, "stream", lambda self, symbols: stream(self, (words.update(["symbol"]) or s for s in symbols)))
+    monkeypatch.setattr(bpe.Decoder, "feed", lambda self, some, last=False: (ids.extend(some), feed(self, some, last))[1])
+    text = "The budget, the plan and the coming year: 12.5 euro"
+    n, *_ = bpe._round_trip(own, text, False)
+    assert words["symbol"] == len("".join(dict.fromkeys(bpe.PATTERN.findall(text.lower()))).encode())
+    assert ids == np.frombuffer(own.encode(text), "<u4").tolist() and n == len(ids)
+
+
+def test_text_without_blanks_leaves_in_pieces():
+    text = "ab,cd" * 200_000
+    pieces = [len(p) // 4 for p in ENCODER.pieces(text)]
+    assert max(pieces) <= bpe.PIECE and sum(pieces) == len(LIBRARY.encode(text, add_special_tokens=False).ids)
+    word = "theandof" * 20_000
+    pieces = list(ENCODER.pieces(word))
+    assert max(map(len, pieces)) == 4 * bpe.PIECE and len(pieces) > 2
+    assert np.frombuffer(b"".join(pieces), "<u4").tolist() == LIBRARY.encode(word, add_special_tokens=False).ids
+
+
 def test_decodes_bytes_of_split_characters():
     state = bpe.Decoder(MERGES, library=False)
     ids = ids_of("naïve 😀 <|endoftext|> ok")
