@@ -13,8 +13,9 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,7 @@ class Merges:
         for name, i in [*vocab.items(), *self.special.items()]:
             self.names[i] = name
         letters = byte_characters()
+        self.value = {c: b for b, c in enumerate(letters)}
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + END] for c in letters]
         self.rules: dict[int, tuple[int, int]] = {}
@@ -111,19 +113,17 @@ class Merges:
     def symbols(self, word: str) -> Iterator[int]:
         """One symbol a byte; the last byte of a word has a symbol of its own."""
         data = word.encode("utf-8", "surrogatepass")
-        for b in data[:-1]:
-            yield self.inner[b]
-        yield self.last[data[-1]]
+        return chain(map(self.inner.__getitem__, data[:-1]), (self.last[data[-1]],))
 
     def stream(self, symbols: Iterable[int]) -> Iterator[int]:
         """Tokens of one word of any length, each emitted once ``lookahead`` symbols behind it are known."""
         waiting: list[int] = []
         full = 2 * (self.lookahead + self.longest)
-        width = {}
-        for symbol in symbols:
-            waiting.append(symbol)
+        width, symbols = {}, iter(symbols)
+        while True:
+            waiting.extend(islice(symbols, full - len(waiting)))
             if len(waiting) < full:
-                continue
+                break
             done = 0
             for token in self.merge(waiting[:]):
                 size = width.get(token) or width.setdefault(token, self._width(token))
@@ -153,27 +153,39 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
-    def _word(self, word: str) -> Iterator[bytes]:
-        """Tokens of a word, from the transducer."""
+    def _short(self, word: str) -> bytes:
+        """Tokens of a word, from the transducer, or as it made them before."""
         got = self.words.get(word)
         if got is None:
-            made = self.merges.stream(self.merges.symbols(word))
-            if len(word) > LONG:
-                while some := list(islice(made, PIECE)):
-                    yield np.array(some, "<u4").tobytes()
-                return
-            got = np.fromiter(made, "<u4").tobytes()
+            got = array("I", self.merges.stream(self.merges.symbols(word))).tobytes()
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             self.words[word] = got
-        yield got
+        return got
 
-    def _plain(self, run: str) -> Iterator[bytes]:
+    def _word(self, word: str) -> Iterator[bytes]:
+        """Tokens of a word of any length, in pieces."""
+        if len(word) <= LONG:
+            yield self._short(word)
+            return
+        made = self.merges.stream(self.merges.symbols(word))
+        while some := array("I", islice(made, PIECE)).tobytes():
+            yield some
+
+    def _folded(self, run: str) -> str:
         if not run.isascii():
             run = unicodedata.normalize("NFC", run)
-        for word in PATTERN.finditer(run.replace("Σ", "σ").lower()):
+        return run.replace("Σ", "σ").lower()
+
+    def _plain(self, run: str) -> Iterator[bytes]:
+        for word in PATTERN.finditer(self._folded(run)):
             yield from self._word(word[0])
 
+    def _short_run(self, run: str) -> bytes:
+        if "<" in run:
+            return b"".join(self._run(run))
+        return b"".join(map(self._short, PATTERN.findall(self._folded(run))))
+
     def _run(self, run: str) -> Iterator[bytes]:
         """Tokens of a run of text without white space."""
         merges, at = self.merges, 0
@@ -203,7 +215,7 @@ class Encoder:
                         ready.clear()
                         yield from self._run(run)
                         continue
-                    got = b"".join(self._run(run))
+                    got = self._short_run(run)
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[run] = got
@@ -225,7 +237,6 @@ class Decoder:
     def __init__(self, merges: Merges, library: bool = True):
         self.merges, self.library, self.started = merges, library, False
         self.bytes = codecs.getincrementaldecoder("utf-8")("replace")
-        self.value = {c: b for b, c in enumerate(byte_characters())}
 
     def feed(self, ids: Iterable[int], last: bool = False) -> str:
         if self.library:
@@ -240,7 +251,7 @@ class Decoder:
             if i in special:
                 out.append(self.bytes.decode(name.encode()))
                 continue
-            data = bytes(self.value[c] for c in name.removesuffix(END))
+            data = bytes(self.merges.value[c] for c in name.removesuffix(END))
             out.append(self.bytes.decode(data + b" " * name.endswith(END)))
         return "".join(out) + self.bytes.decode(b"", last)
 
