@@ -32,9 +32,10 @@ END = "</w>"
 #: Characters that ``str.split`` takes for white space and the format does not.
 _NO_SPACE = re.compile("[\x1c-\x1f]")
 SLICE = 1 << 16
-#: Words kept with their tokens by each worker; when full, they are forgotten.
-REMEMBERED = 120_000
+#: Words, and runs of text, kept with their tokens by each worker: so many, and as many that were in use before these.
+REMEMBERED = 60_000
 LONG = 256
+_NO_RANK = 1 << 62
 #: Tokens of a long word that leave together.
 PIECE = 1 << 14
 
@@ -62,11 +63,14 @@ class Merges:
         self.value = {c: b for b, c in enumerate(letters)}
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + END] for c in letters]
-        self.rules: dict[int, tuple[int, int]] = {}
+        # Ranks of pairs, and what the merge of a rank makes; a pair without a merge has the rank behind all others.
+        self.ranks: dict[int, int] = {}
+        self.made: dict[int, int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         for rank, (a, b) in enumerate(m.split(" ") if isinstance(m, str) else m for m in model["merges"]):
             left, right, made = vocab[a], vocab[b], vocab[a + b]
-            self.rules.setdefault(left << 32 | right, (rank, made))
+            self.ranks.setdefault(left << 32 | right, rank)
+            self.made[rank] = made
             if made in self.parts:
                 raise ValueError(f"two merges make {a + b}")
             self.parts[made] = (left, right)
@@ -94,21 +98,17 @@ class Merges:
 
     def merge(self, symbols: list[int]) -> list[int]:
         """The merges of a word: always the pair of lowest rank, of equal ones the leftmost."""
-        rules = self.rules
-        found = [rules.get(a << 32 | b) for a, b in zip(symbols, symbols[1:])]
-        while True:
-            best, at = None, -1
-            for i, rule in enumerate(found):
-                if rule is not None and (best is None or rule[0] < best[0]):
-                    best, at = rule, i
-            if best is None:
-                return symbols
-            symbols[at : at + 2] = [best[1]]
-            found[at : at + 1] = []
+        rank, none = self.ranks.get, _NO_RANK
+        found = [rank(a << 32 | b, none) for a, b in zip(symbols, symbols[1:])]
+        while found and (best := min(found)) != none:
+            at = found.index(best)
+            symbols[at : at + 2] = [self.made[best]]
+            del found[at]
             if at:
-                found[at - 1] = rules.get(symbols[at - 1] << 32 | symbols[at])
+                found[at - 1] = rank(symbols[at - 1] << 32 | symbols[at], none)
             if at < len(found):
-                found[at] = rules.get(symbols[at] << 32 | symbols[at + 1])
+                found[at] = rank(symbols[at] << 32 | symbols[at + 1], none)
+        return symbols
 
     def symbols(self, word: str) -> Iterator[int]:
         """One symbol a byte; the last byte of a word has a symbol of its own."""
@@ -145,22 +145,40 @@ class Merges:
         return n
 
 
+class _Recent:
+    """Values by key; when full, those not asked for since the last time it was full are forgotten."""
+
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        got = self.new.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self.keep(key, got)
+        return got
+
+    def keep(self, key: str, value: bytes) -> None:
+        if len(self.new) >= REMEMBERED:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+
 class Encoder:
     """Texts to token ids, in slices; words seen before are remembered up to a bound."""
 
     def __init__(self, merges: Merges):
         self.merges = merges
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.words, self.runs = _Recent(), _Recent()
 
     def _short(self, word: str) -> bytes:
         """Tokens of a word, from the transducer, or as it made them before."""
         got = self.words.get(word)
         if got is None:
             got = array("I", self.merges.stream(self.merges.symbols(word))).tobytes()
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = got
+            self.words.keep(word, got)
         return got
 
     def _word(self, word: str) -> Iterator[bytes]:
@@ -216,9 +234,7 @@ class Encoder:
                         yield from self._run(run)
                         continue
                     got = self._short_run(run)
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[run] = got
+                    known.keep(run, got)
                 ready.append(got)
             yield b"".join(ready)
             at = end
