@@ -33,7 +33,7 @@ END = "</w>"
 _NO_SPACE = re.compile("[\x1c-\x1f]")
 SLICE = 1 << 16
 #: Words, and runs of text, kept with their tokens by each worker: so many, and as many that were in use before these.
-REMEMBERED = 60_000
+REMEMBERED = 100_000
 LONG = 256
 _NO_RANK = 1 << 62
 #: Tokens of a long word that leave together.
@@ -191,15 +191,18 @@ class Encoder:
             yield some
 
     def _folded(self, run: str) -> str:
-        if not run.isascii():
-            run = unicodedata.normalize("NFC", run)
-        return run.replace("Σ", "σ").lower()
+        if run.isascii():
+            return run.lower()
+        return unicodedata.normalize("NFC", run).replace("Σ", "σ").lower()
 
     def _plain(self, run: str) -> Iterator[bytes]:
         for word in PATTERN.finditer(self._folded(run)):
             yield from self._word(word[0])
 
     def _short_run(self, run: str) -> bytes:
+        if run.isascii() and run.isalpha():
+            # One word, whatever the pattern.
+            return self._short(run.lower())
         if "<" in run:
             return b"".join(self._run(run))
         return b"".join(map(self._short, PATTERN.findall(self._folded(run))))
