@@ -29,6 +29,7 @@ from sensorpipe.operators.reshape import to_canonical, to_sink_long, to_variable
 from sensorpipe.session import staged
 from sensorpipe.sinks.export import export_csv, rewrite_lines
 from sensorpipe.sinks.report import source_report
+from sensorpipe.sinks import zones
 from sensorpipe.sinks.tables import cast_value, map_columns, overwrite_partitions, table_exists, write_dataset, write_table
 from sensorpipe.sources import files
 from sensorpipe.sources.keyvalue import discover_metrics, parse_lines, project_metrics, rejected_lines, rewrite_line_times
@@ -353,6 +354,8 @@ def read_step(spark: SparkSession, step: Step) -> DataFrame:
         )
         return _not_loaded(raw, step)
     pattern = settings.get("file_pattern", "*.parquet")
+    if pattern == "*.parquet" and not exclude and (few := _zoned(spark, path, settings)) is not None:
+        return few
     reader = files.read_parquet if pattern.endswith("parquet") else files.read_csv
     # Folders named key=value are searched without asking and give columns. Identity is in columns from here on, so
     # the names of the files between steps say nothing.
@@ -360,6 +363,23 @@ def read_step(spark: SparkSession, step: Step) -> DataFrame:
     return df.drop("source_path", "source_file")
 
 
+def _groups(columns: Sequence[str]) -> list[str]:
+    return [c for c in ("device_id", "domain", "day") if c in columns]
+
+
+def _zoned(spark: SparkSession, path: str, settings: Mapping) -> DataFrame | None:
+    """A stage with zones, read over a range: only files with a group that overlaps it. None where that is not so."""
+    bounds = settings.get("from"), settings.get("to")
+    if settings.get("granularity") == "row" or not (parse_bound(bounds[0]) or parse_bound(bounds[1], end=True)) or not table_exists(spark, f"{path.rstrip('/')}/_zones"):
+        return None
+    fields = spark.read.option("mergeSchema", "true").parquet(path).schema.fields
+    times = [f.name for f in fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))]
+    by = _groups([f.name for f in fields])
+    if len(times) != 1 or "domain" not in by or not table_exists(spark, zones.zones_path(path, times[0], by)):
+        return None
+    return zones.read_overlapping(spark, path, *bounds, ts=times[0], by=by)
+
+
 def write_step(step: Step, df: DataFrame) -> None:
     out = _output(step.config)
     if step.name in _SINK_TIME:
@@ -384,6 +404,9 @@ def write_step(step: Step, df: DataFrame) -> None:
         else:
             clear = bool(out.get("clear"))
             write_dataset(rows, out["output_directory"], partition_by=partitions, clear=clear, compression=codec)
+        spark = df.sparkSession
+        if times and _groups(rows.columns) and table_exists(spark, out["output_directory"]):
+            zones.refresh(spark, out["output_directory"], times[0], _groups(rows.columns))
 
 
 def _database(step: Step) -> tuple[Mapping, dict[str, str], str]:

@@ -76,6 +76,7 @@ kept AS (
   HAVING max(ts) >= TIMESTAMP '2024-01-10 12:00:00' AND min(ts) <= TIMESTAMP '2024-01-12 06:00:00')
 SELECT r.* FROM r SEMI JOIN kept USING (source_file)"""
 
+SQL["prune_zones"] = SQL["prune_overlap"]
 SQL["prune_days"] = f"""
 WITH r AS (
   SELECT event_id, ts,

@@ -34,7 +34,7 @@ from sensorpipe.operators.resample import grid, resample, resample_by_domain, se
 from sensorpipe.operators.reshape import readings_to_long, to_canonical, to_raw_long, to_sink_long, to_variable_long
 from sensorpipe.plans.flow import Flow
 from sensorpipe.session import configure, shared_dir
-from sensorpipe.sinks import export, report, tables
+from sensorpipe.sinks import export, report, tables, zones
 from sensorpipe.sources import files
 from sensorpipe.sources import keyvalue as kv
 from sensorpipe.streaming import incremental, ingest, ordered
@@ -189,6 +189,15 @@ def prune_overlap(spark, sf):
     return sel.prune_overlap(rows, "2024-01-10T12:00:00Z", "2024-01-12T06:00:00Z")
 
 
+@query
+def prune_zones(spark, sf):
+    """The same sources from a written stage, by the zones of its files."""
+    stage = shared_dir(spark, "zoned")
+    rows = table(spark, sf, "events").select("event_id", "ts", file_name().alias("source_file"), F.to_date("ts").alias("day"))
+    tables.write_dataset(rows, stage, partition_by=["day"])
+    return zones.read_overlapping(spark, stage, "2024-01-10T12:00:00Z", "2024-01-12T06:00:00Z", by=["source_file"]).drop("day")
+
+
 @query
 def prune_days(spark, sf):
     name = F.when(F.col("event_type") == "click", F.concat(F.lit("lab_dev-"), "user_id", F.lit(".csv"))).otherwise(file_name())
