@@ -10,13 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorpipe.llm.license_rules import BASE, ROOTS, WEIGHT, Rule, rules
+from sensorpipe.llm.license_rules import BASE, GAP, SHORT, WEIGHT, Rule, gates, rules
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same words before lower-casing.
 ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+#: Items of a text that are gathered at a time.
+PIECE = 256
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
@@ -59,56 +62,88 @@ def _gates(all_rules: list[Rule]) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*group).alias("rules")) for k, group in by.items()])
 
 
+def _blocks(array: Column) -> Column:
+    """An array in pieces, so that what grows item by item is copied within a piece only."""
+
+    def cut(items: Column) -> Column:
+        last = F.floor((F.size(items) - 1) / PIECE).cast("int")
+        pieces = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(items, b * PIECE + 1, PIECE))
+        return F.when(F.size(items) > 0, pieces).otherwise(F.slice(F.array(items), 1, 0))
+
+    return let(array, cut)
+
+
 def _spans(text: Column, rule: Column) -> Column:
     """Detections of one rule: the pieces between matches and the matches give their places."""
     matched = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
 
-    def place(found: Column) -> Column:
-        lengths = F.zip_with(F.slice(F.split(text, rule["pattern"]), 1, F.size(found)), found, lambda piece, m: F.struct(F.length(piece).alias("gap"), F.length(m).alias("own")))
+    def inside(block: Column) -> Column:
         none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 
         def grow(state: Column, x: Column) -> Column:
             start = state["at"] + x["gap"]
             return F.struct((start + x["own"]).alias("at"), F.concat(state["spans"], F.array(F.struct(start.alias("start"), (start + x["own"]).alias("end")))).alias("spans"))
 
-        spans = F.aggregate(lengths, none, grow, lambda state: state["spans"])
-        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), rule["priority"].alias("priority"), rule["rule"].alias("rule"), rule["label"].alias("label")))
+        return F.aggregate(block, none, grow)
+
+    def place(found: Column) -> Column:
+        lengths = F.zip_with(F.slice(F.split(text, rule["pattern"]), 1, F.size(found)), found, lambda piece, m: F.struct(F.length(piece).alias("gap"), F.length(m).alias("own")))
+
+        def shift(blocks: Column) -> Column:
+            none = F.array(F.lit(0))
+            starts = F.aggregate(blocks, none, lambda seen, b: F.concat(seen, F.array(F.element_at(seen, -1) + b["at"])))
+            return F.flatten(F.zip_with(blocks, F.slice(starts, 1, F.size(blocks)), lambda b, at: F.transform(b["spans"], lambda s: F.struct(
+                (at + s["start"]).alias("start"), (-at - s["end"]).alias("back"), rule["priority"].alias("priority"), rule["rule"].alias("rule"), rule["label"].alias("label")))))
+
+        return let(F.transform(_blocks(lengths), inside), shift)
 
     return let(matched, place)
 
 
 def _kept(detections: Column) -> Column:
     """Detections that no other one of the same or a better priority contains."""
-    levels = len(WEIGHT)
+    levels = range(len(WEIGHT))
     kind = "array<struct<start:int,back:int,priority:int,rule:int,label:string>>"
-    none = F.struct(F.array_repeat(F.lit(-1), levels).alias("ends"), F.array().cast(kind).alias("kept"))
 
-    def step(state: Column, d: Column) -> Column:
-        end = -d["back"]
-        inside = F.exists(F.slice(state["ends"], 1, d["priority"] + 1), lambda e: e >= end)
-        ends = F.transform(state["ends"], lambda e, level: F.when(level == d["priority"], F.greatest(e, end)).otherwise(e))
-        return F.struct(ends.alias("ends"), F.when(inside, state["kept"]).otherwise(F.concat(state["kept"], F.array(d))).alias("kept"))
+    def farthest(block: Column) -> Column:
+        ends = lambda level: F.array_max(F.transform(F.filter(block, lambda d: d["priority"] == level), lambda d: -d["back"]))
+        return F.array(*[F.coalesce(ends(level), F.lit(-1)) for level in levels])
+
+    def stand(block: Column, ends: Column) -> Column:
+        none = F.struct(ends.alias("ends"), F.array().cast(kind).alias("kept"))
 
-    return F.aggregate(F.array_sort(detections), none, step, lambda state: state["kept"])
+        def step(state: Column, d: Column) -> Column:
+            end = -d["back"]
+            inside = F.exists(F.slice(state["ends"], 1, d["priority"] + 1), lambda e: e >= end)
+            reached = F.transform(state["ends"], lambda e, level: F.when(level == d["priority"], F.greatest(e, end)).otherwise(e))
+            return F.struct(reached.alias("ends"), F.when(inside, state["kept"]).otherwise(F.concat(state["kept"], F.array(d))).alias("kept"))
+
+        return F.aggregate(block, none, step, lambda state: state["kept"])
+
+    def blockwise(blocks: Column) -> Column:
+        none = F.array(F.array_repeat(F.lit(-1), len(levels)))
+        grow = lambda seen, block: F.concat(seen, F.array(F.zip_with(F.element_at(seen, -1), farthest(block), lambda a, b: F.greatest(a, b))))
+        return F.flatten(F.zip_with(blocks, F.slice(F.aggregate(blocks, none, grow), 1, F.size(blocks)), stand))
+
+    return let(_blocks(F.array_sort(detections)), blockwise)
 
 
 def _scan(text: Column, gates: Column) -> Column:
-    open_rules = F.flatten(F.transform(F.filter(gates, lambda g: F.contains(text, g["keyword"])), lambda g: g["rules"]))
+    """Keywords are looked for where gaps between words are one blank; rules are matched on the text itself."""
+    opened = lambda folded: F.flatten(F.transform(F.filter(gates, lambda g: F.contains(folded, g["keyword"])), lambda g: g["rules"]))
+    open_rules = let(F.regexp_replace(text, GAP, " "), opened)
     detections = F.flatten(F.transform(open_rules, lambda rule: _spans(text, rule)))
     return F.struct(_base(text).alias("base"), _kept(detections).alias("kept"))
 
 
 def _candidate(text: Column) -> Column:
-    """Whether any keyword or base phrase may be in a text, by plain searches; "cc" alone needs its next word."""
-    short = sorted({r.keyword for r in rules() if not any(root in r.keyword for root in ROOTS)})
+    """Whether any rule or base phrase may match a text, by plain searches for single words."""
 
     def look(low: Column) -> Column:
-        found = F.contains(low, F.lit(ROOTS[0]))
-        for root in ROOTS[1:]:
-            found = found | F.contains(low, F.lit(root))
-        for name in short:
-            found = found | (F.contains(low, F.lit(name)) if name != "cc" else F.contains(low, F.lit("cc")) & low.rlike(r"(?<![a-z0-9])cc[^a-z0-9]+by"))
-        return found
+        found = F.lit(False)
+        for word in gates():
+            found = found | F.contains(low, F.lit(word))
+        return found | low.rlike(SHORT) | low.rlike(r"(?<![a-z0-9])cc[^a-z0-9]+by")
 
     return let(F.lower(text), look)
 
@@ -124,8 +159,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     value = F.coalesce(F.col(text), F.lit(""))
     lowered = F.translate(value, UPPER, LOWER)
-    gates = _gates(rules())
-    found = F.when(_candidate(value), let(lowered, lambda t: _scan(t, gates)))
+    all_gates = _gates(rules())
+    found = F.when(_candidate(value), let(lowered, lambda t: _scan(t, all_gates)))
     others = [c for c in docs.columns if c not in (text, "n_words", "base", "detections")]
     scanned = docs.select(*others, F.regexp_count(value, F.lit(ANY_WORD)).cast("long").alias("n_words"), found.alias("_found"))
     empty = F.array().cast("array<struct<start:int,back:int,priority:int,rule:int,label:string>>")

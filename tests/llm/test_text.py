@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from conftest import SCHEMA, document
 from sensorpipe.llm import bpe, licenses, neighbours, quality, toxicity
-from sensorpipe.llm.license_rules import BASE, rules
+from sensorpipe.llm.license_rules import BASE, SHORT, gates, rules
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 MERGES = bpe.Merges(open(PATH, encoding="utf-8").read())
@@ -109,7 +109,7 @@ def test_token_frames(docs, none):
 def kept_detections(text):
     """All matches of all rules, whatever the gates say, without those inside another of a better or the same priority."""
     text = text.translate(str.maketrans(licenses.UPPER, licenses.LOWER))
-    found = [(m.start(), -m.end(), r.priority, i, r.label) for i, r in enumerate(rules()) if r.keyword in text for m in re.finditer(r.pattern, text, re.ASCII)]
+    found = [(m.start(), -m.end(), r.priority, i, r.label) for i, r in enumerate(rules()) for m in re.finditer(r.pattern, text, re.ASCII)]
     out = []
     for d in sorted(found):
         if not any(e[0] <= d[0] and e[1] <= d[1] and e[2] <= d[2] and e < d for e in found if e != d):
@@ -145,12 +145,45 @@ def test_licenses(spark, none):
 
 
 def test_license_gates_let_every_rule_through(spark):
-    keywords = sorted({r.keyword for r in rules()})
-    assert len(rules()) > 300
-    frame = spark.createDataFrame([(k if k != "cc" else "cc by",) for k in keywords], "text string")
+    assert len(rules()) > 400
+    for r in rules():
+        assert any(g in r.keyword for g in gates()) or re.search(SHORT, f"{r.keyword} 2.0", re.ASCII) or r.keyword == "cc", r
+    frame = spark.createDataFrame([(r.keyword.replace(" ", "\n * ") + (" by 2.0" if r.keyword == "cc" else " 2.0"),) for r in rules()], "text string")
     assert frame.filter(~licenses._candidate(frame["text"])).collect() == []
 
 
+WRAPPED = {
+    "GNU Lesser General Public\n License version 2.1": "lgpl,lgpl-2.1",
+    "Mozilla Public\nLicense, v. 2.0": "mpl,mpl-2.0",
+    "the BSD\nlicense": "bsd",
+    "/*\n * Permission is hereby granted, free of\n * charge, to any\n * person obtaining a copy": "mit",
+    " * Licensed under the Apache\n * License, Version\n * 2.0": "apache,apache-2.0",
+    "it under the terms of the GNU General Public License as published by\n# the Free Software Foundation; either version 2 of\n# the License": "gpl,gpl-2.0",
+    "Neither the name of X nor the names of its\n   contributors may be used to endorse\nor promote products": "bsd-3-clause",
+    "Altered source versions must be\nplainly marked as such": "zlib",
+    "a simple reply, replaced by examples of a couple of words": "",
+}
+
+
+def test_wrapped_notices(spark):
+    frame = spark.createDataFrame(list(enumerate(WRAPPED)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(frame).collect()}
+    for i, (text, labels) in enumerate(WRAPPED.items()):
+        found = {d.label for d in got[i].detections}
+        assert set(filter(None, labels.split(","))) - found <= {labels.split(",")[0]} and bool(found) == bool(labels), (text, found)
+        assert labels.split(",")[-1] in found | {""}
+        assert sorted((d.start, d.end, d.priority, d.label) for d in got[i].detections) == sorted(kept_detections(text))
+
+
+def test_license_of_a_very_long_text(spark):
+    notice = "MIT License. Mozilla Public\nLicense 2.0 and words that say nothing at all; all rights reserved. "
+    long = notice * 2_000 + "plain words " * 400_000
+    frame = spark.createDataFrame([(1, long)], "doc_id long, text string")
+    row = licenses.scan(frame).first()
+    assert len(row.detections) == 6_000 and row.n_words == len(re.findall(licenses.ANY_WORD, long))
+    assert sorted((d.start, d.end, d.priority, d.label) for d in row.detections if d.start < 3 * len(notice)) == sorted(kept_detections(notice * 3))
+
+
 def labelled(spark, n=600):
     rng, plain = random.Random(5), [f"w{i}" for i in range(200)]
     rows, labels = [], []
