@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from sensorpipe.functions.times import parse_bound, time_literal
 from sensorpipe.operators.skew import ROWS_PER_TASK, attach
 from sensorpipe.session import shared_dir, staged
+from sensorpipe.sinks.publish import publish, recover
 
 POLICIES = ("append", "replace", "replace_all")
 
@@ -52,18 +53,40 @@ def map_columns(df: DataFrame, names: Mapping[str, str] | None) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in (names or {}).items() if k in df.columns})
 
 
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
 def wider(held: T.DataType, new: T.DataType) -> T.DataType:
-    """The type that holds the numbers of both without loss of their fractions; other types stay as the table has them."""
-    whole = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    """The type that holds the numbers of both without loss of their fractions; other types stay as the table has them.
+
+    Raises where whole digits and fractions of both do not fit into one decimal.
+    """
     if held == new or not isinstance(held, T.NumericType) or not isinstance(new, T.NumericType):
         return held
     if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in (held, new)):
         return T.DoubleType()
-    if type(held) in whole and type(new) in whole:
-        return held if whole[type(held)] >= whole[type(new)] else new
-    parts = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (whole[type(t)], 0) for t in (held, new)]
-    scale = max(s for _, s in parts)
-    return T.DecimalType(min(38, max(d for d, _ in parts) + scale), scale)
+    if type(held) in _WHOLE and type(new) in _WHOLE:
+        return held if _WHOLE[type(held)] >= _WHOLE[type(new)] else new
+    parts = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (_WHOLE[type(t)], 0) for t in (held, new)]
+    digits, scale = max(d for d, _ in parts), max(s for _, s in parts)
+    if digits + scale > 38:
+        raise ValueError(f"no number type holds both {held.simpleString()} and {new.simpleString()}")
+    return T.DecimalType(digits + scale, scale)
+
+
+def refuse_lost_digits(df: DataFrame, target: T.StructType) -> None:
+    """Raise if a number of ``df`` has digits that the double which ``target`` wants for it does not hold. One scan."""
+    wanted = {f.name.lower(): f.dataType for f in target.fields}
+    lost = []
+    for f in df.schema.fields:
+        exact = isinstance(f.dataType, T.DecimalType) or type(f.dataType) in (T.LongType,)
+        if exact and isinstance(wanted.get(f.name.lower()), T.DoubleType):
+            kind = f.dataType if isinstance(f.dataType, T.DecimalType) else T.DecimalType(20, 0)
+            same = F.col(f.name).cast(kind).eqNullSafe(F.col(f.name).cast("double").try_cast(kind))
+            lost.append(F.coalesce(F.bool_or(~same), F.lit(False)).alias(f.name))
+    found = [name for name, is_lost in df.agg(*lost).first().asDict().items() if is_lost] if lost else []
+    if found:
+        raise ValueError(f"a double does not hold all digits of {', '.join(found)}; cast one side first")
 
 
 def widened(existing: T.StructType, new: T.StructType) -> T.StructType:
@@ -165,13 +188,14 @@ def write_table(
 ) -> None:
     """Publish rows to a Parquet table partitioned by ``day`` of ``ts``.
 
-    ``replace`` rewrites only the days it touches: the days of the batch and those that meet the range. Their new
-    content is first written to a staging folder, since a table cannot be overwritten while it is read. A batch without
-    rows changes nothing, whatever the range.
+    ``replace`` rewrites only the days it touches: the days of the batch and those that meet the range. New content is
+    written beside the old and then swapped in; a swap that failed is finished or undone by the next call. A batch
+    without rows changes nothing, whatever the range. Numbers that would lose digits in the table's type raise.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
     spark = df.sparkSession
+    recover(spark, path)
     rows = df.withColumn("day", F.to_date(ts))
     exists = table_exists(spark, path)
     if not exists and not (autocreate or destroy):
@@ -186,7 +210,7 @@ def write_table(
     if exists and not destroy and batch.isEmpty():
         pass
     elif destroy or not exists or policy == "replace_all":
-        write_dataset(batch, path, partition_by=["day"], clear=True, compression=compression)
+        publish(batch, path, ["day"], whole=True, compression=compression)
     else:
         _fit_table(spark, path, batch, compression)
         _replace_days(batch, path, ts, start, end, scope, compression)
@@ -197,20 +221,16 @@ def _fit_table(spark: SparkSession, path: str, new: DataFrame, compression: str)
     """The table; it is first written anew if the new rows need a wider number type, since its files share one."""
     table = spark.read.option("mergeSchema", "true").parquet(path)
     target = widened(table.schema, new.schema)
+    refuse_lost_digits(new, target)
     if all(a.dataType == b.dataType for a, b in zip(table.schema.fields, target.fields)):
         return table
-    copy_path = shared_dir(spark, "widened")
-    copy = staged(_cast(table, target), compression, copy_path)
-    write_dataset(copy, path, partition_by=["day"], clear=True, compression=compression)
-    _delete(spark, copy_path)
+    refuse_lost_digits(table, target)
+    publish(_cast(table, target), path, ["day"], whole=True, compression=compression)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def _replace_days(batch, path, ts, start, end, scope, compression) -> None:
-    """Write the touched days anew, then delete those of them that have no rows left.
-
-    Days without rows left are known before anything is overwritten; a rerun after a failure finds them again.
-    """
+    """Write the touched days anew; those of them that have no rows left go."""
     spark = batch.sparkSession
     span = batch.agg(F.min(ts), F.max(ts)).first()
     lo, hi = parse_bound(start) or span[0], parse_bound(end, end=True) or span[1]
@@ -222,14 +242,8 @@ def _replace_days(batch, path, ts, start, end, scope, compression) -> None:
     batch_days = F.broadcast(batch.select(F.col("day").alias("_day")).distinct())
     other_days = table.filter(~in_range).join(batch_days, F.col("day").eqNullSafe(F.col("_day")), "left_semi")
     kept = rows_outside(touched.unionByName(other_days), batch, ts, start, end, scope)
-    content_path = shared_dir(spark, "content")
-    content = staged(evolve(kept, batch), compression, content_path)
-    left = F.broadcast(content.select("day").distinct())
-    emptied = [r[0] for r in touched.select("day").distinct().join(left, "day", "left_anti").collect()]
-    overwrite_partitions(content, path, ["day"], compression)
-    for day in emptied:
-        _delete(spark, f"{path.rstrip('/')}/day={day}")
-    _delete(spark, content_path)
+    days = [f"day={r[0]}" for r in touched.select("day").distinct().collect()]
+    publish(evolve(kept, batch), path, ["day"], among=days, compression=compression)
 
 
 def value_type_of(value: Column) -> Column:
