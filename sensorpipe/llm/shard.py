@@ -18,6 +18,8 @@ SHARDS = 40
 #: Rows in a block on average, until there are MOST_BLOCKS; from then on blocks grow with the number of rows.
 BLOCK_ROWS = 400
 MOST_BLOCKS = 8192
+#: Repeated rows that one row of counts is unrolled into at a time.
+COPIES = 10_000
 
 
 def hypergeometric(draws: int, good: int, bad: int, rng: random.Random) -> int:
@@ -82,23 +84,34 @@ def _mixed(seed: str, *columns: str) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
+def _unrolled(counted: DataFrame, own: list[str]) -> DataFrame:
+    """Rows as often as ``n`` says, repeated ones told apart by ``salt`` from 0; many copies are dealt over tasks."""
+    few = counted.filter(F.col("n") <= COPIES).select(*own, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("salt"))
+    pieces = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))
+    many = counted.filter(F.col("n") > COPIES).select(*own, "n", F.explode(pieces).alias("piece")).repartition(*own, "piece")
+    first = F.col("piece") * COPIES
+    return few.unionByName(many.select(*own, F.explode(F.sequence(first, F.least(F.col("n"), first + COPIES) - 1)).alias("salt")))
+
+
 def shuffle_into_shards(docs: DataFrame, shards: int = SHARDS, seed: int = 7, text: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) for every row; shard sizes differ by one row at most.
 
     Rows stand in blocks by a hash. The matrix says exactly how many rows of each block each shard gets; rows are
     permuted inside their block and dealt out by it, exchanged, and permuted again inside the shard, where ``slot``
-    numbers them from 0. All choices are hashes of row values and the seed, so a task that runs again chooses alike.
+    numbers them from 0. All choices are hashes of row values, of the number of a row among its equals, and of the seed:
+    a task or a job that runs again chooses alike, also where files are split in another way.
 
-    ``size`` is the UTF-8 length plus 16, or 16 for null, whose crc32 is that of the empty text. Repeated rows take
-    places of their own; which of them takes which makes no difference. Other columns are not read.
+    ``size`` is the UTF-8 length plus 16, or 16 for null, whose crc32 is that of the empty text. Repeated rows are
+    counted and take places of their own. Other columns are not read.
     """
     spark = docs.sparkSession
     value = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(value) + 16).cast("long").alias("size"), F.crc32(F.encode(value, "utf-8")).alias("text_crc32"))
-    rows = staged(rows)
-    blocks = max(1, min(MOST_BLOCKS, math.ceil(rows.count() / BLOCK_ROWS)))
-    own = ["doc_id", "size", "text_crc32"]
-    dealt = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20)))
+    own = rows.columns
+    counted = staged(rows.groupBy(*own).agg(F.count(F.lit(1)).alias("n")))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    blocks = max(1, min(MOST_BLOCKS, math.ceil(total / BLOCK_ROWS)))
+    dealt = _unrolled(counted, own)
     placed = staged(dealt.withColumn("block", F.pmod(_mixed(f"block{seed}", *own, "salt"), F.lit(blocks)).cast("int")))
     ends = matrix(spark, placed.groupBy("block").agg(F.count(F.lit(1)).alias("n")), shards, seed)
     order = Window.partitionBy("block").orderBy(_mixed(f"deal{seed}", *own, "salt"), *own, "salt")

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -239,6 +240,16 @@ def test_shards_are_exact_and_mixed(spark, docs, none):
     assert shard.shuffle_into_shards(none).count() == 0
 
 
+def test_shards_do_not_follow_the_splits(docs, monkeypatch):
+    monkeypatch.setattr(shard, "COPIES", 3)
+    repeated = docs.unionByName(docs.filter("doc_id = 9")).unionByName(docs.filter("doc_id = 9 OR doc_id IS NULL"))
+    placed = [sorted(map(str, shard.shuffle_into_shards(repeated.repartition(n), 5).collect())) for n in (1, 7)]
+    assert placed[0] == placed[1]
+    values = Counter((r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in repeated.collect())
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in shard.shuffle_into_shards(repeated, 5).collect()) == values
+    assert max(values.values()) > 3
+
+
 def test_without_keeps_all_columns(docs):
     gone = exact.exact_duplicates(docs).filter("not kept")
     left = spread.without(docs, gone)
