@@ -436,6 +436,12 @@ SELECT {bucket('60 seconds', '"Time"')} AS "Time", device_id, sensor, round(avg(
 SQL["agg_raw_60s"] = AGG_60S
 SQL["agg_raw_10s_median"] = f"""
 SELECT {bucket('10 seconds', '"Time"')} AS "Time", device_id, sensor, round(median(value), 2) AS value FROM ({RAW}) GROUP BY ALL"""
+SQL["rollup_levels"] = " UNION ALL ".join(
+    f"""
+SELECT '{level}' AS level, {at} AS ts, device_id, metric, count(value) AS n, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high
+FROM ({READINGS}) WHERE ts IS NOT NULL GROUP BY ALL"""
+    for level, at in {"60s": bucket("60 seconds", "ts"), "1h": bucket("1 hour", "ts"), "1d": bucket("1 day", "ts"), "1mo": "CAST(date_trunc('month', ts) AS TIMESTAMP)"}.items()
+)
 SQL["first_last_time"] = f"SELECT device_id, min(ts) AS first_ts, max(ts) AS last_ts FROM ({READINGS}) GROUP BY device_id"
 SQL["days_present"] = "SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events"
 SQL["null_count"] = f"""

@@ -7,6 +7,7 @@ device = supplier, time = ship date, four value columns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from sensorpipe.functions import naming
 from sensorpipe.functions.rounding import round_by_metric, round_columns
 from sensorpipe.functions.times import normalize_time_text, time_bucket
 from sensorpipe.functions.transforms import derive, gaussianise
+from sensorpipe.operators import rollup
 from sensorpipe.operators import select as sel
 from sensorpipe.operators.aggregate import (
     aggregate_by_domain,
@@ -591,6 +593,18 @@ def agg_raw_10s_median(spark, sf):
     return long_aggregate(_raw(spark, sf), "10s", "median")
 
 
+@query
+def rollup_levels(spark, sf):
+    """Ten-second states of two micro-batches, the second one late, compacted and rolled up to four levels."""
+    rows, path = readings(spark, sf), shared_dir(spark, "states")
+    late = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    for number, batch in enumerate((rows.filter(~late), rows.filter(late))):
+        rollup.add_states(rollup.bucket_states(batch, "10s"), path, number)
+    rollup.compact_states(spark, path, 1, "10s")
+    levels = [rollup.finished(rollup.read_states(spark, path, level, "10s")).select(F.lit(level).alias("level"), "*") for level in ("60s", "1h", "1d", "1mo")]
+    return reduce(DataFrame.unionByName, levels).withColumn("mean", F.round("mean", 6))
+
+
 @query
 def first_last_time(spark, sf):
     return time_span(readings(spark, sf), by=["device_id"])
