@@ -7,6 +7,7 @@ each cell: whether another chunk holds it too. So the sketch is never whole in o
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,12 +23,16 @@ from sensorpipe.llm.ship import ship
 from sensorpipe.session import staged
 
 WINDOW = 20
-#: Words in a chunk, about; a longer document is a chunk of its own.
+#: Words in a chunk of a small table, about, and how often that doubles for a large one. A longer document is a chunk of its own.
 CHUNK_WORDS = 1 << 20
+CHUNK_DOUBLINGS = 2
 #: Rows of the sketch. Each has at least as many cells as the texts have bytes, some six to twelve times the windows.
 DEPTH = 2
-#: Cells that one task merges.
+#: Cells that one task merges, as a power of two: of a small table, and of a large one at most.
 BLOCK_BITS = 23
+MOST_BLOCK_BITS = 25
+#: Blocks up to which neither blocks nor chunks grow, as a power of two.
+FEW_BLOCKS = 10
 _LAST = np.iinfo(np.int64).max
 _U = np.uint64
 
@@ -37,6 +42,15 @@ class Plan(NamedTuple):
     depth: int
     cell_bits: int
     block_bits: int
+    chunk_words: int
+
+
+def sized(size: int, window: int = WINDOW, depth: int = DEPTH) -> Plan:
+    """The sketch for so many bytes of text. Chunks exchange a row with every block, so both grow before rows get short."""
+    cell_bits = max(20, int(size).bit_length())
+    block_bits = min(max(16, cell_bits - 4), max(BLOCK_BITS, min(MOST_BLOCK_BITS, cell_bits - FEW_BLOCKS)))
+    doublings = min(CHUNK_DOUBLINGS, max(0, cell_bits - block_bits - FEW_BLOCKS))
+    return Plan(window, depth, cell_bits, block_bits, CHUNK_WORDS << doublings)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -124,24 +138,44 @@ def _blocks(cells: np.ndarray, plan: Plan) -> Iterator[tuple[int, slice]]:
         yield int(block[a]), slice(int(a), int(b))
 
 
+def _plain_bits(n: int, plan: Plan) -> int:
+    """How many low bits of each of ``n`` cells of a block are written as they are, in steps of four."""
+    return 4 * round(math.log2((1 << plan.block_bits) / n) / 4)
+
+
 def _write_cells(cells: np.ndarray, plan: Plan) -> bytes:
-    """Sorted cells of one block, two bytes each: how many there are in each stretch of 2**16, then their low bits."""
-    inside = cells & _U((1 << plan.block_bits) - 1)
-    counts = np.bincount((inside >> _U(16)).astype(np.int64), minlength=1 << max(0, plan.block_bits - 16))
-    return counts.astype("<u4").tobytes() + inside.astype("<u2").tobytes()
+    """Sorted cells of one block: their number, a mark for each among the steps of their high bits, their low bits.
+
+    A cell takes some two bits more than the logarithm of the gap to the next one, however few a chunk has in a block.
+    """
+    inside, n = (cells & _U((1 << plan.block_bits) - 1)).astype(np.int64), len(cells)
+    low = _plain_bits(n, plan)
+    marks = np.zeros(n + ((1 << plan.block_bits) >> low), np.uint8)
+    marks[(inside >> low) + np.arange(n)] = 1
+    halves = np.zeros((low // 4 * n + 1) // 2 * 2, np.uint8)
+    for i in range(low // 4):
+        halves[i * n : (i + 1) * n] = inside >> 4 * i & 15
+    return np.uint32(n).tobytes() + np.packbits(marks).tobytes() + (halves[::2] | halves[1::2] << 4).tobytes()
 
 
 def _read_cells(data: bytes, plan: Plan) -> np.ndarray:
-    stretches = 1 << max(0, plan.block_bits - 16)
-    counts = np.frombuffer(data, "<u4", stretches)
-    return np.repeat(np.arange(stretches, dtype=np.int64) << 16, counts) + np.frombuffer(data, "<u2", offset=4 * stretches)
+    n = int(np.frombuffer(data, np.uint32, 1)[0])
+    low = _plain_bits(n, plan)
+    marks = n + ((1 << plan.block_bits) >> low)
+    end = 4 + (marks + 7) // 8
+    cells = (np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, end - 4, 4), count=marks)) - np.arange(n)) << low
+    packed = np.frombuffer(data, np.uint8, offset=end)
+    halves = np.column_stack((packed & 15, packed >> 4)).ravel()
+    for i in range(low // 4):
+        cells |= halves[i * n : (i + 1) * n].astype(np.int64) << 4 * i
+    return cells
 
 
 _PACKED = "chunk long, data binary"
 _SKETCH = "chunk long, sketch_row int, block int, data binary"
 
 
-def _pack_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack_chunks(batches: Iterator[pa.RecordBatch], chunk_words: int) -> Iterator[pa.RecordBatch]:
     """Documents packed into chunks; a chunk's number holds that of its task, and is fixed once it has been written."""
     chunk = TaskContext.get().partitionId() << 32
     ids, texts, words = [], [], 0
@@ -154,7 +188,7 @@ def _pack_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids.append(doc_id.as_py())
             texts.append(text.as_py())
             words += len(texts[-1] or "") // 6 + 1
-            if words >= CHUNK_WORDS:
+            if words >= chunk_words:
                 yield close()
                 ids, texts, words, chunk = [], [], 0, chunk + 1
     if ids:
@@ -201,8 +235,8 @@ def _estimated(hashes: np.ndarray, answers: pd.DataFrame, plan: Plan) -> np.ndar
     return repeated
 
 
-#: What a chunk tells of a window: its hash in 96 bits, its document, and its place in the chunk.
-_FIELDS = (("first", "<u8"), ("second", "<u4"), ("doc_id", "<i8"), ("at", "<u4"))
+#: What a chunk tells of a window: its hash in 128 bits, its document, and its place in the chunk.
+_FIELDS = (("first", "<u8"), ("second", "<u8"), ("doc_id", "<i8"), ("at", "<u4"))
 _SIZES = [np.dtype(kind).itemsize for _, kind in _FIELDS]
 
 
@@ -232,7 +266,7 @@ def _ask(packed: pd.DataFrame, answers: pd.DataFrame, plan: Plan) -> pd.DataFram
         chunk = _unpack(data, plan.window)
         first, second = chunk.hashes()
         of = np.flatnonzero(_estimated(first, answers, plan))
-        doc_id, first, second, at = chunk.order()[chunk.doc[of]], first[of], second[of].astype(np.uint32), chunk.at[of]
+        doc_id, first, second, at = chunk.order()[chunk.doc[of]], first[of], second[of], chunk.at[of]
         sort = np.lexsort((at, doc_id, second, first))
         first, second, doc_id, at = (x[sort] for x in (first, second, doc_id, at))
         new = np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])] if len(of) else np.empty(0, bool)
@@ -293,17 +327,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, de
     own, in the order of the input. ``kept`` is the remaining words joined by one space, or their SHA-256. Null and empty texts have no words.
     Other columns are not read.
 
-    Windows are one when two hashes of their words, of 96 bits together, agree. The sketch never underestimates a count, so no repeated
+    Windows are one when two hashes of their words, of 64 bits each, agree. The sketch never underestimates a count, so no repeated
     window is lost; what it overestimates, the exact grouping sorts out. A chunk asks for each window once, however
     often it holds it, so a passage that very many documents share does not gather in one task.
     """
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    cell_bits = max(20, int(size).bit_length())
-    plan = Plan(window, depth, cell_bits, min(BLOCK_BITS, max(16, cell_bits - 4)))
+    plan = sized(size, window, depth)
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    packed = staged(picked.mapInArrow(_pack_chunks, _PACKED), compression="uncompressed")
+    packed = staged(picked.mapInArrow(lambda batches: _pack_chunks(batches, plan.chunk_words), _PACKED), compression="uncompressed")
     cells = packed.mapInArrow(lambda batches: _sketch(batches, plan), _SKETCH)
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:

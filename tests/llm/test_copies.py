@@ -161,10 +161,35 @@ def without_repeats(rows, size=20):
 @pytest.mark.parametrize("chunk", [20, 1 << 20])
 def test_repeats(docs, monkeypatch, chunk):
     monkeypatch.setattr(substring, "CHUNK_WORDS", chunk)
-    got = substring.remove_repeats(docs.filter("doc_id is not null")).collect()
-    rows = docs.filter("doc_id is not null").collect()
-    assert Counter(tuple(r) for r in got) == without_repeats(rows)
-    assert substring.remove_repeats(docs).count() == docs.count()
+    got = substring.remove_repeats(docs).collect()
+    assert Counter(tuple(r) for r in got) == without_repeats(docs.collect())
+
+
+def test_repeats_among_rows_without_id(spark):
+    passage = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, passage + " end"), (7, "begin " + passage), (None, passage)]
+    got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert Counter(tuple(r) for r in got) == Counter([(None, 31, 30, "end"), (7, 31, 0, "begin " + passage), (None, 30, 30, "")])
+
+
+@pytest.mark.parametrize("size", [0, 10**5, 10**9, 10**12])
+@pytest.mark.parametrize("n", [1, 2, 3, 100, 8191])
+def test_sketch_shares_are_read_as_written(size, n):
+    plan = substring.sized(size)
+    cells = np.unique(np.random.default_rng(n).integers(0, 1 << plan.block_bits, n).astype(np.uint64))
+    cells = np.unique(np.r_[cells, np.uint64((1 << plan.block_bits) - 1)])
+    assert (substring._read_cells(substring._write_cells(cells + np.uint64(3 << plan.block_bits), plan), plan) == cells.astype(np.int64)).all()
+
+
+def test_sketch_shares_stay_small_in_large_tables():
+    """Bytes that a window sends to one row of the sketch, for full chunks and the cells that a table of this size has."""
+    cost = {}
+    for size in (5 * 10**8, 10**12):
+        plan = substring.sized(size)
+        n = max(1, plan.chunk_words >> plan.cell_bits - plan.block_bits)
+        cells = np.unique(np.random.default_rng(2).integers(0, 1 << plan.block_bits, n).astype(np.uint64))
+        cost[size] = len(substring._write_cells(cells, plan)) / n
+    assert cost[5 * 10**8] < 1.9 and cost[10**12] < 3
 
 
 def test_repeats_of_nothing(none):
