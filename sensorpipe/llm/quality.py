@@ -173,6 +173,15 @@ class Hasher:
 _HASHER = Hasher()
 
 
+def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as sparse features: from here on no text travels."""
+    for batch in batches:
+        made = [_HASHER.features(t.as_py()) for t in batch.column("text")]
+        columns = {n: batch.column(n) for n in batch.schema.names if n != "text"}
+        index, value = pa.array([i for i, _ in made], pa.list_(pa.int32())), pa.array([v for _, v in made], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_pydict(columns | {"index": index, "value": value})
+
+
 def _fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> np.ndarray:
     """Logistic regression on soft labels by AdaGrad; the last weight is the constant."""
     weight, seen = np.zeros((1 << HASH_BITS) + 1), np.full((1 << HASH_BITS) + 1, 1e-6)
@@ -196,7 +205,8 @@ class Model(NamedTuple):
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
-    """Votes of all documents give the accuracies; a bounded sample with posterior labels fits the scorer in one task.
+    """Votes of all documents give the accuracies; a bounded sample with posterior labels fits the scorer in one task,
+    which gets hashed features, at most 2 to the power of ``HASH_BITS`` a document, and no text.
 
     There are at most 3 to the power of the number of labellers patterns of votes, whatever the number of documents.
     """
@@ -209,17 +219,16 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     votes, counts = np.array([r["votes"] for r in patterns]), np.array([r["count"] for r in patterns], np.float64)
     labels = expectation_maximisation(votes, counts)
     some = staged(voted.dropDuplicates(["key"]).orderBy("key").limit(MOST_FITTED))
-    sample = picked.join(F.broadcast(some), "key").dropDuplicates(["key"])
+    sample = picked.join(F.broadcast(some), "key")
+    hashed = sample.mapInArrow(_hash, "key long, votes array<int>, index array<int>, value array<double>").dropDuplicates(["key"])
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frames = [b for b in batches if len(b)]
         if frames:
             rows = pd.concat(frames, ignore_index=True)
-            hasher = Hasher()
-            made = [hasher.features(t) for t in rows["text"]]
-            yield pd.DataFrame({"weight": [_fit(made, labels.posterior(np.stack(rows["votes"].to_numpy())))]})
+            yield pd.DataFrame({"weight": [_fit(list(zip(rows["index"], rows["value"])), labels.posterior(np.stack(rows["votes"].to_numpy())))]})
 
-    weight = sample.select("text", "votes", "key").coalesce(1).sortWithinPartitions("key").mapInPandas(fit, "weight array<double>").first()
+    weight = hashed.repartition(1).sortWithinPartitions("key").mapInPandas(fit, "weight array<double>").first()
     return Model(labels, np.array(weight["weight"]))
 
 

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -245,6 +246,11 @@ def test_quality(spark, docs, none):
     again = quality.score(docs, model).collect()
     assert len(again) == docs.count() and all(r.score == 0 for r in again if r.doc_id in (4, 5, 6))
     assert quality.score(none, quality.train(none)).count() == 0
+    more = frame.withColumns({"key": F.lit(1), "votes": F.lit("x"), "index": F.lit(2.0), "score": F.lit(None)})
+    alike = quality.train(more)
+    assert (alike.weight == quality.train(frame).weight).all()
+    twice = quality.score(more.union(more), alike).collect()
+    assert len(twice) == 2 * len(scored) and all(r.score == scored[r.doc_id] for r in twice)
 
 
 def vectors(spark):
