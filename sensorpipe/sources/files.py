@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,7 @@ from sensorpipe.functions import naming
 from sensorpipe.functions.times import parse_bound, parse_time
 from sensorpipe.operators.reshape import readings_to_long, to_raw_long
 from sensorpipe.operators.select import filter_range, resolve_time_column
+from sensorpipe.session import staged
 from sensorpipe.sources.keyvalue import parse_lines_lenient
 
 
@@ -85,11 +87,10 @@ def read_csv(
     """Comma-separated files with a header. Without a schema the types are inferred, which reads the files twice.
 
     Files with unlike headers, in order or in names, are read each by its own header; a column that a file lacks is
-    null. That looks at the first line of every file, as Spark's own list of files does at every file.
+    null. The first block of every file is looked at for that (``first_lines``); the driver gets the distinct headers,
+    and names of files only where headers differ.
     """
-    headers: dict[str, list[str]] = {}
-    for file, line in first_lines(spark, path, pattern=pattern, recursive=recursive):
-        headers.setdefault(line, []).append(file)
+    headers = _by_kind(staged(first_lines(spark, path, pattern=pattern, recursive=recursive).withColumnRenamed("line", "kind")))
     options = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]['Z']"}
     if null_text is not None:
         options |= {"nullValue": null_text, "nanValue": null_text}
@@ -128,28 +129,90 @@ def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)
 
 
-def first_lines(spark: SparkSession, path: str | Sequence[str], *, pattern: str = "*", recursive: bool = False) -> list[tuple[str, str]]:
-    """Each text file with its first line that is not blank. As many rows as files, which the driver lists anyway."""
+#: Schemes of paths whose files a task can open by itself, and what its library calls them. Others are scanned.
+OPENED = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
+#: Bytes that are read of a file at a time until it has a line that is not blank.
+PROBE = 1 << 16
+
+
+def first_lines(spark: SparkSession, path: str | Sequence[str], *, pattern: str = "*", recursive: bool = False) -> DataFrame:
+    """(file_path, line): each text file with its first line that is not blank; Parquet and blank files have no row.
+
+    Files are listed without their contents, dealt out to tasks, and read up to that line only; what a suffix says is
+    compressed is unpacked. Where tasks cannot open the paths, all text is scanned instead, with the same rows.
+    """
+    listed = _reader(spark, pattern, recursive).format("binaryFile").load(path).select("path")
+    listed = listed.filter(~F.lower("path").endswith(".parquet"))
+    schemes = {p.split(":", 1)[0] for p in ([path] if isinstance(path, str) else path) if re.match(r"[a-z][a-z0-9+.-]+:", p)}
+    schemes = schemes or {spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").split(":", 1)[0]}
+    if not schemes <= OPENED.keys():
+        return _scanned_first_lines(spark, path, pattern, recursive)
+    names, size = OPENED, PROBE
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            files, lines = [], []
+            for file in batch.column("path").to_pylist():
+                scheme, rest = file.split(":", 1)
+                if scheme == "file":
+                    system, at = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    system, at = fs.FileSystem.from_uri(f"{names[scheme]}:{quote(rest)}")
+                text, line = b"", None
+                with system.open_input_stream(at, compression="detect") as stream:
+                    while line is None:
+                        block = stream.read(size)
+                        # Only whole lines count, until the file ends.
+                        *whole, text = (text + block).splitlines(keepends=True) or [b""]
+                        if not block or text.endswith(b"\n"):
+                            whole, text = [*whole, text], b""
+                        line = next((w for w in whole if w.strip(b" \r\n")), None)
+                        if not block:
+                            break
+                if line is not None:
+                    files.append(file)
+                    lines.append(line.rstrip(b"\r\n").decode("utf-8", "replace").removeprefix("\ufeff"))
+            yield pa.RecordBatch.from_pydict({"file_path": pa.array(files, pa.string()), "line": pa.array(lines, pa.string())})
+
+    return listed.mapInArrow(probe, "file_path string, line string")
+
+
+def _scanned_first_lines(spark: SparkSession, path: str | Sequence[str], pattern: str, recursive: bool) -> DataFrame:
+    """The rows of ``first_lines`` from a scan of all text."""
     lines = _reader(spark, pattern, recursive).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("number"))
     place = F.struct("file_block_start", "number")
     first = lines.filter((F.trim("value") != "") & ~F.lower("file_path").endswith(".parquet")).groupBy("file_path").agg(F.min_by("value", place).alias("line"))
-    return sorted((unquote(r["file_path"]), r["line"]) for r in first.collect())
+    # Paths in metadata are encoded as in a URL.
+    return first.select(F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B"))).alias("file_path"), F.regexp_replace("line", "^\ufeff", "").alias("line"))
 
 
-def _kind_of(line: str) -> str:
-    return "keyvalue" if ";" in line and ":" in line and "," not in line.split(";")[0] else "csv"
+def _by_kind(files: DataFrame) -> dict[str, list[str]]:
+    """The distinct ``kind`` of files, each with its files; of one kind alone the files are not listed."""
+    kinds = sorted(r["kind"] for r in files.select("kind").distinct().collect())
+    found: dict[str, list[str]] = {kind: [] for kind in kinds}
+    if len(kinds) > 1:
+        for row in files.orderBy("file_path").toLocalIterator():
+            found[row["kind"]].append(row["file_path"])
+    return found
+
+
+def _kind_of(line: Column) -> Column:
+    """``keyvalue`` or ``csv``, by the first line of a file."""
+    keyvalue = line.contains(";") & line.contains(":") & ~F.substring_index(line, ";", 1).contains(",")
+    return F.when(keyvalue, "keyvalue").otherwise("csv")
 
 
 def sniff_formats(spark: SparkSession, path: str, *, pattern: str = "*", recursive: bool = False) -> dict[str, list[str]]:
-    """Files by format: ``parquet`` by suffix, others ``keyvalue`` or ``csv`` by their own first line."""
-    found: dict[str, list[str]] = {}
-    listed = _reader(spark, pattern, recursive).format("binaryFile").load(path).inputFiles()
-    if parquet := sorted(unquote(f) for f in listed if f.lower().endswith(".parquet")):
-        found["parquet"] = parquet
-    if len(parquet) < len(listed):
-        for file, line in first_lines(spark, path, pattern=pattern, recursive=recursive):
-            found.setdefault(_kind_of(line), []).append(file)
-    return found
+    """Files by format: ``parquet`` by suffix, others ``keyvalue`` or ``csv`` by their own first line.
+
+    A folder of one format alone gives that format and no names of files.
+    """
+    listed = _reader(spark, pattern, recursive).format("binaryFile").load(path).select(F.col("path").alias("file_path"))
+    parquet = listed.filter(F.lower("file_path").endswith(".parquet")).withColumn("kind", F.lit("parquet"))
+    texts = first_lines(spark, path, pattern=pattern, recursive=recursive).select("file_path", _kind_of(F.col("line")).alias("kind"))
+    return _by_kind(staged(parquet.unionByName(texts)))
 
 
 def identify(

@@ -1,6 +1,7 @@
 """Reading, parsing and what names say."""
 
 import datetime as dt
+import gzip
 
 import pytest
 from pyspark.sql import functions as F
@@ -209,3 +210,40 @@ def test_aggregate(spark, rows):
         specs_of([{"metric": "a", "method": "max"}])
     with pytest.raises(ValueError):
         long_aggregate(raw, "sixty")
+
+
+def test_first_lines_are_those_of_a_scan(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "a +b%20"
+    (folder / "sub").mkdir(parents=True)
+    texts = {
+        "plain.csv": b"a,b\n1,2\n",
+        "blank first.csv": b"\r\n  \r\n\na,c\r\n1,2",
+        "old mac.csv": b"a,b\r1,2\r",
+        "one line.csv": b"x,y",
+        "nothing.csv": b"",
+        "blank.csv": b"\n \n",
+        "long+.csv": b"c" * 200_000 + b",d\n1,2\n",
+        "marked.csv": b"\xef\xbb\xbfa,b\n",
+        "other.csv.gz": gzip.compress(b"\nt;a:1\nt;a:2\n"),
+        "sub/deep.csv": b"a,b\n",
+    }
+    for name, content in texts.items():
+        (folder / name).write_bytes(content)
+    spark.range(1).write.parquet(str(folder / "sub" / "pq"))
+    names = lambda df: {(r.file_path.rsplit("/", 1)[-1], r.line) for r in df.collect()}
+    probed = names(files.first_lines(spark, str(folder), recursive=True))
+    assert len(probed) == 8 and probed == names(files._scanned_first_lines(spark, str(folder), "*", True))
+    kinds = files.sniff_formats(spark, str(folder), recursive=True)
+    assert {k: len(v) for k, v in kinds.items()} == {"csv": 7, "keyvalue": 1, "parquet": len(list(folder.glob("sub/pq/*.parquet")))}
+    assert spark.read.text(kinds["csv"]).count() > 0
+    monkeypatch.setattr(files, "OPENED", {})
+    assert names(files.first_lines(spark, str(folder), recursive=True)) == probed
+
+
+def test_a_folder_of_one_header_lists_no_files(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.csv").write_text(f"a,b\n{i},2\n")
+    assert files.sniff_formats(spark, str(tmp_path)) == {"csv": []}
+    assert files.read_csv(spark, str(tmp_path), schema="a int, b int").agg(F.sum("a")).first()[0] == 10
+    listed = spark.read.format("binaryFile").load(str(tmp_path)).select("path")
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
