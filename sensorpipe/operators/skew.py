@@ -23,7 +23,11 @@ from sensorpipe.session import checkpointed, staged
 ROWS_PER_TASK = 4_000_000
 #: Rows of a few keys and values each that may be broadcast.
 BROADCAST_ROWS = 200_000
+#: Slices of fewer rows share a task and its file.
+ROWS_PER_RUN = 100_000
 PART = "_part"
+#: ``monotonically_increasing_id`` holds the number of the row within its task in these bits.
+_ROW_BITS = (1 << 33) - 1
 
 
 def _match(keys: Sequence[str]) -> Column:
@@ -97,8 +101,10 @@ def split_hot(
     Slices are the ranges of a sort of all hot rows by keys, order and row content, cut by sampled quantiles: stray
     times far away from all others do not matter, and rows of one instant are parted like any. ``_part`` grows with
     ``order``, so a window over keys and part, plus what the earlier parts pass on (``edges``), gives the same rows as a
-    window over the keys alone; only rows that are equal in every column stay together. With no hot group the frame is
-    returned as it is.
+    window over the keys alone. With no hot group the frame is returned as it is.
+
+    Tasks and files follow the number of rows: where ``rows_per_task`` is below ROWS_PER_RUN, a task sorts a longer run
+    and cuts it into slices of ``rows_per_task``.
 
     Only the rows of hot groups are written to the shared folder, which fixes their slices; the others stay as they are.
     ``counted`` (keys and ``_n``) can stand in for counting ``df`` where that is cheaper.
@@ -107,10 +113,13 @@ def split_hot(
     if hot is None:
         return df
     rows = hot.agg(F.sum("_n")).first()[0]
-    slices = -(-2 * rows // rows_per_task)
-    content = content_hash(df)
-    ranged = lookup(df, hot, keys, [], "left_semi").repartitionByRange(slices, *keys, *order, content)
-    cut = staged(ranged.withColumn(PART, F.spark_partition_id().cast("bigint")))
+    sort = [*keys, *order, content_hash(df)]
+    ranged = lookup(df, hot, keys, [], "left_semi").repartitionByRange(-(-2 * rows // max(rows_per_task, ROWS_PER_RUN)), *sort)
+    part = F.spark_partition_id().cast("bigint")
+    if rows_per_task < ROWS_PER_RUN:
+        ranged, place = ranged.sortWithinPartitions(*sort), F.monotonically_increasing_id()
+        part = place - place.bitwiseAND(F.lit(_ROW_BITS)) % rows_per_task
+    cut = staged(ranged.withColumn(PART, part))
     return cut.unionByName(lookup(df, hot, keys, [], "left_anti").withColumn(PART, F.lit(None).cast("bigint")))
 
 

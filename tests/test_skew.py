@@ -135,6 +135,16 @@ def test_slices_are_even(spark):
     assert sum(sizes) == 60_000 and max(sizes) <= 2 * 3_000
 
 
+def test_small_slices_share_tasks_and_files(spark):
+    """Slices of 3 rows out of 3,000: each in its bounds and in order, in one file and not in 2,000."""
+    rows = spark.range(3_000).select(F.lit("a").alias("device_id"), (F.col("id") % 1_000).alias("ts"), "id")
+    parts = split_hot(rows, ["device_id"], ["ts"], 3)
+    assert len(parts.inputFiles()) == 1
+    slices = sorted(tuple(r) for r in parts.groupBy(PART).agg(F.count("*"), F.min("ts"), F.max("ts")).collect())
+    assert sum(n for _, n, _, _ in slices) == 3_000 and max(n for _, n, _, _ in slices) <= 3
+    assert all(high <= low for (_, _, _, high), (_, _, low, _) in zip(slices, slices[1:]))
+
+
 def test_asof_ties_alike_on_both_paths(spark, rows):
     seen = [("a", "2026-01-01 00:00:00", None, 7.0), ("a", "2026-01-01 00:00:00", 1, 8.0), ("a", "2026-01-01 00:00:00", 1, 9.0), ("b", "2026-01-01 00:00:00", None, 7.0)]
     right = spark.createDataFrame(seen, "device_id string, ts string, rank int, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
