@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sensorpipe.constants import INTERPOLATED, MISSING, RESAMPLED
-from sensorpipe.functions.times import Duration, micros, plus_micros, time_bucket, whole_seconds_between
+from sensorpipe.functions.times import Duration, micros, plus_micros, time_bucket
 from sensorpipe.operators.asof import last_per_time, match_backward
 from sensorpipe.operators.fill import linear_between
 from sensorpipe.operators.skew import PART, ROWS_PER_TASK, carry, group_keys, split_hot, with_edges
@@ -20,6 +20,8 @@ from sensorpipe.session import staged
 log = logging.getLogger(__name__)
 
 BLOCK_CELLS = 8192
+#: Cells of a block that is shuffled for a write: few, as shuffles are cut by the size of blocks, not of cells.
+DEALT_CELLS = 16
 _FILLS = (None, "forward", "linear", "nearest", "true_linear")
 
 
@@ -113,13 +115,15 @@ def _filled(intervals: DataFrame, series: Sequence[str], step: int, interpolatio
     return out
 
 
-def _cells(intervals: DataFrame, series: Sequence[str], ts: str, step: int, block_cells: int, spread: bool) -> DataFrame:
-    """The cells of intervals; long ones are unrolled in blocks, which are dealt out first where there are very many."""
-    # Taken out of its struct before rows are multiplied.
-    intervals = intervals.withColumns({"_lo": F.col("grid.lo"), "unit": F.col("grid.unit")}).drop("grid")
+def _cells(intervals: DataFrame, ts: str, step: int, block_cells: int, deal: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """The cells of intervals; long ones are unrolled in blocks, which ``deal`` may send to other tasks first."""
+    # Taken out of their structs, and times turned into numbers, before rows are multiplied.
+    plain = {"_lo": F.col("grid.lo"), "unit": F.col("grid.unit"), "_flag": F.col("match.quality_flag")}
+    plain["_ahead"] = micros(F.col("grid.lo")) - micros(F.col("match.obs_ts"))
+    intervals = intervals.withColumns(plain).drop("grid", "match")
     blocks = intervals.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("last") - F.col("first")) / block_cells))))
-    if spread:
-        blocks = blocks.repartition(*series, "first", "_block")
+    if deal:
+        blocks = deal(blocks)
     begin = F.col("first") + F.col("_block") * block_cells
     cells = blocks.withColumn("cell", F.explode(F.sequence(begin, F.least(begin + (block_cells - 1), F.col("last")))))
     if "before" in cells.columns:
@@ -127,7 +131,7 @@ def _cells(intervals: DataFrame, series: Sequence[str], ts: str, step: int, bloc
         line = F.when(after["p"] > before["p"], before["v"] + (after["v"] - before["v"]) * ((cell - before["p"]) / (after["p"] - before["p"])))
         at = F.when(cell == before["p"], before["v"]).when(before.isNotNull() & after.isNotNull(), line)
         cells = cells.withColumn("value", F.coalesce("value", at))
-    return cells.withColumn(ts, plus_micros(F.col("_lo"), F.col("cell") * step))
+    return cells.withColumns({ts: plus_micros(F.col("_lo"), F.col("cell") * step), "_gap": F.col("_ahead") + F.col("cell") * step})
 
 
 def grid(bounds: DataFrame, keys: Sequence[str], ts: str, freq: str | Duration, block_cells: int = BLOCK_CELLS) -> DataFrame:
@@ -245,25 +249,51 @@ def aligned(
     ``seen`` and ``cells`` are the most observations and cells of any one series.
     """
     intervals = _intervals(observed, bounds, series, ts, step, tie, by_day, (seen or 0) > rows_per_task, rows_per_task)
-    return _marked(_cells(_filled(intervals, series, step, interpolation), series, ts, step, block_cells, (cells or 0) > rows_per_task), ts)
+    spread = (lambda blocks: blocks.repartition(*series, "first", "_block")) if (cells or 0) > rows_per_task else None
+    return _marked(_cells(_filled(intervals, series, step, interpolation), ts, step, block_cells, spread), ts)
 
 
-def _marked(out: DataFrame, ts: str) -> DataFrame:
-    """The columns of a resampled frame, from each cell's ``match``."""
-    obs_ts = F.col("match.obs_ts")
-    exact = F.coalesce(obs_ts == F.col(ts), F.lit(False))
+def aligned_in_places(
+    observed: DataFrame,
+    bounds: DataFrame,
+    step: int,
+    place: Callable[[DataFrame], DataFrame],
+    columns: Sequence[str],
+    *,
+    series: Sequence[str],
+    ts: str,
+    tie: Sequence[str] | None = None,
+    interpolation: str | None = None,
+    by_day: bool = False,
+    seen: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """``aligned``, together by the ``columns`` that ``place`` adds to intervals, which it may part; for a partitioned write.
+
+    Blocks of cells are rebalanced before they are unrolled, so cells need no shuffle of their own.
+    """
+    intervals = _intervals(observed, bounds, series, ts, step, tie, by_day, (seen or 0) > rows_per_task, rows_per_task)
+    placed = place(_filled(intervals, series, step, interpolation))
+    return _marked(_cells(placed, ts, step, DEALT_CELLS, lambda blocks: blocks.hint("rebalance", *columns)), ts, columns)
+
+
+def _marked(out: DataFrame, ts: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The columns of a resampled frame, from each cell's ``_gap`` in microseconds and ``_flag``, or else its ``match``."""
+    if "_gap" not in out.columns:
+        out = out.withColumns({"_gap": micros(F.col(ts)) - micros(F.col("match.obs_ts")), "_flag": F.col("match.quality_flag")})
+    exact = F.coalesce(F.col("_gap") == 0, F.lit(False))
     out = out.withColumns(
         {
             "is_interpolated": ~exact,
-            "gap_duration": F.when(exact, 0.0).otherwise(whole_seconds_between(obs_ts, F.col(ts))),
-            "quality_flag": F.when(obs_ts.isNull(), MISSING)
+            "gap_duration": F.when(exact, 0.0).otherwise((F.col("_gap") / 1_000_000).cast("bigint").cast("double")),
+            "quality_flag": F.when(F.col("_gap").isNull(), MISSING)
             .when(~exact, INTERPOLATED)
-            .otherwise(F.col("match.quality_flag"))
+            .otherwise(F.col("_flag"))
             .cast("bigint"),
         }
     )
     names = [ts if c == "ts" else c for c in RESAMPLED]
-    return out.select(*[c if c in out.columns else F.lit("").alias(c) for c in names])
+    return out.select(*[c if c in out.columns else F.lit("").alias(c) for c in names], *keep)
 
 
 def _take_first_match(df: DataFrame, series: Sequence[str], ts: str) -> DataFrame:

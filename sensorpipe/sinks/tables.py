@@ -15,6 +15,8 @@ from sensorpipe.operators.skew import ROWS_PER_TASK, attach
 from sensorpipe.session import shared_dir, staged
 from sensorpipe.sinks.publish import publish, recover
 
+#: Files that a task writes to at a time; where it meets more partitions, it sorts the rows of the others.
+OPEN_FILES = 8
 POLICIES = ("append", "replace", "replace_all")
 
 
@@ -41,11 +43,18 @@ def write_dataset(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], compression: str = "snappy") -> None:
-    """Replace just the partitions that occur in ``df``."""
-    rows = df.hint("rebalance", *partition_by)
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], compression: str = "snappy", together: bool = False) -> None:
+    """Replace just the partitions that occur in ``df``; ``together`` says that it has been rebalanced by them."""
+    rows = df if together else df.hint("rebalance", *partition_by)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression)
-    writer.partitionBy(*partition_by).parquet(path)
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    held = conf.get(name)
+    try:
+        # Rebalanced rows of a task belong to few partitions: that many files may be open, rather than all rows be sorted.
+        conf.set(name, max(int(held), OPEN_FILES))
+        writer.partitionBy(*partition_by).parquet(path)
+    finally:
+        conf.set(name, held)
 
 
 def map_columns(df: DataFrame, names: Mapping[str, str] | None) -> DataFrame:

@@ -14,14 +14,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sensorpipe.functions.times import Duration, micros, plus_micros
 from sensorpipe.operators.clean import clean
-from sensorpipe.operators.resample import aligned, series_bounds
+from sensorpipe.operators.resample import aligned_in_places, series_bounds
 from sensorpipe.operators.skew import ROWS_PER_TASK, content_hash, lookup
 from sensorpipe.session import checkpointed, drop_staged, staged
 from sensorpipe.sinks.tables import overwrite_partitions, table_exists
@@ -52,8 +52,10 @@ class _Store:
         self.rows, self.states, self.plans = (f"{self.base}/{n}" for n in ("rows", "states", "plans"))
 
     def placed(self, df: DataFrame) -> DataFrame:
-        day = F.coalesce(F.to_date(self.ts), F.lit(NO_DAY))
-        return df.withColumns({DAY: day, BUCKET: F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")})
+        return self.bucketed(df.withColumn(DAY, F.coalesce(F.to_date(self.ts), F.lit(NO_DAY))))
+
+    def bucketed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
     def held(self, schema: T.StructType, pairs: Sequence) -> DataFrame:
         """Rows of some days and buckets: no other folder is listed or opened."""
@@ -76,28 +78,30 @@ def _merge(
     store: _Store,
     series: Sequence[str],
     summary: Sequence[Column],
-    reach: Callable[[DataFrame, DataFrame], DataFrame],
+    reach: Callable[[DataFrame], DataFrame],
     compute: Callable[[DataFrame, DataFrame, list], tuple[DataFrame, list]],
     target: str,
+    together: bool = False,
 ) -> None:
     """Bring ``target`` up to date with one batch. ``reach`` and ``compute`` are what differs between steps.
 
-    ``reach(before, after)`` gives the affected (day, bucket) from states before and after, where ``touched`` marks those
-    of the batch; ``compute(rows, state, affected)`` the results of these, and which of them have none.
+    ``reach(states)`` gives the affected (day, bucket) from the states ``_old`` (before) and ``_new`` (after), most of them
+    both, where ``touched`` marks new ones of the batch; ``compute(rows, state, affected)`` the results of these, rebalanced
+    if ``together``, and which of them have none.
     """
     spark = store.spark
     new = staged(store.placed(batch))
     touched = [tuple(r) for r in new.select(DAY, BUCKET).distinct().collect()]
     if touched:
         overwrite_partitions(new.withColumn(BATCH, F.lit(number).cast("bigint")), store.rows, [DAY, BUCKET, BATCH])
-        fresh = store.held(batch.schema, touched).groupBy(*series, DAY, BUCKET).agg(*summary)
+        fresh = staged(store.held(batch.schema, touched).groupBy(*series, DAY, BUCKET).agg(*summary))
         plan = f"{store.plans}/{number}"
         if not table_exists(spark, f"{plan}/_done"):
-            here = _places(spark, touched)
-            before = store.state(fresh.schema, [b for _, b in touched])
-            left = before.join(here, [DAY, BUCKET], "left_anti").withColumn("touched", F.lit(False))
-            after = left.unionByName(fresh.withColumn("touched", F.lit(True)))
-            found = reach(before.withColumn("touched", F.lit(False)), after).select(DAY, BUCKET).distinct()
+            here = _places(spark, touched).withColumn("_here", F.lit(True))
+            before = store.state(fresh.schema, [b for _, b in touched]).join(here, [DAY, BUCKET], "left")
+            before = before.withColumns({"_old": F.lit(True), "_new": F.col("_here").isNull(), "touched": F.lit(False)}).drop("_here")
+            after = fresh.withColumns({"_old": F.lit(False), "_new": F.lit(True), "touched": F.lit(True)})
+            found = reach(before.unionByName(after)).select(DAY, BUCKET).distinct()
             found.write.mode("overwrite").parquet(plan)
             spark.range(1).write.mode("overwrite").parquet(f"{plan}/_done")
         affected = [tuple(r) for r in spark.read.schema(f"{DAY} date, {BUCKET} int").parquet(plan).collect()]
@@ -105,10 +109,11 @@ def _merge(
         state = store.state(fresh.schema, [b for _, b in affected])
         full = [tuple(r) for r in state.join(_places(spark, affected), [DAY, BUCKET], "left_semi").select(DAY, BUCKET).distinct().collect()]
         out, emptied = compute(store.held(batch.schema, full).drop(BATCH), state, affected)
-        overwrite_partitions(out, target, [DAY, BUCKET])
+        overwrite_partitions(out, target, [DAY, BUCKET], "snappy", together)
         for day, bucket in emptied:
             folder = spark._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{DAY}={day}/{BUCKET}={bucket}")
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        drop_staged(fresh)
     drop_staged(new)
 
 
@@ -145,8 +150,8 @@ def merge_clean(
     summary = [F.max_by(F.struct(*columns), place).alias("last")]
     along = Window.partitionBy(*keys).orderBy(DAY)
 
-    def reach(before: DataFrame, after: DataFrame) -> DataFrame:
-        next_day = after.withColumn("_next", F.lead(DAY).over(along)).filter("touched")
+    def reach(states: DataFrame) -> DataFrame:
+        next_day = states.filter("_new").withColumn("_next", F.lead(DAY).over(along)).filter("touched")
         return next_day.select(F.explode(F.array_compact(F.array(DAY, "_next"))).alias(DAY), BUCKET)
 
     def compute(rows: DataFrame, state: DataFrame, affected: list) -> tuple[DataFrame, list]:
@@ -207,18 +212,20 @@ def merge_resample(
     summary = [F.min(ts).alias("first"), F.max(F.struct(F.col(ts).alias("at"), *ties, match)).alias("last"), F.count(F.lit(1)).alias("n"), unit.alias("unit")]
     of_keys, of_series = Window.partitionBy(*keys), Window.partitionBy(*series)
 
-    def reach(before: DataFrame, after: DataFrame) -> DataFrame:
-        both = before.withColumn("_old", F.lit(True)).unionByName(after.withColumn("_old", F.lit(False)))
+    def reach(states: DataFrame) -> DataFrame:
         old = lambda c: F.when(F.col("_old"), F.col(c))
-        new = lambda c: F.when(~F.col("_old"), F.col(c))
+        new = lambda c: F.when(F.col("_new"), F.col(c))
         units = ~F.max(old("unit")).over(of_series).eqNullSafe(F.max(new("unit")).over(of_series)) & F.max(old("unit")).over(of_series).isNotNull()
+        # One exchange by the keys serves all windows.
+        both = states.withColumn("at", F.col("last.at")).drop("last", "n")
+        both = both.repartition(*keys) if keys else both
         if by_day:
-            return both.withColumn("_unit", units).filter((F.col("touched") | F.col("_unit")) & ~F.col("_old"))
+            return both.withColumn("_unit", units).filter((F.col("touched") | F.col("_unit")) & F.col("_new"))
         found = both.withColumns({
             "_lo0": F.min(old("first")).over(of_keys), "_lo": F.min(new("first")).over(of_keys),
-            "_hi0": F.max(old("last.at")).over(of_keys), "_hi": F.max(new("last.at")).over(of_keys),
-            "_unit": units, "_next": F.lead(DAY).over(Window.partitionBy(*series, "_old").orderBy(DAY)),
-        }).filter(~F.col("_old"))
+            "_hi0": F.max(old("at")).over(of_keys), "_hi": F.max(new("at")).over(of_keys),
+            "_unit": units, "_next": F.lead(DAY).over(Window.partitionBy(*series, "_new").orderBy(DAY)),
+        }).filter("_new")
         start, end = F.to_date("_lo"), F.to_date("_hi")
         span = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
         moved = F.col("_unit") | ~F.col("_lo0").eqNullSafe(F.col("_lo"))
@@ -235,43 +242,47 @@ def merge_resample(
         bounds = lookup(series_bounds(rows, keys, ts, True, day_anchor), units, series, ["_unit"])
         bounds = staged(bounds.withColumn("unit", F.col("_unit")).drop("_unit"))
         observed = rows.withColumns({"value": F.col("value").cast("double"), "_day": F.col(DAY)})
-        return _grid(observed, bounds, True), []
+        seen = bounds.agg(F.max("observations")).first()[0]
+        return _grid(observed, bounds, lambda found: store.bucketed(found).withColumn(DAY, F.col("_day")), seen), []
 
     def carried(rows: DataFrame, state: DataFrame, affected: list) -> tuple[DataFrame, list]:
         here = _places(store.spark, affected)
-        known = state.withColumns({"lo": F.min("first").over(of_keys), "hi": F.max("last.at").over(of_keys), "unit": F.max("unit").over(of_series)})
-        one = known.withColumn("_number", F.row_number().over(of_series.orderBy(DAY))).filter("_number = 1")
-        wanted = one.select(*series, "lo", "hi", "unit", BUCKET).join(here, BUCKET).filter(F.col(DAY).between(F.to_date("lo"), F.to_date("hi")))
-        grid = F.struct("lo", "hi", "unit").alias("_grid")
-        marked = wanted.select(*series, DAY, grid).unionByName(state.select(*series, DAY, F.col("last.match").alias("_last"), "n"), allowMissingColumns=True)
-        days = marked.groupBy(*series, DAY).agg(F.max("_grid").alias("_grid"), F.max("_last").alias("_last"), F.max("n").alias("n"))
-        earlier = of_series.orderBy(DAY).rowsBetween(Window.unboundedPreceding, -1)
-        days = staged(days.withColumn("_before", F.last("_last", True).over(earlier)).filter("_grid IS NOT NULL"))
-        start = F.col(DAY).cast("timestamp_ntz")
-        lo, hi = F.col("_grid.lo").cast("timestamp_ntz"), F.col("_grid.hi").cast("timestamp_ntz")
-        skipped = F.greatest(F.ceil((micros(start) - micros(lo)) / step), F.lit(0))
-        bounds = days.select(*series, F.col(DAY).alias("_day"), plus_micros(lo, skipped * step).alias("lo"), F.least(hi, plus_micros(start, F.lit(_DAY_MICROS - 1))).alias("hi"), F.col("_grid.unit").alias("unit"))
-        kind = rows.schema[ts].dataType
-        bounds = bounds.filter("lo <= hi").withColumns({c: F.col(c).cast(kind) for c in ("lo", "hi")})
-        own = rows.withColumns({"value": F.col("value").cast("double"), "_day": F.col(DAY)})
-        seeds = days.filter("_before IS NOT NULL").select(*series, F.col(DAY).alias("_day"), F.col("_before.obs_ts").alias(ts), F.col("_before.value").alias("value"), F.col("_before.quality_flag").alias("quality_flag"))
-        out = _grid(own.select(*series, "_day", ts, "value", "quality_flag", *[c for c in tie or () if c not in (ts, "value", "quality_flag")]).unionByName(seeds, allowMissingColumns=True), bounds, False, days.agg(F.max("n")).first()[0])
+        per_unit = state.groupBy(*series, "unit").agg(F.min("first").alias("_lo"), F.max("last.at").alias("_hi"), F.sum("n").alias("_n"))
+        per_unit = per_unit.repartition(*keys) if keys else per_unit
+        bounds = per_unit.select(
+            *series, F.max("unit").over(of_series).alias("unit"), F.min("_lo").over(of_keys).alias("lo"), F.max("_hi").over(of_keys).alias("hi"),
+            F.sum("_n").over(of_series).alias("observations"), F.row_number().over(of_series.orderBy("unit")).alias("_number"),
+        ).filter("_number = 1").drop("_number")
+        sizes = Observation()
+        bounds = staged(bounds.observe(sizes, F.max("observations").alias("seen")))
+        # A day whose rows are not read is stood for by its last one: nothing else of it reaches an affected day.
+        last = state.join(here, [DAY, BUCKET], "left_anti").select(*series, "last.match.*").withColumnRenamed("obs_ts", ts)
+        own = rows.select(*series, ts, F.col("value").cast("double").alias("value"), "quality_flag", *[c for c in tie or () if c not in (ts, "value", "quality_flag")])
+        out = _grid(own.unionByName(last, allowMissingColumns=True), bounds, lambda found: _days(found, here), sizes.get.get("seen"))
         emptied = []
         if step > _DAY_MICROS:
-            full = {tuple(r) for r in store.placed(bounds.withColumn(ts, F.col("lo"))).select(DAY, BUCKET).distinct().collect()}
+            cell = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((micros(F.col("hi")) - micros(F.col("lo"))) / step)))
+            cells = bounds.select(*keys, "lo", "hi").distinct().withColumn("_cell", cell).withColumn(ts, plus_micros(F.col("lo"), F.col("_cell") * step))
+            full = {tuple(r) for r in store.placed(cells).select(DAY, BUCKET).distinct().collect()}
             emptied = [p for p in affected if p not in full]
         return out, emptied
 
-    def _grid(observed: DataFrame, bounds: DataFrame, own_days: bool, seen: int | None = None) -> DataFrame:
-        if own_days:
-            seen = bounds.agg(F.max("observations")).first()[0]
-        found = aligned(
-            observed, bounds, step, series=[*series, "_day"], ts=ts, tie=tie, interpolation=interpolation, by_day=own_days,
-            seen=seen, cells=_DAY_MICROS / step, rows_per_task=rows_per_task,
+    def _days(found: DataFrame, here: DataFrame) -> DataFrame:
+        """Intervals parted by day, without the days that are not affected."""
+        lo = F.col("grid.lo").cast("timestamp_ntz")
+        day_of = lambda cell: F.to_date(plus_micros(lo, F.col(cell) * step))
+        parted = store.bucketed(found).withColumn(DAY, F.explode(F.sequence(day_of("first"), day_of("last")))).join(here, [DAY, BUCKET], "left_semi")
+        ahead = micros(F.col(DAY).cast("timestamp_ntz")) - micros(lo)
+        cells = {"first": F.greatest("first", F.ceil(ahead / step)), "last": F.least("last", F.floor((ahead + (_DAY_MICROS - 1)) / step))}
+        return parted.withColumns(cells).filter("first <= last")
+
+    def _grid(observed: DataFrame, bounds: DataFrame, place: Callable[[DataFrame], DataFrame], seen: int | None) -> DataFrame:
+        return aligned_in_places(
+            observed, bounds, step, place, [DAY, BUCKET], series=[*series, "_day"] if by_day else series, ts=ts, tie=tie,
+            interpolation=interpolation, by_day=by_day, seen=seen, rows_per_task=rows_per_task,
         )
-        return store.placed(found)
 
-    _merge(timed, number, store, series, summary, reach, by_days if by_day else carried, target)
+    _merge(timed, number, store, series, summary, reach, by_days if by_day else carried, target, together=True)
 
 
 def resample_new(stream: DataFrame, freq: str | Duration, target: str, checkpoint: str, **options) -> None:

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from sensorpipe.operators import resample as resampling
 from sensorpipe.operators.clean import clean
 from sensorpipe.operators.resample import resample
 from sensorpipe.streaming import ordered
@@ -113,3 +114,33 @@ def test_what_cannot_be_carried_raises(spark, tmp_path):
     for options in ({"freq": "1h", "interpolation": "linear"}, {"freq": "1mo", "by_day": True}):
         with pytest.raises(ValueError):
             ordered.merge_resample(batch, 0, options.pop("freq"), f"{tmp_path}/t", f"{tmp_path}/b", **options)
+
+
+def test_cells_are_unrolled_after_the_shuffle_of_the_write(spark, tmp_path, monkeypatch):
+    """Blocks of cells are rebalanced by day and bucket, their cells are not; and a series has one head, not one a day."""
+    write, plans, heads = ordered.overwrite_partitions, [], []
+
+    def looked_at(df, path, *args):
+        if path.endswith("target"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, path, *args)
+
+    intervals = resampling._intervals
+    monkeypatch.setattr(ordered, "overwrite_partitions", looked_at)
+    monkeypatch.setattr(resampling, "_intervals", lambda observed, bounds, *args: heads.append(bounds.count()) or intervals(observed, bounds, *args))
+    batch = long(spark, 0, [1, 2, 3, 4], 60)
+    ordered.merge_resample(batch, 0, "1h", f"{tmp_path}/target", f"{tmp_path}/base", buckets=2)
+    cells, rest = plans[0].split("Generate explode(sequence", 1)
+    assert "Exchange" not in cells and "REBALANCE" in rest
+    assert heads == [batch.filter("ts IS NOT NULL").select("device_id", "domain", "metric").distinct().count()]
+
+
+def test_resample_of_series_in_slices(spark, tmp_path, rows):
+    """Series far above what a task may hold, of which later batches affect some days only."""
+    target, base, seen = f"{tmp_path}/target", f"{tmp_path}/base", None
+    for number, (days, n) in enumerate([([3, 4, 5], 60), ([9, 10], 30), ([4], 2)]):
+        batch = long(spark, number, days, n)
+        seen = batch if seen is None else seen.unionByName(batch)
+        ordered.merge_resample(batch, number, "5h", target, base, tie=["seq"], buckets=2, rows_per_task=4)
+        want = resample(seen, "5h", tie=["seq"])
+        assert rows(ordered.result(spark, target), *want.columns) == rows(want), number
